@@ -59,29 +59,45 @@ def safe_rate(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") / den).otherwise(F.lit(0.0))
 
 
+def half_even(x: Column, digits: int) -> Column:
+    """Round half to even at ``digits`` decimals on y = x * 10^digits.
+
+    Written out with floor/compare so that every engine evaluating the same
+    IEEE operations gets the same double (``bround`` rounds the shortest
+    decimal text instead, which differs on values such as 0.04155).
+    """
+    m = float(10 ** digits)
+    y = x.cast("double") * F.lit(m)
+    f = F.floor(y).cast("double")
+    d = y - f
+    r = (F.when(d > 0.5, f + 1).when(d < 0.5, f)
+         .otherwise(F.when(F.pmod(f, F.lit(2.0)) == 0, f).otherwise(f + 1)))
+    return F.when(F.abs(y) < F.lit(1e15), r / F.lit(m)).otherwise(x.cast("double"))
+
+
 def py_float_text(c: Column, digits: int) -> Column:
     """Text of a value rounded to ``digits`` decimals the way Python prints a float.
 
     Positional notation with the shortest digits and at least one decimal
     (``12.0``, ``0.0005``, ``-3.25``); null stays null.
     """
-    dec = F.bround(c, digits).cast(f"decimal(38,{digits})").cast("string")
+    dec = half_even(c, digits).cast(f"decimal(38,{digits})").cast("string")
     trimmed = F.regexp_replace(dec, r"0+$", "")
     return F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
 
 
 def fixed_text(c: Column, digits: int) -> Column:
     """printf('%.Nf') of a value first rounded half-even to N digits."""
-    return F.format_string(f"%.{digits}f", F.bround(c.cast("double"), digits))
+    return F.format_string(f"%.{digits}f", half_even(c, digits))
 
 
 def signed_fixed_text(c: Column, digits: int) -> Column:
-    return F.format_string(f"%+.{digits}f", F.bround(c.cast("double"), digits))
+    return F.format_string(f"%+.{digits}f", half_even(c, digits))
 
 
 def thousands_text(c: Column) -> Column:
     """Integer text with thousands separators ('{:,}' / '{:,.0f}')."""
-    return F.format_number(F.bround(c.cast("double"), 0), 0)
+    return F.format_number(half_even(c, 0), 0)
 
 
 def lookup(mapping: dict, key: Column) -> Column:

@@ -30,7 +30,8 @@ def exact_avg(c: Column, scale: int = 10) -> Column:
     The stored columns are DECIMAL; summing them as decimals keeps the mean
     independent of partitioning and summation order.
     """
-    return F.avg(c.cast(f"decimal(28,{scale})")).cast("double")
+    n = F.count(c)
+    return F.when(n > 0, F.sum(c.cast(f"decimal(28,{scale})")).cast("double") / n)
 
 
 def exact_sum(c: Column, scale: int = 10) -> Column:

@@ -27,6 +27,16 @@ def round6(expr: str, alias: str, digits: int = 6) -> str:
             f"AS {alias}")
 
 
+def half_even(x: str, d: int) -> str:
+    """SQL twin of functions.columns.half_even (same IEEE steps)."""
+    m = 10 ** d
+    y = f"(CAST({x} AS DOUBLE) * {m}.0)"
+    f = f"floor({y})"
+    r = (f"CASE WHEN {y} - {f} > 0.5 THEN {f} + 1 WHEN {y} - {f} < 0.5 THEN {f} "
+         f"WHEN {f} - 2.0 * floor({f} / 2.0) = 0 THEN {f} ELSE {f} + 1 END")
+    return f"(CASE WHEN abs({y}) < 1e15 THEN ({r}) / {m}.0 ELSE CAST({x} AS DOUBLE) END)"
+
+
 FLAT_SELECT = """
   SELECT
     coalesce(CAST(_id AS VARCHAR), '') AS _id,
@@ -125,7 +135,7 @@ def features_ctes(bucket: str, keys: tuple[str, ...] = ()) -> str:
       CAST(sum(sec) AS DOUBLE) AS n_security_events,
       {_rate("headers_http_request_method = 'POST'")} AS pct_post,
       {_rate("headers_http_request_method = 'DELETE'")} AS pct_delete,
-      CAST(avg(CAST(score AS DECIMAL(28,10))) AS DOUBLE) AS avg_score, CAST(min(score) AS DOUBLE) AS min_score,
+      CAST(sum(CAST(score AS DECIMAL(28,10))) AS DOUBLE) / count(score) AS avg_score, CAST(min(score) AS DOUBLE) AS min_score,
       {_rate('score < 0.3')} AS pct_low_score,
       {_rate("sap_app_env = 'production'")} AS pct_production
       FROM sysc WHERE bucket IS NOT NULL GROUP BY {g})"""
@@ -150,18 +160,18 @@ def features_ctes(bucket: str, keys: tuple[str, ...] = ()) -> str:
       CAST(count(*) AS DOUBLE) AS n_llm_requests,
       {_rate("logtype = 'LLM_ERROR'")} AS llm_error_rate,
       {_rate("logtype = 'LLM_TIMEOUT'")} AS llm_timeout_rate,
-      coalesce(CAST(avg(CAST(llm_response_time_ms AS DECIMAL(28,6))) AS DOUBLE), 0.0) AS avg_llm_latency,
+      coalesce(CAST(sum(CAST(llm_response_time_ms AS DECIMAL(28,6))) AS DOUBLE) / count(llm_response_time_ms), 0.0) AS avg_llm_latency,
       coalesce(quantile_cont(llm_response_time_ms, 0.95), 0.0) AS p95_llm_latency,
       coalesce(max(llm_response_time_ms), 0.0) AS max_llm_latency,
       {_rate('llm_response_time_ms > 20000')} AS pct_slow_llm,
-      coalesce(CAST(avg(CAST(llm_cost_usd AS DECIMAL(28,10))) AS DOUBLE), 0.0) AS avg_llm_cost,
+      coalesce(CAST(sum(CAST(llm_cost_usd AS DECIMAL(28,10))) AS DOUBLE) / count(llm_cost_usd), 0.0) AS avg_llm_cost,
       coalesce(CAST(sum(CAST(llm_cost_usd AS DECIMAL(28,10))) AS DOUBLE), 0.0) AS total_llm_cost,
       coalesce(max(llm_cost_usd), 0.0) AS max_llm_cost,
       coalesce(avg(llm_total_tokens), 0.0) AS avg_tokens,
       coalesce(max(llm_total_tokens), 0.0) AS max_tokens,
       CAST(count(DISTINCT llm_model_id) AS DOUBLE) AS n_unique_models,
       {_rate("llm_finish_reason = 'content_filter'")} AS pct_content_filter,
-      CAST(avg(CAST(score AS DECIMAL(28,10))) AS DOUBLE) AS avg_llm_score
+      CAST(sum(CAST(score AS DECIMAL(28,10))) AS DOUBLE) / count(score) AS avg_llm_score
       FROM llmc WHERE bucket IS NOT NULL GROUP BY {g}),
     llmf AS (SELECT * FROM llmm)"""
     del jl
