@@ -53,8 +53,12 @@ def _status(df: DataFrame) -> Column:
                       _text(df, "sap_function_log_type"))
 
 
-def flatten(raw: DataFrame, timestamp_field: str = "@timestamp") -> DataFrame:
-    """Rename, default, derive port_service/status, type timestamp and numbers."""
+def flatten(raw: DataFrame, timestamp_field: str = "@timestamp",
+            keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rename, default, derive port_service/status, type timestamp and numbers.
+
+    ``keep`` carries extra input columns through (e.g. a delivery sequence).
+    """
     cols = {
         "_id": _text(raw, "_id"),
         "timestamp": utc_timestamp(raw, timestamp_field),
@@ -74,7 +78,7 @@ def flatten(raw: DataFrame, timestamp_field: str = "@timestamp") -> DataFrame:
         if c is None:
             c = _text(raw, name)
         out.append(c.alias(name))
-    return raw.select(*out)
+    return raw.select(*out, *[F.col(k) for k in keep])
 
 
 def export_projection(raw: DataFrame, timestamp_field: str = "@timestamp") -> DataFrame:

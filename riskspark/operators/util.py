@@ -17,3 +17,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage of a reused intermediate: reliable checkpoint into the
+    cluster's shared ``spark.checkpoint.dir`` (survives executor loss; never a
+    local checkpoint)."""
+    from ..session import shared_dir
+    shared_dir(df.sparkSession, "checkpoints")
+    return df.checkpoint(eager=True)

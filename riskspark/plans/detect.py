@@ -16,6 +16,7 @@ from .. import constants as C
 from ..operators import baseline as BL
 from ..operators import classify as CL
 from ..operators.features import build_features
+from ..operators.util import materialize
 from .common import QUERY_BUCKET, logs
 
 
@@ -44,9 +45,15 @@ class Chain:
     def flagged(self) -> DataFrame:
         return self.detector.where("is_anomaly").select(*self.keys, "bucket", "anomaly_score")
 
+    _anoms: DataFrame | None = None
+
     def anomalies(self) -> DataFrame:
-        return CL.classify(self.flagged(), self.features, self.top, self.stats, self.rules,
-                           self.keys, run_gap_minutes(self.bucket))
+        """Classified anomalies, materialised once (they feed several outputs)."""
+        if self._anoms is None:
+            self._anoms = materialize(CL.classify(
+                self.flagged(), self.features, self.top, self.stats, self.rules, self.keys,
+                run_gap_minutes(self.bucket)))
+        return self._anoms
 
 
 def z_chain(spark: SparkSession, sf_dir: str, bucket: str = QUERY_BUCKET,
@@ -56,11 +63,11 @@ def z_chain(spark: SparkSession, sf_dir: str, bucket: str = QUERY_BUCKET,
     keys = list(keys or [])
     if features is None:
         system, llm = logs(spark, sf_dir)
-        features = build_features(system, llm, bucket, keys)
-    base = BL.baseline(features, keys)
+        features = materialize(build_features(system, llm, bucket, keys))
+    base = materialize(BL.baseline(features, keys))
     z = BL.zscores(features, base, keys)
-    top = BL.top_deviations(z, keys)
-    det = BL.z_detector(z, keys, threshold)
+    top = materialize(BL.top_deviations(z, keys))
+    det = materialize(BL.z_detector(z, keys, threshold))
     stats = BL.train_stats(base, keys)
     return Chain(features, base, z, top, det, stats, CL.rules_frame(spark), keys, bucket)
 

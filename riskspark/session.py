@@ -15,6 +15,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.driver.memory": "12g",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
@@ -42,11 +43,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     (local tests) a private scratch folder is created and registered, so the
     same code never writes to a machine-local folder on a cluster.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not base:
+        base = _LOCAL_BASE.get(id(sc))
     if not base:
+        # Unset (local tests only): a private scratch folder for this context.
         base = tempfile.mkdtemp(prefix="riskspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    sc = spark.sparkContext
+        _LOCAL_BASE[id(sc)] = base
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(os.path.join(base, "rdd"))
     return base.rstrip("/") + "/" + name.strip("/")
+
+
+_LOCAL_BASE: dict = {}
