@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["logs_queries", "detect_queries", "store_queries"]
+MODULES = ["logs_queries", "detect_queries", "store_queries", "ml_queries"]
 
 
 def _load():
