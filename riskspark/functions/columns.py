@@ -39,9 +39,9 @@ def utc_timestamp(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, TimestampNTZType):
         return c
     if isinstance(dtype, TimestampType):
-        return F.convert_timezone(F.lit("UTC"), c)
+        return F.convert_timezone(None, F.lit("UTC"), c)
     s = F.trim(c.cast("string"))
-    zoned = F.convert_timezone(F.lit("UTC"), s.try_cast("timestamp"))
+    zoned = F.convert_timezone(None, F.lit("UTC"), s.try_cast("timestamp"))
     return F.when(s.rlike(ZONE_SUFFIX), zoned).otherwise(s.try_cast("timestamp_ntz"))
 
 

@@ -266,3 +266,58 @@ def q_recent_logs(spark, sf_dir):
     """The last 24 h of system logs before a fixed 'now', scan columns only."""
     system, _ = logs(spark, sf_dir)
     return present(TB.scan_since(system, TB.hours_before(FIXED_NOW, 24), TB.SYSTEM_SCAN_COLS))
+
+
+# ---- step 1: landed pages and manifests (S1-S4, F12, U4) ----------------------
+PAGE_SIZE_EVENTS = 100
+
+
+def _land(spark, sf_dir):
+    """Land the derived records as paged JSON documents and a manifest per 30 min."""
+    import uuid
+    from ..session import shared_dir
+    from ..sinks.files import land_pages
+    raw = raw_logs(spark, sf_dir)
+    page = (F.floor(F.split("_id", "-").getItem(1).cast("bigint") / PAGE_SIZE_EVENTS) + 1).cast("int")
+    recs = raw.withColumnRenamed(TS_FIELD, "@timestamp").withColumn("page", page)
+    base = shared_dir(spark, f"landing/{uuid.uuid4().hex}")
+    land_pages(recs, f"{base}/pages")
+    ws = F.window(F.col("@timestamp"), "30 minutes")
+    man = (recs.groupBy(ws.alias("w")).agg(F.count(F.lit(1)).alias("total_records"),
+                                           F.count_distinct("page").cast("int").alias("total_pages"))
+           .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                   F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+                   "total_pages", "total_records"))
+    man.write.mode("overwrite").json(f"{base}/manifest")
+    return base
+
+
+PAGE_SQL = O.with_(RAW, "paged AS (SELECT *, CAST(floor(CAST(split_part(_id, '-', 2) AS BIGINT) / "
+                   f"{PAGE_SIZE_EVENTS}) + 1 AS INTEGER) AS page FROM raw_logs)",
+                   O.flat_cte("paged").replace("FROM paged", ", page FROM paged"))
+
+
+@register("q_page_scan", PAGE_SQL + O.select_rounded(PR.FLAT_NAMES + ["page"], FLAT_DOUBLES, "flat"))
+def q_page_scan(spark, sf_dir):
+    """S1, S2 (no cap), U4: records read back from landed page documents, flattened."""
+    from ..sources.pages import read_pages
+    base = _land(spark, sf_dir)
+    recs = read_pages(spark, f"{base}/pages", max_pages=0)
+    return present(PR.flatten(recs, "@timestamp", keep=("page",)))
+
+
+MANIFEST_SQL = O.with_(RAW, """m AS (SELECT time_bucket(INTERVAL '30 minute', event_ts) AS ws,
+  count(*) AS total_records, CAST(count(DISTINCT floor(CAST(split_part(_id, '-', 2) AS BIGINT) / 100)) AS INTEGER) AS total_pages
+  FROM raw_logs GROUP BY 1)""") + """
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime(ws + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end, total_pages, total_records,
+  total_records AS scanned, true AS complete, true AS changed FROM m"""
+
+
+@register("q_manifest_reconcile", MANIFEST_SQL)
+def q_manifest_reconcile(spark, sf_dir):
+    """Manifest totals vs records scanned per window; window change flag."""
+    from ..sources.pages import read_manifest, read_pages, reconcile
+    base = _land(spark, sf_dir)
+    recs = PR.flatten(read_pages(spark, f"{base}/pages"), "@timestamp")
+    return reconcile(read_manifest(spark, f"{base}/manifest"), recs)
