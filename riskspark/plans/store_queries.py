@@ -10,7 +10,8 @@ from ..operators import merge as MG
 from ..operators import prepare as PR
 from ..operators import spans as SP
 from ..operators.logsets import ids_in_bucket, top_value_per_bucket
-from ..schemas import LLM_LOGS, SYSTEM_LOGS, align_to
+from .. import schemas
+from ..schemas import align_to
 from ..sources import tables as TB
 from ..sources.fixture import FIXED_NOW, raw_batches, read_table
 from . import oracle as O
@@ -57,7 +58,7 @@ def q_dedup_keep_last(spark, sf_dir):
 
 def _sys_table(flat):
     system = PR.flag_security(PR.split_system(flat))
-    return align_to(system, SYSTEM_LOGS)
+    return align_to(system, schemas.SYSTEM_LOGS)
 
 
 UPSERT_SQL = BATCHES + f""",
@@ -106,7 +107,7 @@ LOADS = O.with_(O.oracle_raw_logs_cte(), O.logs_ctes())
 def q_load_system(spark, sf_dir):
     """K2, P10: system rows typed and aligned to the SYSTEM_LOGS columns."""
     system, _ = logs(spark, sf_dir)
-    return align_to(system, SYSTEM_LOGS)
+    return align_to(system, schemas.SYSTEM_LOGS)
 
 
 @register("q_load_llm", LOADS + """SELECT _id, "timestamp", port_service, event_description, status, logtype,
@@ -118,7 +119,7 @@ def q_load_system(spark, sf_dir):
 def q_load_llm(spark, sf_dir):
     """K3, P10: LLM rows typed and aligned to the LLM_LOGS columns."""
     _, llm = logs(spark, sf_dir)
-    return align_to(llm, LLM_LOGS)
+    return align_to(llm, schemas.LLM_LOGS)
 
 
 LAST_SCORED = "2024-01-20 00:00:00"
@@ -279,7 +280,7 @@ def q_anomaly_logs(spark, sf_dir):
     """The stored system logs behind each anomaly (first 30 ids)."""
     rec = anomaly_records(spark, sf_dir, B)
     system, _ = logs(spark, sf_dir)
-    table = align_to(system, SYSTEM_LOGS)
+    table = align_to(system, schemas.SYSTEM_LOGS)
     out = AU.logs_of_anomalies(rec.select("anomaly_id", "bucket_start",
                                           F.col("details.sys_log_ids").alias("ids")), table, "ids")
     return present(out.select("bucket_start", "_id", "timestamp", "logtype",
@@ -331,7 +332,7 @@ def q_anomaly_log_totals(spark, sf_dir):
     """Security-event count and LLM cost over each anomaly's shown logs."""
     rec = anomaly_records(spark, sf_dir, B)
     system, llm = logs(spark, sf_dir)
-    st = align_to(system, SYSTEM_LOGS)
+    st = align_to(system, schemas.SYSTEM_LOGS)
     sl = AU.logs_of_anomalies(rec.select("anomaly_id", "bucket_start",
                                          F.col("details.sys_log_ids").alias("ids")), st, "ids")
     ll = AU.logs_of_anomalies(rec.select("anomaly_id", "bucket_start",

@@ -5,20 +5,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SYSTEM_LOGS = StructType.fromDDL(
+_SYSTEM_LOGS_DDL = (
     "_id string, timestamp timestamp_ntz, sourceip string, port_service string, "
     "event_description string, status string, logtype string, region_id string, "
     "region_name string, region_code string, macro_region string, _score decimal(10,4), "
     "headers_http_request_method string, sap_app_env string, http_status_code int, "
     "is_security_event int")
-LLM_LOGS = StructType.fromDDL(
+_LLM_LOGS_DDL = (
     "_id string, timestamp timestamp_ntz, port_service string, event_description string, "
     "status string, logtype string, region_id string, region_name string, region_code string, "
     "macro_region string, sap_llm_response_time decimal(12,4), sap_llm_response_size decimal(14,2), "
     "llm_cost_usd decimal(10,6), _score decimal(10,4), headers_http_request_method string, "
     "llm_model_id string, sap_app_env string, llm_finish_reason string, llm_temperature decimal(5,2), "
     "llm_response_time_ms decimal(12,4), llm_total_tokens int, llm_status string, llm_prompt string")
-RAW_RECORD = StructType.fromDDL(
+_RAW_RECORD_DDL = (
     "_id string, `@timestamp` string, client_ip string, headers_http_host string, "
     "headers_http_request_method string, sap_function_message string, sap_function_log_type string, "
     "region_id string, region_name string, region_code string, macro_region string, "
@@ -26,17 +26,31 @@ RAW_RECORD = StructType.fromDDL(
     "sap_llm_response_size string, llm_cost_usd string, llm_response_time_ms string, "
     "llm_total_tokens string, llm_temperature string, llm_model_id string, "
     "llm_finish_reason string, llm_status string, llm_prompt string")
-MANIFEST = StructType.fromDDL(
+_MANIFEST_DDL = (
     "window_start string, window_end string, total_pages int, total_records bigint")
-HEARTBEAT = StructType.fromDDL(
+_HEARTBEAT_DDL = (
     "pipeline_id string, sent_at timestamp_ntz, pipeline_host string, cycle int, status string, "
     "last_window_start string, uptime_min decimal(10,2)")
-ALERT_LOG = StructType.fromDDL(
+_ALERT_LOG_DDL = (
     "alert_id string, sent_at timestamp, bucket_start string, anomaly_type string, "
     "attack_category string, severity string, status string, http_status int, "
     "message_sent string, api_response string")
 
 
+_DDL = {n: globals()[f"_{n}_DDL"] for n in
+        ("SYSTEM_LOGS", "LLM_LOGS", "RAW_RECORD", "MANIFEST", "HEARTBEAT", "ALERT_LOG")}
+_CACHE: dict = {}
+
+
+def __getattr__(name: str) -> StructType:
+    """Schemas are parsed from DDL on first use (parsing needs a running session)."""
+    if name in _DDL:
+        if name not in _CACHE:
+            _CACHE[name] = StructType.fromDDL(_DDL[name])
+        return _CACHE[name]
+    raise AttributeError(name)
+
+
 def align_to(df: DataFrame, schema: StructType) -> DataFrame:
     """P10: project onto a table's columns; missing -> null; values cast to the column type.
 

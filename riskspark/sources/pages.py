@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ..schemas import MANIFEST, RAW_RECORD
+from .. import schemas
 
-PAGE = StructType([StructField("data", ArrayType(RAW_RECORD))])
+
+def page_schema() -> StructType:
+    return StructType([StructField("data", ArrayType(schemas.RAW_RECORD))])
 
 
 def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool = False
@@ -24,7 +26,7 @@ def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool
     yields no rows (DROPMALFORMED), like the fault-tolerant export reader.
     """
     mode = "FAILFAST" if strict else "DROPMALFORMED"
-    pages = spark.read.schema(PAGE).option("mode", mode).json(path)
+    pages = spark.read.schema(page_schema()).option("mode", mode).json(path)
     if max_pages and max_pages > 0:
         pages = pages.where(F.col("page") <= F.lit(max_pages))
     return pages.select("page", F.explode("data").alias("r")).select("page", "r.*")
@@ -33,7 +35,7 @@ def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool
 def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
     """The same landing directory as a file stream (new pages = new files)."""
-    rs = spark.readStream.schema(PAGE).option("mode", "DROPMALFORMED")
+    rs = spark.readStream.schema(page_schema()).option("mode", "DROPMALFORMED")
     if max_files_per_trigger:
         rs = rs.option("maxFilesPerTrigger", max_files_per_trigger)
     return rs.json(path).select(F.explode("data").alias("r")).select("r.*")
@@ -41,7 +43,7 @@ def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | No
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One row per pulled window."""
-    return spark.read.schema(MANIFEST).json(path)
+    return spark.read.schema(schemas.MANIFEST).json(path)
 
 
 def reconcile(manifest: DataFrame, records: DataFrame, window: str = "30 minutes",

@@ -27,7 +27,8 @@ from .. import constants as C
 from ..operators import hst as HS
 from ..operators.features import build_features
 from ..operators.prepare import flag_security, flatten, split_by_type
-from ..schemas import LLM_LOGS, SYSTEM_LOGS, align_to
+from .. import schemas
+from ..schemas import align_to
 from ..sinks.tables import merge_into
 from ..sources.pages import stream_pages
 
@@ -59,8 +60,8 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
         batch = batch.persist()
         system, llm = split_by_type(batch)
         system = flag_security(system)
-        merge_into(spark, f"{tables}/system_logs", align_to(system, SYSTEM_LOGS))
-        merge_into(spark, f"{tables}/llm_logs", align_to(llm, LLM_LOGS))
+        merge_into(spark, f"{tables}/system_logs", align_to(system, schemas.SYSTEM_LOGS))
+        merge_into(spark, f"{tables}/llm_logs", align_to(llm, schemas.LLM_LOGS))
         # Touched buckets, recomputed from the keyed tables (late rows included).
         touched = batch.select(F.window("timestamp", bucket).start.alias("bucket")).distinct()
         st = spark.read.parquet(f"{tables}/system_logs")
