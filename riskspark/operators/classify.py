@@ -101,10 +101,16 @@ def reason(a_type: Column, top: Column, n_sys_requests: Column, threshold: Colum
     rounded to 4 dp and z to 2 dp in shortest positional form, request
     counts and the spike threshold with thousands separators.
     """
-    label, value = top["label"], py_float_text(top["value"], 4)
-    z, base = py_float_text(top["z_score"], 2), py_float_text(top["baseline"], 4)
-    spike = F.concat(F.lit("Pico de tráfico: "), thousands_text(F.floor(n_sys_requests)),
-                     F.lit(" requests en 5 min (umbral: "), thousands_text(threshold),
+    return reason_from_text(a_type, top, py_float_text(top["value"], 4),
+                            py_float_text(top["z_score"], 2), py_float_text(top["baseline"], 4),
+                            thousands_text(F.floor(n_sys_requests)), thousands_text(threshold))
+
+
+def reason_from_text(a_type: Column, top: Column, value: Column, z: Column, base: Column,
+                     n_text: Column, thr_text: Column) -> Column:
+    label = top["label"]
+    spike = F.concat(F.lit("Pico de tráfico: "), n_text,
+                     F.lit(" requests en 5 min (umbral: "), thr_text,
                      F.lit("). Feature más desviada: "), label, F.lit(" = "), value,
                      F.lit(" (z="), z, F.lit(")."))
     multi = F.concat(F.lit("Patrón sostenido en múltiples ventanas. Feature dominante: "),
@@ -140,9 +146,19 @@ def classify(flagged: DataFrame, features: DataFrame, top_devs: DataFrame,
     n_req = F.coalesce(F.col("n_sys_requests"), F.lit(0.0))
     a_type = anomaly_type(F.col("in_multi_run"), n_req, F.col("spike_threshold"))
     devs = F.coalesce(F.col("top_deviations"), F.array().cast(top_devs.schema["top_deviations"].dataType))
-    return j.select(
+    typed = j.select(
         *k, a_type.alias("anomaly_type"), severity(F.col("anomaly_score")).alias("severity"),
         "anomaly_score", devs.alias("top_deviations"),
-        reason(a_type, F.get(devs, 0), n_req, F.col("spike_threshold")).alias("reason"),
         F.coalesce(F.col("attack_category"), F.lit(C.DEFAULT_CATEGORY)).alias("attack_category"),
-    )
+        n_req.alias("__n"), F.col("spike_threshold").alias("__thr"))
+    # Number texts first, in their own projection, so the reason expression stays small.
+    top = F.get(F.col("top_deviations"), 0)
+    texts = typed.select(
+        "*", py_float_text(top["value"], 4).alias("__v"), py_float_text(top["z_score"], 2).alias("__z"),
+        py_float_text(top["baseline"], 4).alias("__b"),
+        thousands_text(F.floor(F.col("__n"))).alias("__nt"), thousands_text(F.col("__thr")).alias("__tt"))
+    out = texts.withColumn("reason", reason_from_text(
+        F.col("anomaly_type"), top, F.col("__v"), F.col("__z"), F.col("__b"), F.col("__nt"),
+        F.col("__tt")))
+    return out.select(*k, "anomaly_type", "severity", "anomaly_score", "top_deviations", "reason",
+                      "attack_category")

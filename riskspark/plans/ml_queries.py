@@ -88,3 +88,30 @@ def q_confidence(spark, sf_dir):
     b = vol.select("bucket", ((F.col("n_sys_requests") > F.col("p95")) &
                               (F.col("idx") > C.HST_WINDOW)).alias("flag"))
     return combine_flags(a, b, [])
+
+
+def land_tables(spark, sf_dir, bucket_dir: str):
+    """Derived logs upserted into keyed SYSTEM/LLM tables under a shared folder."""
+    from .. import schemas
+    from ..schemas import align_to
+    from ..sinks.tables import merge_into
+    from .common import logs
+    system, llm = logs(spark, sf_dir)
+    merge_into(spark, f"{bucket_dir}/system_logs", align_to(system, schemas.SYSTEM_LOGS))
+    merge_into(spark, f"{bucket_dir}/llm_logs", align_to(llm, schemas.LLM_LOGS))
+
+
+@register("q_detect_cycle")
+def q_detect_cycle(spark, sf_dir):
+    """End-to-end cycle on the keyed tables: forest + HST, records, outbox (rows check)."""
+    import uuid
+    from ..session import shared_dir
+    from ..sources.fixture import FIXED_NOW
+    from .cycle import detect_cycle
+    base = shared_dir(spark, f"cycle/{uuid.uuid4().hex}")
+    land_tables(spark, sf_dir, f"{base}/tables")
+    res = detect_cycle(spark, f"{base}/tables", f"{base}/models", FIXED_NOW, cycle=1, bucket=B,
+                       training_hours=24 * 31, fresh_since="2024-01-01 00:00:00")
+    return present(res.records.select(
+        "anomaly_id", "bucket_start", "anomaly_type", "severity", "anomaly_score", "n_requests",
+        "n_unique_ips", "error_rate", "top_ip", "reason", "attack_category", "hst_confirmed"))

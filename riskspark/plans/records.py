@@ -14,20 +14,20 @@ from .common import QUERY_BUCKET, logs
 from .detect import Chain, bucket_minutes, with_bucket_context, z_chain
 
 
-def anomaly_records(spark: SparkSession, sf_dir: str, bucket: str = QUERY_BUCKET,
-                    chain: Chain | None = None, hst_flags: DataFrame | None = None) -> DataFrame:
-    ch = chain or z_chain(spark, sf_dir, bucket)
-    keys = ch.keys
+def build_records(anoms: DataFrame, features: DataFrame, sysb: DataFrame, llmb: DataFrame,
+                  keys: list, bucket: str, hst_flags: DataFrame | None = None) -> DataFrame:
+    """K6 rows from classified anomalies.
+
+    ``sysb``/``llmb``: cleaned logs with their ``bucket`` column.  Evidence
+    (top IP, first ids) is looked up only in the anomalous buckets.
+    """
     k = [*keys, "bucket"]
-    anoms = with_bucket_context(ch.anomalies(), ch.features, keys)
-    system, llm = logs(spark, sf_dir)
-    sysb = clean_system(system, bucket)
-    llmb = clean_llm(llm, bucket)
+    anoms = with_bucket_context(anoms, features, keys)
     which = anoms.select(*k)
     tip = top_value_per_bucket(sysb, "sourceip", keys, which).withColumnRenamed("value", "top_ip")
     sids = ids_in_bucket(sysb, keys, which).withColumnRenamed("ids", "sys_log_ids")
     lids = ids_in_bucket(llmb, keys, which).withColumnRenamed("ids", "llm_log_ids")
-    snap = ch.features.select(*k, AU.feature_snapshot(ch.features).alias("feature_snapshot"))
+    snap = features.select(*k, AU.feature_snapshot(features).alias("feature_snapshot"))
     j = (anoms.join(tip, k, "left").join(sids, k, "left").join(lids, k, "left")
          .join(snap, k, "left"))
     if hst_flags is not None:
@@ -55,4 +55,13 @@ def anomaly_records(spark: SparkSession, sf_dir: str, bucket: str = QUERY_BUCKET
     ))
 
 
-__all__ = ["anomaly_records", "C"]
+def anomaly_records(spark: SparkSession, sf_dir: str, bucket: str = QUERY_BUCKET,
+                    chain: Chain | None = None, hst_flags: DataFrame | None = None) -> DataFrame:
+    """Records of the deterministic chain over the derived logs."""
+    ch = chain or z_chain(spark, sf_dir, bucket)
+    system, llm = logs(spark, sf_dir)
+    return build_records(ch.anomalies(), ch.features, clean_system(system, bucket),
+                         clean_llm(llm, bucket), ch.keys, bucket, hst_flags)
+
+
+__all__ = ["anomaly_records", "build_records", "C"]

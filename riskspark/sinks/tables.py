@@ -72,3 +72,15 @@ def save_progress(spark: SparkSession, path: str, cycle: int, last_scored_until)
     spark.createDataFrame([(cycle, str(last_scored_until))],
                           "cycle int, last_scored_until string").withColumn(
         "saved_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
+
+
+def drop_versions(spark: SparkSession, base: str, versions: list[str]) -> None:
+    """Delete the partitions of expired model versions."""
+    if not versions:
+        return
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in ("forest", "baseline", "meta"):
+        for v in versions:
+            p = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}/version={v}")
+            p.getFileSystem(conf).delete(p, True)
