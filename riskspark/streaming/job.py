@@ -40,13 +40,17 @@ def stream_volume_features(records: DataFrame, bucket: str = C.BUCKET,
     sysl = flag_security(split_by_type(flat)[0])
     http = F.col("http_status_code")
     n = F.count(F.lit(1))
-    return (sysl.withWatermark("timestamp", watermark)
-            .groupBy(F.window("timestamp", bucket).alias("w"))
+    # Watermarks need an instant type: UTC wall-clock (ntz) -> timestamp.
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("timestamp")).cast("timestamp")
+    return (sysl.withColumn("event_time", instant).withWatermark("event_time", watermark)
+            .groupBy(F.window("event_time", bucket).alias("w"))
             .agg(n.cast("double").alias("n_sys_requests"),
                  (F.count_if(http >= 400) / n).alias("error_rate"),
                  (F.count_if(http == 429) / n).alias("rate_limit_rate"),
                  (F.count_if(F.col("is_security_event")) / n).alias("security_event_rate"))
-            .select(F.col("w.start").alias("bucket"), "*").drop("w"))
+            .select(F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                       F.col("w.start").cast("timestamp_ntz")).alias("bucket"),
+                    "*").drop("w"))
 
 
 def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
