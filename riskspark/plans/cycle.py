@@ -78,9 +78,11 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
         base = materialize(BL.baseline(f_train))
         forest = materialize(IF.fit(BL.feature_vector(f_train, base)))
         version = now.replace("-", "").replace(":", "").replace(" ", "_")
+        off = IF.offset(IF.score(BL.feature_vector(f_train, base), forest)).first()
         ST.save_model(spark, models, version, forest, base,
                       {"training_hours": training_hours, "bucket": bucket,
-                       "n_features": len(C.FEATURE_COLS)})
+                       "n_features": len(C.FEATURE_COLS),
+                       "offset": off["offset"] if off else None})
         vers = spark.read.parquet(f"{models}/meta").select("version").distinct()
         old = [r[0] for r in expired_versions(vers).where("expired").select("version").collect()]
         ST.drop_versions(spark, models, old)                  # W6 (a handful of names)

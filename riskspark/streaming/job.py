@@ -53,10 +53,38 @@ def stream_volume_features(records: DataFrame, bucket: str = C.BUCKET,
                     "*").drop("w"))
 
 
+def score_touched(spark: SparkSession, feats: DataFrame, models: str) -> DataFrame | None:
+    """Score freshly recomputed buckets against the stored model (forest + baseline).
+
+    The model tables are bounded by their parameters; the offset (M5) was
+    stored with the model when it was trained.
+    """
+    from ..operators import baseline as BL
+    from ..operators import iforest as IF
+    from ..sinks.tables import load_latest_model
+    latest = load_latest_model(spark, models)
+    if latest is None:
+        return None
+    version, forest, base = latest
+    meta = (spark.read.parquet(f"{models}/meta").where(F.col("version") == version)
+            .where(F.col("key") == "offset").select(F.col("value").cast("double").alias("offset")))
+    sc = IF.score(BL.feature_vector(feats, base), forest)
+    return IF.predict(sc, meta).withColumn("model_version", F.lit(version))
+
+
+def pulse(spark: SparkSession, batch_id: int, status: str, last_window, path: str) -> None:
+    """K9: one heartbeat row per micro-batch (latest-per-key is read with A24)."""
+    row = [(C.PIPELINE_ID, int(batch_id), status, None if last_window is None else str(last_window))]
+    (spark.createDataFrame(row, "pipeline_id string, cycle int, status string, last_window_start string")
+     .withColumn("sent_at", F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                               F.current_timestamp().cast("timestamp_ntz")))
+     .write.mode("append").parquet(path))
+
+
 def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                bucket: str = C.BUCKET, available_now: bool = True,
-               interval: str = "30 minutes"):
-    """Start the ingest + feature stream; returns the StreamingQuery."""
+               interval: str = "30 minutes", models: str | None = None):
+    """Start the ingest + feature stream; returns the StreamingQuery."""
     records = stream_pages(spark, landing)
     flat = flatten(records, "@timestamp")
 
@@ -77,6 +105,12 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
             feats = build_features(st, lt, bucket).join(touched, "bucket", "left_semi")
             feats.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
                 f"{tables}/features_by_batch")
+            if models:
+                scored = score_touched(spark, feats, models)
+                if scored is not None:
+                    scored.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
+                        f"{tables}/scores_by_batch")
+        pulse(spark, batch_id, "OK", lo_hi[1], f"{tables}/heartbeat")
         batch.unpersist()
 
     w = flat.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

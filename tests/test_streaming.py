@@ -31,3 +31,31 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, scratch):
     q2 = run_ingest(spark, os.path.join(scratch, "landing"), tables, cp, bucket="1 hour")
     q2.awaitTermination(600)
     assert spark.read.parquet(os.path.join(tables, "system_logs")).count() == system.count()
+
+
+def test_malformed_page_is_dropped_or_fails(spark, scratch):
+    import pytest
+    from riskspark.sources.pages import read_pages
+    d = os.path.join(scratch, "pages")
+    os.makedirs(os.path.join(d, "page=1"))
+    os.makedirs(os.path.join(d, "page=2"))
+    with open(os.path.join(d, "page=1", "a.json"), "w") as f:
+        f.write('{"data": [{"_id": "x1", "@timestamp": "2024-01-01T00:00:00Z"}]}\n')
+    with open(os.path.join(d, "page=2", "b.json"), "w") as f:
+        f.write('{"data": [ this is not json\n')
+    rows = read_pages(spark, d).collect()
+    assert [r["_id"] for r in rows] == ["x1"]
+    assert read_pages(spark, d, max_pages=1).count() == 1
+    with pytest.raises(Exception):
+        read_pages(spark, d, strict=True).collect()
+
+
+def test_three_way_export(spark, scratch):
+    from riskspark.plans.common import flat_logs
+    from riskspark.sinks.files import export_splits
+    flat = flat_logs(spark, SF_SMALL)
+    out = export_splits(flat, os.path.join(scratch, "exports"), "20240131_000000")
+    n_all = spark.read.option("header", True).csv(out["all"]).count()
+    n_llm = spark.read.option("header", True).csv(out["llm"]).count()
+    n_sys = spark.read.option("header", True).csv(out["system"]).count()
+    assert n_all == flat.count() == n_llm + n_sys
