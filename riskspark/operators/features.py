@@ -44,10 +44,13 @@ def _value_stats(df: DataFrame, group: list[str], dims: dict[str, Column],
 
     One explode of (dimension, value) per row, collapsed by a partial
     aggregate in the scan stage; the shuffle carries only distinct
-    (group, dimension, value) counts.  Entropy needs each value's share of its
-    dimension total: that window runs on the entropy dimensions' distinct
-    values only (a handful of HTTP methods per bucket), never on wide ones
-    such as IPs.
+    (group, dimension, value) counts, and one more aggregate finishes every
+    dimension at once (no window, no second scan).
+
+    Entropy uses H = ln T - (1/T) sum c ln c - k * eps for value counts c
+    (T their sum, k their number): the expansion of -sum p ln(p + eps) to
+    first order in eps = 1e-10, whose remainder (below eps^2 T) is far under
+    double precision of the result.
     """
     entries = F.array(*[F.struct(F.lit(name).alias("d"), c.cast("string").alias("v"))
                         for name, c in dims.items()])
@@ -60,17 +63,17 @@ def _value_stats(df: DataFrame, group: list[str], dims: dict[str, Column],
         is_d = F.col("d") == name
         aggs.append(F.count_if(is_d).alias(f"nd_{name}"))
         aggs.append(F.max(F.when(is_d, F.col("cnt"))).alias(f"top_{name}"))
+    for name in entropy_dims:
+        is_d = F.col("d") == name
+        c = F.col("cnt").cast("double")
+        aggs.append(F.sum(F.when(is_d, c)).alias(f"__t_{name}"))
+        aggs.append(F.sum(F.when(is_d, c * F.log(c))).alias(f"__s_{name}"))
     stats = long.groupBy(*group).agg(*aggs)
-    if not entropy_dims:
-        return stats
-    part = long.where(F.col("d").isin(*entropy_dims))
-    part = part.withColumn("tot", F.sum("cnt").over(Window.partitionBy(*group, "d")))
-    p = F.col("cnt") / F.col("tot")
-    part = part.withColumn("plogp", -p * F.log(p + F.lit(C.ENTROPY_EPSILON)))
-    ent = part.groupBy(*group).agg(*[
-        F.sum(F.when(F.col("d") == name, F.col("plogp"))).alias(f"ent_{name}")
-        for name in entropy_dims])
-    return stats.join(ent, group, "left")
+    for name in entropy_dims:
+        t, sc, k = F.col(f"__t_{name}"), F.col(f"__s_{name}"), F.col(f"nd_{name}")
+        ent = F.log(t) - sc / t - k.cast("double") * F.lit(C.ENTROPY_EPSILON)
+        stats = stats.withColumn(f"ent_{name}", ent).drop(f"__t_{name}", f"__s_{name}")
+    return stats
 
 
 def system_features(system: DataFrame, bucket: str = C.BUCKET,
