@@ -13,15 +13,16 @@ position with a distributed rank instead:
    (``monotonically_increasing_id`` after ``sortWithinPartitions``);
 4. keep only the rows at ranks floor(pos) and ceil(pos) and interpolate.
 
-Only per-chunk metadata (bounded by partitions + groups) is broadcast, after a
-row-count check.
+The ranked value column is checkpointed once (ids must not change between
+the metadata pass and the pick pass); only per-chunk metadata (bounded by
+partitions + groups) is broadcast, after a row-count check.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import broadcast_if_small
+from .util import broadcast_if_small, materialize
 
 
 def exact_quantile(df: DataFrame, group_cols: list[str], value: Column | str, q: float,
@@ -32,10 +33,12 @@ def exact_quantile(df: DataFrame, group_cols: list[str], value: Column | str, q:
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [*group_cols, "__v"]
-    ranged = (vals.repartitionByRange(n_parts, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
+    # Materialised once: partition ids and positions must be identical for
+    # every consumer (and survive executor loss), so they are checkpointed.
+    ranged = materialize(vals.repartitionByRange(n_parts, *sort_cols)
+                         .sortWithinPartitions(*sort_cols)
+                         .withColumn("__pid", F.spark_partition_id())
+                         .withColumn("__mid", F.monotonically_increasing_id()))
 
     chunks = ranged.groupBy("__pid", *group_cols).agg(
         F.count(F.lit(1)).alias("__c"), F.min("__mid").alias("__mid0"))
