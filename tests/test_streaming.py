@@ -59,3 +59,29 @@ def test_three_way_export(spark, scratch):
     n_llm = spark.read.option("header", True).csv(out["llm"]).count()
     n_sys = spark.read.option("header", True).csv(out["system"]).count()
     assert n_all == flat.count() == n_llm + n_sys
+
+
+def test_cycle_then_stream_scoring(spark, scratch):
+    """X8 + detection cycle: train on the keyed tables, then score a fresh stream."""
+    from riskspark.plans.cycle import detect_cycle
+    from riskspark.plans.ml_queries import land_tables
+    tables, models = os.path.join(scratch, "t"), os.path.join(scratch, "m")
+    land_tables(spark, SF_SMALL, tables)
+    res = detect_cycle(spark, tables, models, "2024-01-31 00:00:00", cycle=1, bucket="1 hour",
+                       training_hours=24 * 31, fresh_since="2024-01-01 00:00:00")
+    assert res.ready and res.retrained and res.records.count() > 0
+    assert set(r["status"] for r in res.outbox.select("status").distinct().collect()) <= {"QUEUED", "SKIPPED"}
+    # Cycle 2 reuses the stored model (retrain every second cycle).
+    res2 = detect_cycle(spark, tables, models, "2024-01-31 00:00:00", cycle=2, bucket="1 hour",
+                        training_hours=24 * 31, fresh_since="2024-01-30 00:00:00")
+    assert res2.ready and not res2.retrained
+    raw = raw_logs(spark, SF_SMALL).withColumnRenamed("event_ts", "@timestamp")
+    page = (F.floor(F.split("_id", "-").getItem(1).cast("bigint") / 100) + 1).cast("int")
+    land_pages(raw.withColumn("page", page), os.path.join(scratch, "landing"))
+    q = run_ingest(spark, os.path.join(scratch, "landing"), os.path.join(scratch, "s"),
+                   os.path.join(scratch, "cp"), bucket="1 hour", models=models)
+    q.awaitTermination(600)
+    scored = spark.read.parquet(os.path.join(scratch, "s", "scores_by_batch"))
+    assert scored.count() > 0 and scored.where("prediction = -1").count() > 0
+    hb = spark.read.parquet(os.path.join(scratch, "s", "heartbeat"))
+    assert hb.where("pipeline_id = 'main_pipeline'").count() >= 1
