@@ -115,3 +115,26 @@ def q_detect_cycle(spark, sf_dir):
     return present(res.records.select(
         "anomaly_id", "bucket_start", "anomaly_type", "severity", "anomaly_score", "n_requests",
         "n_unique_ips", "error_rate", "top_ip", "reason", "attack_category", "hst_confirmed"))
+
+
+@register("q_stream_features", O.base_ctes(B) + O.select_rounded(
+    ["bucket", *C.FEATURE_COLS], set(C.FEATURE_COLS), "features"))
+def q_stream_features(spark, sf_dir):
+    """The streaming ingest (availableNow over landed pages):
+    keyed upserts per micro-batch, then the features of the touched buckets
+    recomputed from the keyed tables."""
+    import uuid
+    from pyspark.sql import functions as F2
+    from ..session import shared_dir
+    from ..sinks.files import land_pages
+    from ..sources.fixture import raw_logs
+    from ..streaming.job import run_ingest
+    base = shared_dir(spark, f"stream/{uuid.uuid4().hex}")
+    raw = raw_logs(spark, sf_dir).withColumnRenamed("event_ts", "@timestamp")
+    page = (F2.floor(F2.split("_id", "-").getItem(1).cast("bigint") / 100) + 1).cast("int")
+    land_pages(raw.withColumn("page", page), f"{base}/landing")
+    q = run_ingest(spark, f"{base}/landing", f"{base}/tables", f"{base}/cp", bucket=B)
+    q.awaitTermination()
+    feats = spark.read.parquet(f"{base}/tables/features_by_batch")
+    latest = feats.groupBy("bucket").agg(F2.max("batch_id").alias("batch_id"))
+    return present(feats.join(latest, ["bucket", "batch_id"]).select("bucket", *C.FEATURE_COLS))
