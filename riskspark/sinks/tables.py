@@ -84,3 +84,17 @@ def drop_versions(spark: SparkSession, base: str, versions: list[str]) -> None:
         for v in versions:
             p = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}/version={v}")
             p.getFileSystem(conf).delete(p, True)
+
+
+def replay_exports(spark: SparkSession, csv_dir: str, schema, table: str,
+                   key: str = "_id") -> None:
+    """Re-upsert exported CSV snapshots into a keyed table (idempotent)."""
+    from ..schemas import align_to
+    from .files import read_csv
+    merge_into(spark, table, align_to(read_csv(spark, csv_dir, schema), schema), key)
+
+
+def write_embedded_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """K10 re-aimed: keep a failed batch as one row of JSON text (replayed with S11)."""
+    (df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("records"))
+     .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path))

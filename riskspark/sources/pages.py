@@ -32,12 +32,18 @@ def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool
     return pages.select("page", F.explode("data").alias("r")).select("page", "r.*")
 
 
-def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
-                 ) -> DataFrame:
-    """The same landing directory as a file stream (new pages = new files)."""
+def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                 archive_dir: str | None = None) -> DataFrame:
+    """The same landing directory as a file stream (new pages = new files).
+
+    K12: with ``archive_dir`` processed page files are moved out of the
+    landing folder once committed (``cleanSource=archive``).
+    """
     rs = spark.readStream.schema(page_schema()).option("mode", "DROPMALFORMED")
     if max_files_per_trigger:
         rs = rs.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        rs = rs.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return rs.json(path).select(F.explode("data").alias("r")).select("r.*")
 
 
@@ -65,3 +71,9 @@ def reconcile(manifest: DataFrame, records: DataFrame, window: str = "30 minutes
         "window_start", "window_end", "total_pages", "total_records", "scanned",
         (F.col("scanned") == F.col("total_records")).alias("complete"),
         F.coalesce(prev != F.col("window_start"), F.lit(True)).alias("changed"))
+
+
+def read_embedded_records(df: DataFrame, col: str, schema: StructType) -> DataFrame:
+    """Records stored as JSON text (an array of objects per row) back as rows."""
+    arr = F.from_json(F.col(col), ArrayType(schema))
+    return df.select(F.inline(arr))

@@ -81,6 +81,19 @@ def pulse(spark: SparkSession, batch_id: int, status: str, last_window, path: st
      .write.mode("append").parquet(path))
 
 
+def quality(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Rows per split and security events marked, one row per micro-batch."""
+    lt = F.col("logtype")
+    sec = (lt == "SECURITY") | ((lt == "ERROR") & F.coalesce(F.col("http_status_code") >= 400,
+                                                            F.lit(False)))
+    return batch.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(lt.isin(*C.SYSTEM_LOG_TYPES)).alias("n_system"),
+        F.count_if(lt.isin(*C.LLM_LOG_TYPES)).alias("n_llm"),
+        F.count_if(lt.isin(*C.SYSTEM_LOG_TYPES) & sec).alias("n_security")
+    ).withColumn("batch_id", F.lit(batch_id))
+
+
 def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                bucket: str = C.BUCKET, available_now: bool = True,
                interval: str = "30 minutes", models: str | None = None):
@@ -92,6 +105,7 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
         batch = batch.persist()
         system, llm = split_by_type(batch)
         system = flag_security(system)
+        quality(batch, batch_id).write.mode("append").parquet(f"{tables}/batch_quality")
         merge_into(spark, f"{tables}/system_logs", align_to(system, schemas.SYSTEM_LOGS))
         merge_into(spark, f"{tables}/llm_logs", align_to(llm, schemas.LLM_LOGS))
         # Touched buckets, recomputed from the keyed tables (late rows included).
