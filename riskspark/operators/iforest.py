@@ -7,8 +7,9 @@ per tree before ranking, so the rows x trees expansion stays small), then
 <= psi rows).  The forest is a small table: trees x (2*psi - 1) nodes at most,
 a bound fixed by the parameters, not by the data.
 
-Score: the forest table is shipped to the tasks once and every Arrow batch of
-feature vectors is traversed with NumPy in ``mapInPandas``;
+Score: an unkeyed forest is shipped to the tasks once and every Arrow batch of
+feature vectors is traversed with NumPy in ``mapInPandas``; keyed forests
+are co-grouped with their key's vectors;
 score = -2^(-E[h(x)] / c(psi)) (lower = more anomalous).
 Predict: flag scores strictly below the ``contamination`` quantile of the
 training scores.
@@ -67,30 +68,45 @@ def _grow(tree_id: int, X: np.ndarray, psi: int, seed: int) -> list[tuple]:
 
 
 def fit(vectors: DataFrame, n_trees: int = C.IFOREST_TREES, sample: int = C.IFOREST_SAMPLE,
-        seed: int = C.IFOREST_SEED, id_col: str = "bucket") -> DataFrame:
-    """M3: grow the forest from (id, x array<double>) training rows -> forest table."""
-    n = vectors.count()
-    psi = int(min(sample, n))
-    if psi == 0:
-        return vectors.sparkSession.createDataFrame([], FOREST_SCHEMA)
-    keep = min(1.0, 4.0 * psi / n + 0.01)
+        seed: int = C.IFOREST_SEED, id_col: str = "bucket", keys: list[str] | None = None
+        ) -> DataFrame:
+    """M3: grow one forest per key from (keys, id, x array<double>) rows -> forest table.
+
+    psi = min(sample, rows of the key).  Each (key, tree) group holds at most
+    psi rows, so tree growing is bounded whatever the data volume.
+    """
+    keys = list(keys or [])
+    from pyspark.sql import Window
+    sizes = vectors.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    from .classify import join_per_key
+    v = join_per_key(vectors.select(*keys, id_col, "x"), sizes, keys)
+    psi = F.least(F.col("__n"), F.lit(sample))
+    keep = F.least(F.lit(1.0), F.lit(4.0) * psi / F.col("__n") + F.lit(0.01))
     trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id")
-    h = F.xxhash64(F.col(id_col).cast("string"), F.col("tree_id"), F.lit(seed))
+    h = F.xxhash64(*[F.col(k).cast("string") for k in keys], F.col(id_col).cast("string"),
+                   F.col("tree_id"), F.lit(seed))
     u = (F.abs(h % F.lit(1_000_003)).cast("double") / F.lit(1_000_003.0))
-    draws = (vectors.select(id_col, "x", trees)
-             .withColumn("u", u).where(F.col("u") < F.lit(keep)))
-    from pyspark.sql import Window
-    w = Window.partitionBy("tree_id").orderBy("u", id_col)
-    sampled = draws.withColumn("r", F.row_number().over(w)).where(F.col("r") <= psi)
+    draws = (v.select(*keys, id_col, "x", psi.alias("psi"), keep.alias("keep"), trees)
+             .withColumn("u", u).where(F.col("u") < F.col("keep")))
+    w = Window.partitionBy(*keys, "tree_id").orderBy("u", id_col)
+    sampled = draws.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("psi"))
+    key_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, "
+                         for f in vectors.schema.fields if f.name in keys)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tid = int(pdf["tree_id"].iloc[0])
+        p = int(pdf["psi"].iloc[0])
         X = np.array(pdf.sort_values("r")["x"].tolist(), dtype=float)
-        rows = _grow(tid, X, psi, seed)
-        return pd.DataFrame(rows, columns=["tree_id", "node_id", "feature", "threshold", "left",
-                                           "right", "size", "depth", "psi"])
+        rows = _grow(tid, X, p, seed)
+        out = pd.DataFrame(rows, columns=["tree_id", "node_id", "feature", "threshold", "left",
+                                          "right", "size", "depth", "psi"])
+        for k in keys:
+            out.insert(0, k, pdf[k].iloc[0])
+        return out[[*keys, "tree_id", "node_id", "feature", "threshold", "left", "right", "size",
+                    "depth", "psi"]]
 
-    return sampled.select("tree_id", "r", "x").groupBy("tree_id").applyInPandas(grow, FOREST_SCHEMA)
+    return (sampled.select(*keys, "tree_id", "r", "psi", "x").groupBy(*keys, "tree_id")
+            .applyInPandas(grow, key_schema + FOREST_SCHEMA))
 
 
 def _forest_arrays(forest_pdf: pd.DataFrame):
@@ -117,28 +133,52 @@ def _path_lengths(X: np.ndarray, tree) -> np.ndarray:
     return depth[node] + adj
 
 
-def score(vectors: DataFrame, forest: DataFrame, id_cols: list[str] | None = None) -> DataFrame:
-    """M4: anomaly score of every row: -2^(-E[h] / c(psi)), in [-1, 0)."""
-    id_cols = list(id_cols or ["bucket"])
-    forest_pdf = forest.toPandas()          # parameter-bounded model table (<= trees x 511 rows)
-    model = vectors.sparkSession.sparkContext.broadcast(forest_pdf)
+def _score_arrays(X: np.ndarray, trees, psi: int) -> np.ndarray:
+    cn = c_factor(psi) or 1.0
+    h = np.zeros(len(X))
+    for t in trees:
+        h += _path_lengths(X, t)
+    h /= max(len(trees), 1)
+    return -np.power(2.0, -h / cn)
+
+
+def score(vectors: DataFrame, forest: DataFrame, id_cols: list[str] | None = None,
+          keys: list[str] | None = None) -> DataFrame:
+    """M4: anomaly score of every row against its key's forest: -2^(-E[h] / c(psi)).
+
+    Unkeyed: the single forest (bounded by its parameters: trees x (2 psi - 1)
+    nodes) is broadcast and Arrow batches are scored in ``mapInPandas``.
+    Keyed: the model grows with the number of keys, so it is not broadcast;
+    each key's vectors are co-grouped with that key's forest instead
+    (``cogroup.applyInPandas``), one bounded group per key.
+    """
+    keys = list(keys or [])
+    id_cols = [*keys, *[c for c in (id_cols or ["bucket"]) if c not in keys]]
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in vectors.schema.fields if f.name in id_cols)
     out_schema += ", anomaly_score double"
+    if keys:
+        def per_key(vp: pd.DataFrame, fp: pd.DataFrame) -> pd.DataFrame:
+            if len(vp) == 0 or len(fp) == 0:
+                return pd.DataFrame(columns=[*id_cols, "anomaly_score"])
+            trees, psi = _forest_arrays(fp)
+            out = vp[id_cols].copy()
+            out["anomaly_score"] = _score_arrays(np.array(vp["x"].tolist(), dtype=float), trees, psi)
+            return out
+        return (vectors.select(*id_cols, "x").groupBy(*keys)
+                .cogroup(forest.groupBy(*keys)).applyInPandas(per_key, out_schema))
+
+    forest_pdf = forest.toPandas()
+    model = vectors.sparkSession.sparkContext.broadcast(forest_pdf)
 
     def run(batches):
         trees, psi = _forest_arrays(model.value)
-        cn = c_factor(psi) or 1.0
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            X = np.array(pdf["x"].tolist(), dtype=float)
-            h = np.zeros(len(X))
-            for t in trees:
-                h += _path_lengths(X, t)
-            h /= max(len(trees), 1)
             out = pdf[id_cols].copy()
-            out["anomaly_score"] = -np.power(2.0, -h / cn)
+            out["anomaly_score"] = _score_arrays(np.array(pdf["x"].tolist(), dtype=float),
+                                                 trees, psi)
             yield out
 
     return vectors.select(*id_cols, "x").mapInPandas(run, out_schema)

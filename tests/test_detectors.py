@@ -41,3 +41,21 @@ def test_hst_properties_and_restart(spark):
     out = HS.score_batch(HS.scaled_inputs(ch.features, HS.baseline_minmax(ch.features))).toPandas()
     assert ((out["hst_score"] >= 0) & (out["hst_score"] <= 1)).all()
     assert not out.sort_values("bucket")["hst_flag"].head(8).any()
+
+
+def test_keyed_forest(spark):
+    """One forest per environment; every bucket of every key gets a score."""
+    from riskspark.operators import baseline as BL
+    from riskspark.operators.features import build_features
+    from riskspark.plans.common import logs
+    from conftest import SF_SMALL
+    system, llm = logs(spark, SF_SMALL)
+    feats = build_features(system, llm, "1 hour", keys=["sap_app_env"])
+    base = BL.baseline(feats, ["sap_app_env"])
+    vec = BL.feature_vector(feats, base, ["sap_app_env"])
+    forest = IF.fit(vec, n_trees=20, keys=["sap_app_env"])
+    assert forest.select("sap_app_env").distinct().count() == 3
+    sc = IF.score(vec, forest, keys=["sap_app_env"])
+    assert sc.count() == feats.count()
+    pred = IF.predict(sc, IF.offset(sc, keys=["sap_app_env"]), ["sap_app_env"]).toPandas()
+    assert pred.groupby("sap_app_env")["prediction"].apply(lambda s: (s == -1).mean()).between(0.0, 0.1).all()
