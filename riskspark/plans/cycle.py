@@ -49,7 +49,11 @@ def should_retrain(cycle: int, has_model: bool, every: int = C.RETRAIN_EVERY) ->
 def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle: int = 1,
                  bucket: str = C.BUCKET, training_hours: float = C.TRAINING_HOURS,
                  fresh_since: str | None = None, last_scored_until: str | None = None,
-                 min_training_hours: float = C.MIN_TRAINING_HOURS) -> CycleResult:
+                 min_training_hours: float = C.MIN_TRAINING_HOURS,
+                 keys: list[str] | None = None) -> CycleResult:
+    """One cycle; ``keys`` (e.g. environment) gives one model and series per key."""
+    keys = list(keys or [])
+    k = [*keys, "bucket"]
     st = spark.read.parquet(f"{tables}/system_logs")
     lt = spark.read.parquet(f"{tables}/llm_logs")
     span = data_span(st, min_training_hours).first()
@@ -67,18 +71,19 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
             fresh_sys = TB.scan_after(st, last_scored_until, TB.SYSTEM_SCAN_COLS)
             fresh_llm = TB.scan_after(lt, last_scored_until, TB.LLM_SCAN_COLS)
 
-    f_train = materialize(build_features(train_sys, train_llm, bucket))
-    f_score = materialize(build_features(fresh_sys, fresh_llm, bucket))
+    f_train = materialize(build_features(train_sys, train_llm, bucket, keys))
+    f_score = materialize(build_features(fresh_sys, fresh_llm, bucket, keys))
     if f_train.count() < 5:                               # F14
         return CycleResult(True, False, None, None, None, None)
 
     latest = ST.load_latest_model(spark, models)
     retrain = should_retrain(cycle, latest is not None)
     if retrain:
-        base = materialize(BL.baseline(f_train))
-        forest = materialize(IF.fit(BL.feature_vector(f_train, base)))
+        base = materialize(BL.baseline(f_train, keys))
+        forest = materialize(IF.fit(BL.feature_vector(f_train, base, keys), keys=keys))
         version = now.replace("-", "").replace(":", "").replace(" ", "_")
-        off = IF.offset(IF.score(BL.feature_vector(f_train, base), forest)).first()
+        off = None if keys else IF.offset(
+            IF.score(BL.feature_vector(f_train, base), forest)).first()
         ST.save_model(spark, models, version, forest, base,
                       {"training_hours": training_hours, "bucket": bucket,
                        "n_features": len(C.FEATURE_COLS),
@@ -89,23 +94,22 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
     else:
         version, forest, base = latest
 
-    train_scores = IF.score(BL.feature_vector(f_train, base), forest)
-    scores = IF.score(BL.feature_vector(f_score, base), forest)
-    pred = materialize(IF.predict(scores, IF.offset(train_scores)))
-    hst = HS.score_batch(HS.scaled_inputs(f_score, HS.baseline_minmax(f_train)))
-    hst_gated = hst.select("bucket", (F.col("hst_flag") & F.col("warm")).alias("flag"),
-                           F.col("hst_flag"))
-    conf = combine_flags(pred.select("bucket", (F.col("prediction") == -1).alias("flag")),
-                         hst_gated, [])
-    flagged = pred.where(F.col("prediction") == -1).select("bucket", "anomaly_score")
-    z = BL.zscores(f_score, base)
-    top = BL.top_deviations(z)
-    anoms = CL.classify(flagged, f_score, top, BL.train_stats(base), CL.rules_frame(spark), [],
-                        run_gap_minutes(bucket))
+    train_scores = IF.score(BL.feature_vector(f_train, base, keys), forest, keys=keys)
+    scores = IF.score(BL.feature_vector(f_score, base, keys), forest, keys=keys)
+    pred = materialize(IF.predict(scores, IF.offset(train_scores, keys=keys), keys))
+    hst = HS.score_batch(HS.scaled_inputs(f_score, HS.baseline_minmax(f_train, keys), keys), keys)
+    hst_gated = hst.select(*k, (F.col("hst_flag") & F.col("warm")).alias("flag"))
+    conf = combine_flags(pred.select(*k, (F.col("prediction") == -1).alias("flag")),
+                         hst_gated, keys)
+    flagged = pred.where(F.col("prediction") == -1).select(*k, "anomaly_score")
+    z = BL.zscores(f_score, base, keys)
+    top = BL.top_deviations(z, keys)
+    anoms = CL.classify(flagged, f_score, top, BL.train_stats(base, keys), CL.rules_frame(spark),
+                        keys, run_gap_minutes(bucket))
     sysb = clean_system(fresh_sys, bucket)
     llmb = clean_llm(fresh_llm, bucket)
-    records = build_records(anoms, f_score, sysb, llmb, [], bucket,
-                            hst_flags=conf.select("bucket", F.col("hst_confirmed").alias("hst_flag")))
+    records = build_records(anoms, f_score, sysb, llmb, keys, bucket,
+                            hst_flags=conf.select(*k, F.col("hst_confirmed").alias("hst_flag")))
     box = AL.outbox(records.withColumnRenamed("bucket_start", "bucket")
                     .withColumn("n_requests", F.col("n_requests").cast("double")))
     ST.merge_into(spark, f"{tables}/anomalies", records.drop("details", "top_deviations"),

@@ -106,3 +106,17 @@ def test_embedded_batch_and_csv_replay(spark, scratch):
     merge_into(spark, t, table)
     replay_exports(spark, os.path.join(scratch, "csv"), schemas.SYSTEM_LOGS, t)
     assert spark.read.parquet(t).count() == table.count()
+
+
+def test_keyed_cycle(spark, scratch):
+    """The cycle with keys: one baseline, forest and HST series per environment."""
+    from riskspark.plans.cycle import detect_cycle
+    from riskspark.plans.ml_queries import land_tables
+    tables, models = os.path.join(scratch, "t"), os.path.join(scratch, "m")
+    land_tables(spark, SF_SMALL, tables)
+    res = detect_cycle(spark, tables, models, "2024-01-31 00:00:00", cycle=1, bucket="1 hour",
+                       training_hours=24 * 31, fresh_since="2024-01-01 00:00:00",
+                       keys=["sap_app_env"])
+    rec = res.records.toPandas()
+    assert len(rec) > 0 and set(rec["sap_app_env"]) <= {"production", "staging", "dev"}
+    assert rec["anomaly_id"].is_unique
