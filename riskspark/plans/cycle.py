@@ -82,21 +82,21 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
         base = materialize(BL.baseline(f_train, keys))
         forest = materialize(IF.fit(BL.feature_vector(f_train, base, keys), keys=keys))
         version = now.replace("-", "").replace(":", "").replace(" ", "_")
-        off = None if keys else IF.offset(
-            IF.score(BL.feature_vector(f_train, base), forest)).first()
+    else:
+        version, forest, base = latest
+    train_scores = materialize(IF.score(BL.feature_vector(f_train, base, keys), forest, keys=keys))
+    off = materialize(IF.offset(train_scores, keys=keys))
+    if retrain:
+        one = None if keys else off.first()
         ST.save_model(spark, models, version, forest, base,
                       {"training_hours": training_hours, "bucket": bucket,
                        "n_features": len(C.FEATURE_COLS),
-                       "offset": off["offset"] if off else None})
+                       "offset": one["offset"] if one else None})
         vers = spark.read.parquet(f"{models}/meta").select("version").distinct()
         old = [r[0] for r in expired_versions(vers).where("expired").select("version").collect()]
         ST.drop_versions(spark, models, old)                  # W6 (a handful of names)
-    else:
-        version, forest, base = latest
-
-    train_scores = IF.score(BL.feature_vector(f_train, base, keys), forest, keys=keys)
     scores = IF.score(BL.feature_vector(f_score, base, keys), forest, keys=keys)
-    pred = materialize(IF.predict(scores, IF.offset(train_scores, keys=keys), keys))
+    pred = materialize(IF.predict(scores, off, keys))
     hst = HS.score_batch(HS.scaled_inputs(f_score, HS.baseline_minmax(f_train, keys), keys), keys)
     hst_gated = hst.select(*k, (F.col("hst_flag") & F.col("warm")).alias("flag"))
     conf = combine_flags(pred.select(*k, (F.col("prediction") == -1).alias("flag")),
