@@ -48,7 +48,7 @@ def _path(x: np.ndarray, present: np.ndarray, feat, thr, height: int) -> list[in
     node, out = 0, [0]
     for _ in range(height):
         f = feat[node]
-        # Missing feature: river skips it by following the left branch.
+        # Missing feature (decision): follow the left branch.
         go_left = (not present[f]) or x[f] < thr[node]
         node = 2 * node + 1 if go_left else 2 * node + 2
         out.append(node)
