@@ -17,17 +17,25 @@ def _ts_lit(ts) -> F.Column:
     return F.lit(ts).cast("timestamp_ntz") if isinstance(ts, str) else ts
 
 
+def _prune(table: DataFrame, lower) -> DataFrame:
+    """Date-partitioned tables (``dt``): add the partition predicate so the
+    scan skips whole days (PartitionFilters), not just row groups."""
+    if "dt" in table.columns:
+        return table.where(F.col("dt") >= F.to_date(_ts_lit(lower)))
+    return table
+
+
 def scan_since(table: DataFrame, since, cols: list[str] | None = None,
                ts_col: str = "timestamp") -> DataFrame:
     """Rows with ts >= since (inclusive lower bound), listed columns only."""
-    df = table.where(F.col(ts_col) >= _ts_lit(since))
+    df = _prune(table, since).where(F.col(ts_col) >= _ts_lit(since))
     return df.select(*[c for c in (cols or table.columns) if c in table.columns])
 
 
 def scan_after(table: DataFrame, last, cols: list[str] | None = None,
                ts_col: str = "timestamp") -> DataFrame:
     """Catch-up rows strictly after the last scored instant."""
-    df = table.where(F.col(ts_col) > _ts_lit(last))
+    df = _prune(table, last).where(F.col(ts_col) > _ts_lit(last))
     return df.select(*[c for c in (cols or table.columns) if c in table.columns])
 
 

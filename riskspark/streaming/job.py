@@ -114,8 +114,9 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
         lt = spark.read.parquet(f"{tables}/llm_logs")
         lo_hi = touched.agg(F.min("bucket"), F.max("bucket")).first()
         if lo_hi[0] is not None:
-            st = st.where(F.col("timestamp") >= lo_hi[0])
-            lt = lt.where(F.col("timestamp") >= lo_hi[0])
+            lo = F.lit(lo_hi[0])
+            st = st.where((F.col("dt") >= F.to_date(lo)) & (F.col("timestamp") >= lo))
+            lt = lt.where((F.col("dt") >= F.to_date(lo)) & (F.col("timestamp") >= lo))
             feats = build_features(st, lt, bucket).join(touched, "bucket", "left_semi")
             feats.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
                 f"{tables}/features_by_batch")
