@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, secrets
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,7 +24,27 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and a digest of the rules' spans, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    spans = F.col("spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(found):
+        return F.array_join(F.transform(found, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return secrets.scan(docs, secrets.fit(docs)).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined(F.filter(spans, lambda s: s["kind"] != "markov")), 256).alias("base_sha256"),
+        joined(spans).alias("spans"), count("markov").alias("n_markov"))
+
+
 QUERIES = {
+    "op4_secrets": op4_secrets,
     "op2_bpe": op2_bpe,
 }
 ORACLES: dict[str, str] = {}
