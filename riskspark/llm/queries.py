@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secrets
+from . import bpe, secrets, toxicity
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and a digest of the rules' spans, and all spans."""
     docs = table(spark, sf_dir, "documents")
@@ -44,6 +53,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
     "op2_bpe": op2_bpe,
 }
