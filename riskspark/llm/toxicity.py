@@ -33,6 +33,8 @@ MOST_UNLABELLED = 20_000
 #: Features: so many at most, in so many texts of P at least, so much commoner there
 #: than in other texts, and by chance with a probability of exp(-16) at most.
 MOST_FEATURES, LEAST_TEXTS, LEAST_LIFT, LEAST_SURPRISE = 1024, 5, 3.0, 16.0
+#: So many of the most telling features bound the class prior.
+TELLING = 10
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
 #: Words a worker remembers as having no feature.
@@ -78,7 +80,7 @@ def held_out(id_col: str = "doc_id"):
 
 
 def nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05,
-         decay: float = 1e-4) -> tuple[np.ndarray, float]:
+         decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias that lower the non-negative risk (Adam, whole batches).
 
     Where the corrected negative part falls below nought, the step goes back
@@ -114,8 +116,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         most_unlabelled: int = MOST_UNLABELLED) -> Model:
     """The classifier from toxic rows of ``labels`` that are not held out.
 
-    The class prior is the share of toxic rows among those.  Without a toxic
-    row, or without any text, the model has no features and scores 0.01.
+    The class prior is the share of toxic rows among those, or less if U has fewer
+    of the most telling features than that share says.  Without a toxic row, or
+    without any text, the model has no features and scores 0.01.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -171,6 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for r in sorted(got, key=lambda r: (r.p, r.found)):
         x[r.p][at[r.p], r.found] = 1.0
         at[r.p] += 1
+    # U has the share ``prior`` of P's features and more: the most telling ones bound the prior
+    # from above, should toxic texts be labelled more often than others.
+    hits = {y: float(x[y][:, :TELLING].any(axis=1).mean()) for y in x}
+    if hits[1] > 0:
+        prior = min(prior, max(hits[0] / hits[1], 1e-3))
     w, bias = nnpu(x[1], x[0], prior)
     return Model({f: float(w[i]) for f, i in index.items()}, bias)
 
