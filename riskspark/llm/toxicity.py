@@ -6,8 +6,8 @@ unlabelled texts (U) with the class-prior-corrected, non-negative risk
     prior * mean_P loss(+f) + max(0, mean_U loss(-f) - prior * mean_P loss(-f)),
 
 where loss is the logistic loss.  Texts labelled as harmless are not used.
-Features are the presence of words and of word beginnings and ends; those
-kept are much commoner in P than in U.
+Features are the presence of words, and of word beginnings and ends in one,
+two or three different words; those kept are much commoner in P than in U.
 
 The fit reads at most about ``most_positive`` and ``most_unlabelled`` texts,
 chosen by a hash of the id.  Feature counts are summed by Spark; the driver
@@ -50,6 +50,14 @@ def features_of(word: str) -> list[str]:
     return out
 
 
+def text_features(text: str) -> set[str]:
+    """Features of a text: of each of its words, and (marked 2 or 3) beginnings and
+    ends that two, or three, different words share."""
+    times = Counter(f for w in set(WORD.findall(text.lower())) for f in features_of(w))
+    return {*times, *("2" + f for f, n in times.items() if n > 1),
+            *("3" + f for f, n in times.items() if n > 2)}
+
+
 @dataclass
 class Model:
     """Weights by feature, and the weight of every text."""
@@ -58,19 +66,21 @@ class Model:
 
     def __post_init__(self):
         self._plain: set[str] = set()
+        self._single = {f.lstrip("23") for f in self.weights}
 
     def score(self, text: str) -> float:
         words = set(WORD.findall(text.lower())) - self._plain
-        found: set[str] = set()
+        found: Counter = Counter()
         for w in words:
-            own = [f for f in features_of(w) if f in self.weights]
+            own = [f for f in features_of(w) if f in self._single]
             if own:
                 found.update(own)
             else:
                 self._plain.add(w)
         if len(self._plain) > CACHE_WORDS:
             self._plain.clear()
-        f = self.bias + sum(self.weights[x] for x in sorted(found))
+        f = self.bias + sum(self.weights.get(mark + x, 0.0) for x, n in sorted(found.items())
+                            for mark in ("", "2", "3")[:n])
         return float(1.0 / (1.0 + np.exp(-np.clip(f, -30.0, 30.0))))
 
 
@@ -143,8 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for b in batches:
             found: Counter = Counter()
             for t, y in zip(b["text"], b["p"], strict=True):
-                own = {f for w in set(WORD.findall(t.lower())) for f in features_of(w)}
-                found.update((f, y) for f in own)
+                found.update((f, y) for f in text_features(t))
             yield pd.DataFrame({"feature": [f for f, _ in found], "p": [y for _, y in found],
                                 "n": list(found.values())})
 
@@ -165,8 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"p": b["p"], "found": [
-                sorted({index[f] for w in set(WORD.findall(t.lower())) for f in features_of(w) if f in index})
-                for t in b["text"]]})
+                sorted(index[f] for f in text_features(t) if f in index) for t in b["text"]]})
 
     got = sample.mapInPandas(indexed, "p int, found array<int>").collect()  # the bounded sample
     x = {1: np.zeros((np_, len(chosen)), np.float32), 0: np.zeros((nu, len(chosen)), np.float32)}
