@@ -1,7 +1,8 @@
 """Near-duplicate classes by ProbMinHash signatures, banding and verification.
 
-A text is a weighted set: its shingles of five words, each weighted by how
-often it occurs.  Two texts are near copies if their probability Jaccard
+A text is a weighted set: its shingles of five words, one that occurs n times
+with weight 1 + ln n (with weight n, a phrase repeated hundreds of times would
+make copies of texts that have nothing else in common).  Two texts are near copies if their probability Jaccard
 similarity
 
     sum over d in both of 1 / sum over d' of max(x[d'] / x[d], y[d'] / y[d])
@@ -86,7 +87,7 @@ def weighted_shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarr
     weight = np.diff(np.concatenate((new, [len(key)])))
     key = key[new]
     return ((key >> np.uint64(SHINGLE_BITS)).astype(np.int64),
-            key & np.uint64((1 << SHINGLE_BITS) - 1), weight.astype(np.float64))
+            key & np.uint64((1 << SHINGLE_BITS) - 1), 1.0 + np.log(weight))
 
 
 def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
@@ -221,10 +222,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             ends = pa.array(np.searchsorted(owner, np.arange(b.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), pa.ListArray.from_arrays(ends, pa.array(shingle.astype(np.int64))),
-                 pa.ListArray.from_arrays(ends, pa.array(weight.astype(np.int32)))],
+                 pa.ListArray.from_arrays(ends, pa.array(weight))],
                 names=["node", "shingles", "weights"])
 
-    shingles = stored(whole.mapInArrow(shingled, "node binary, shingles array<bigint>, weights array<int>"),
+    shingles = stored(whole.mapInArrow(shingled, "node binary, shingles array<bigint>, weights array<double>"),
                       "shingles")
     signed = texts.select(F.col("node").alias("a"), F.col("signature").alias("qa"))
     signed_b = texts.select(F.col("node").alias("b"), F.col("signature").alias("qb"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, probminhash, secrets, toxicity
+from . import bpe, pfair, probminhash, secrets, toxicity
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(spans).alias("spans"), count("markov").alias("n_markov"))
 
 
+def op6_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot of every document when sources are mixed to their target weights."""
+    return pfair.schedule(table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "chars", "block", "phase", "slot", "release", "deadline")
+
+
 def op8_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return probminhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
@@ -60,6 +66,7 @@ def op8_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
+    "op6_pfair": op6_pfair,
     "op8_probminhash": op8_probminhash,
     "op2_bpe": op2_bpe,
 }
