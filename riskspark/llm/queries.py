@@ -5,11 +5,14 @@ table.  ``ORACLES`` has DuckDB SQL where SQL can express the result.
 """
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pfair, probminhash, secrets, toxicity
+from ..session import shared_dir
+from . import bpe, pfair, probminhash, secrets, toxicity, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,11 +66,35 @@ def op8_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archive."""
+    path = f"{shared_dir(spark, 'llm')}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest",
+        "record_type", "refers_to")
+
+
 QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
     "op6_pfair": op6_pfair,
     "op8_probminhash": op8_probminhash,
+    "op9_warc": op9_warc,
     "op2_bpe": op2_bpe,
 }
-ORACLES: dict[str, str] = {}
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n,
+                  sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS r FROM pages)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1) for i in generate_series(0, 31)], '')
+    AS payload_digest,
+  CASE WHEN page_id = r THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = r THEN NULL ELSE r END AS refers_to
+FROM p
+"""
+
+#: Learned models, iterations and tokenizers are outside SQL: their tests compare with brute force.
+ORACLES: dict[str, str] = {"op9_warc": OP9_SQL}
