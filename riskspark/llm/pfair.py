@@ -133,7 +133,9 @@ def blocks_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.xxhash64(text).alias("digest"), F.greatest(F.length(text), F.lit(1)).cast("long").alias("chars"))
     rows = rows.withColumn("rank", F.shiftrightunsigned(F.xxhash64(F.lit(6), "doc_id", "digest"), 1))
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.join(sizes.select("source", F.ceil(F.col("n") / bucket_rows).cast("double").alias("cuts")), "source")
+    # One row a source, which the driver holds as well: small enough to be sent to every task.
+    rows = rows.join(F.broadcast(sizes.select(
+        "source", F.ceil(F.col("n") / bucket_rows).cast("double").alias("cuts"))), "source")
     rows = rows.withColumn("bucket", F.floor(F.col("rank") / F.lit(2.0 ** 63) * F.col("cuts")).cast("long"))
     totals = rows.groupBy("source", "bucket").agg(F.sum("chars").alias("total"))
     before = totals.select("source", "bucket", (F.sum("total").over(
