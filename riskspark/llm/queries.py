@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, pfair, probminhash, secrets, toxicity, warc
+from . import bpe, imatch, pfair, probminhash, quality, secrets, toxicity, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,6 +61,14 @@ def op6_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "chars", "block", "phase", "slot", "release", "deadline")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document: counts, the plain rules' verdict, and the posterior's."""
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "quality")
+
+
 def op8_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return probminhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
@@ -75,12 +83,20 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", "refers_to")
 
 
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    made = imatch.fingerprints(table(spark, sf_dir, "documents"))
+    return made.withColumns({c: F.array_join(c, ":") for c in ("fingerprint", "edited_fingerprint")})
+
+
 QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
     "op6_pfair": op6_pfair,
+    "op7_quality": op7_quality,
     "op8_probminhash": op8_probminhash,
     "op9_warc": op9_warc,
+    "op10_imatch": op10_imatch,
     "op2_bpe": op2_bpe,
 }
 
