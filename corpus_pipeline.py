@@ -10,18 +10,40 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe
+from riskspark.llm import bpe, pfair, probminhash, secrets, toxicity
+from riskspark.llm.common import table
 from riskspark.llm.queries import VOCABULARY
 from riskspark.session import shared_dir
 
 
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from labels that are not held out, does not reject."""
+    return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: that of the least id."""
+    return probminhash.representatives(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with each secret replaced and ``n_chars`` made to agree."""
+    return secrets.redacted(docs, secrets.fit(docs))
+
+
+def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, the rows in the order in which blocks of the sources take their slots."""
+    return pfair.mixed(docs)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
     return bpe.encode_decode(docs, VOCABULARY).selectExpr(
         "doc_id", "CAST(size(ids) AS BIGINT) AS n_tokens", "ids")
 
 
-STAGES = [("bpe_encoding", tokens)]
+STAGES = [("toxicity", harmless), ("minhash_near_dedup", different), ("secret_scans", without_secrets),
+          ("source_mixing", in_mixture), ("bpe_encoding", tokens)]
 
 #: Learned models and token ids are outside SQL; tests compare with brute force.
 ORACLE_SQL = None

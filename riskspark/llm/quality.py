@@ -25,6 +25,9 @@ ROUNDS, PRIOR = 100, 0.8
 #: the documents.  They say which class is which (most rules find nothing wrong with a bad
 #: text, but votes against good ones are rare), and keep a rule from being certain.
 BELIEF, BAD, GOOD = 0.01, (0.25, 0.15, 0.6), (0.005, 0.25, 0.745)
+#: Known of every rule, whatever the estimate: it votes against a good text this rarely, and
+#: for a bad one this often, as a bad text mostly fails one or two rules and passes the rest.
+MOST_WRONG, LEAST_PASSED = 0.002, 0.8
 
 
 def _let(value: Column, body) -> Column:
@@ -129,11 +132,20 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
             for r in range(k):
                 s = sum(votes[c][r].values())
                 if s > 0:
-                    rate[c][r] = {v: x / s for v, x in votes[c][r].items()}
+                    got = {v: x / s for v, x in votes[c][r].items()}
+                    rate[c][r] = (_held(got, -1, min(got[-1], MOST_WRONG)) if c
+                                  else _held(got, 1, max(got[1], LEAST_PASSED)))
     return (math.log(prior / (1 - prior)),
             [{v: math.log(rate[1][r][v] / rate[0][r][v]) for v in values} for r in range(k)])
 
 
+def _held(rate: dict[int, float], vote: int, value: float) -> dict[int, float]:
+    """``rate`` with that of one vote set, the others in proportion."""
+    rest = sum(x for v, x in rate.items() if v != vote)
+    return {v: value if v == vote else max(x * (1.0 - value) / rest, 1e-9) if rest > 0 else 1e-9
+            for v, x in rate.items()}
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           least_quality: float = LEAST_QUALITY) -> DataFrame:
     """One row per input row: the counts, each rule's vote (``vote_<rule>``), ``quality``
