@@ -210,7 +210,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     keys = F.array(*[F.xxhash64(F.lit(k), *[F.col("signature")[k * ROWS + i] for i in range(ROWS)])
                      for k in range(BANDS)])
-    banded = texts.select("node", F.explode(keys).alias("key"))
+    banded = texts.select("node", F.posexplode(keys).alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(banded.join(buckets, "key"), "members")
 
@@ -247,14 +247,17 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = stored(_verified(likely, shingles), "hub-links")
     roots = linked_classes(links)
 
-    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = members.join(roots, "node", "left").select(
+        "key", "band", "node", F.coalesce("root", "node").alias("root"))
     several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    still_open = stored(placed.join(several.select("key"), "key", "left_semi").join(texts, "node"), "open")
-    a = still_open.select("key", F.col("node").alias("a"), F.col("root").alias("ra"),
+    still_open = stored(placed.join(several.select("key"), "key", "left_semi").join(texts.withColumn("keys", keys), "node"), "open")
+    a = still_open.select("key", "band", F.col("keys").alias("ka"), F.col("node").alias("a"), F.col("root").alias("ra"),
                           F.col("signature").alias("qa"), F.col("bits").alias("ba"))
-    b = still_open.select("key", F.col("node").alias("b"), F.col("root").alias("rb"),
+    b = still_open.select("key", F.col("keys").alias("kb"), F.col("node").alias("b"), F.col("root").alias("rb"),
                           F.col("signature").alias("qb"), F.col("bits").alias("bb"))
-    across = (a.join(b, (a["key"] == b["key"]) & (F.col("ra") < F.col("rb"))
+    # A pair that meets in several bands is taken up in the first of them.
+    meet = F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True) == F.col("band") + 1
+    across = (a.join(b, (a["key"] == b["key"]) & (F.col("ra") < F.col("rb")) & meet
                      & F.when(_alike("ba", "bb"), _equal("qa", "qb") >= LEAST_EQUAL).otherwise(False))
               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = stored(_verified(stored(across, "across").join(likely, ["a", "b"], "left_anti"), shingles), "more-links")

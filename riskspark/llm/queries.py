@@ -12,12 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, imatch, pfair, probminhash, quality, secrets, toxicity, warc
+from . import bpe, chat, imatch, langid, pfair, probminhash, quality, secrets, toxicity, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls (derived from every turn of the conversations) linked, ordered and validated."""
+    return chat.link_calls(chat.with_tools(table(spark, sf_dir, "conversations")))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page; the text model is learned from the documents' languages."""
+    return langid.identify(table(spark, sf_dir, "pages"), langid.fit(table(spark, sf_dir, "documents")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     rows = bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -90,6 +100,8 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat": op1_chat,
+    "op5_language": op5_language,
     "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
     "op6_pfair": op6_pfair,
