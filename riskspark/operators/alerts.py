@@ -86,12 +86,15 @@ def alert_counters(box: DataFrame) -> DataFrame:
     return box.groupBy("status").agg(F.count(F.lit(1)).alias("n_alerts"))
 
 
-def alert_log_rows(box: DataFrame, sent_at: Column | None = None) -> DataFrame:
-    """K7: ALERT_LOG rows for queued alerts (text fields cut to their column sizes)."""
+def alert_log_rows(box: DataFrame, sent_at: Column | None = None, keys: list[str] | None = None) -> DataFrame:
+    """K7: ALERT_LOG rows for queued alerts (text fields cut to their column sizes).
+
+    The id is made of ``keys``, bucket and message: a retried cycle meets its own rows.
+    """
     sent = sent_at if sent_at is not None else F.current_timestamp()
     q = box.where(F.col("status") == "QUEUED")
     return q.select(
-        F.sha2(F.concat_ws("|", F.col("bucket").cast("string"), F.col("message")), 256)
+        F.sha2(F.concat_ws("|", *(keys or []), F.col("bucket").cast("string"), F.col("message")), 256)
         .alias("alert_id"),
         sent.alias("sent_at"),
         F.substring(F.col("bucket").cast("string"), 1, 30).alias("bucket_start"),

@@ -49,10 +49,13 @@ def latest_version(versions: DataFrame, col: str = "version") -> DataFrame:
 
 def empty_cycle_runs(cycles: DataFrame, n_empty: int = 2, order: str = "cycle",
                      count_col: str = "new_rows") -> DataFrame:
-    """A cycle closes a run of ``n_empty`` consecutive cycles without new rows."""
-    w = Window.orderBy(order)
+    """Every ``n_empty``-th cycle of a run of cycles without new rows; the count starts
+    again after it, as local files are deleted then, and after a cycle with rows.
+
+    Cycles are one row per trigger, never per record, so the ordered window is small.
+    """
     empty = F.col(count_col) == 0
-    run = F.lit(True)
-    for i in range(1, n_empty):
-        run = run & (F.lag(count_col, i).over(w) == 0)
-    return cycles.withColumn("retention_due", F.coalesce(empty & run, F.lit(False)))
+    run = F.sum(F.when(empty, 0).otherwise(1)).over(Window.orderBy(order))
+    nth = F.sum(F.when(empty, 1).otherwise(0)).over(Window.partitionBy("__run").orderBy(order))
+    return (cycles.withColumn("__run", run).withColumn(
+        "retention_due", F.coalesce(empty & (nth % n_empty == 0), F.lit(False))).drop("__run"))

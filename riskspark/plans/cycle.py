@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .. import schemas
 from ..operators import alerts as AL
 from ..operators import baseline as BL
 from ..operators import classify as CL
@@ -31,6 +32,10 @@ from .detect import run_gap_minutes
 from .records import build_records
 
 
+#: Fresh logs of the first cycle: one ingest interval.
+FRESH_MINUTES = 30
+
+
 @dataclass
 class CycleResult:
     ready: bool
@@ -46,16 +51,26 @@ def should_retrain(cycle: int, has_model: bool, every: int = C.RETRAIN_EVERY) ->
     return (not has_model) or (cycle % every == 1)
 
 
-def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle: int = 1,
+def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle: int | None = None,
                  bucket: str = C.BUCKET, training_hours: float = C.TRAINING_HOURS,
                  fresh_since: str | None = None, last_scored_until: str | None = None,
                  min_training_hours: float = C.MIN_TRAINING_HOURS,
                  keys: list[str] | None = None) -> CycleResult:
-    """One cycle; ``keys`` (e.g. environment) gives one model and series per key."""
+    """One cycle; ``keys`` (e.g. environment) gives one model and series per key.
+
+    What is not given comes from the stored progress: the cycle is the next one,
+    and fresh logs are those since the last scored bucket (before the first cycle,
+    those of the last ``FRESH_MINUTES``).  A cycle without fresh logs changes
+    no record, alert or progress.
+    """
     keys = list(keys or [])
+    done, scored = ST.load_progress(spark, f"{tables}/progress")
+    cycle = done + 1 if cycle is None else cycle
+    last_scored_until = last_scored_until or scored
+    fresh_since = fresh_since or last_scored_until or TB.hours_before(now, FRESH_MINUTES / 60)
     k = [*keys, "bucket"]
-    st = spark.read.parquet(f"{tables}/system_logs")
-    lt = spark.read.parquet(f"{tables}/llm_logs")
+    st = ST.read_table(spark, f"{tables}/system_logs", schemas.SYSTEM_LOGS)
+    lt = ST.read_table(spark, f"{tables}/llm_logs", schemas.LLM_LOGS)
     span = data_span(st, min_training_hours).first()
     if not span or not span["ready"]:
         return CycleResult(False, False, None, None, None, None)
@@ -63,8 +78,8 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
     since = TB.hours_before(now, training_hours)
     train_sys = TB.scan_since(st, since, TB.SYSTEM_SCAN_COLS)
     train_llm = TB.scan_since(lt, since, TB.LLM_SCAN_COLS)
-    fresh_sys = TB.scan_since(st, fresh_since or now, TB.SYSTEM_SCAN_COLS)
-    fresh_llm = TB.scan_since(lt, fresh_since or now, TB.LLM_SCAN_COLS)
+    fresh_sys = TB.scan_since(st, fresh_since, TB.SYSTEM_SCAN_COLS)
+    fresh_llm = TB.scan_since(lt, fresh_since, TB.LLM_SCAN_COLS)
     if last_scored_until:
         gap = catchup_gap(fresh_sys, fresh_llm, last_scored_until).first()
         if gap and gap["catch_up"]:
@@ -95,6 +110,8 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
         vers = spark.read.parquet(f"{models}/meta").select("version").distinct()
         old = [r[0] for r in expired_versions(vers).where("expired").select("version").collect()]
         ST.drop_versions(spark, models, old)                  # W6 (a handful of names)
+    if f_score.isEmpty():
+        return CycleResult(True, retrain, version, None, None, None)
     scores = IF.score(BL.feature_vector(f_score, base, keys), forest, keys=keys)
     pred = materialize(IF.predict(scores, off, keys))
     hst = HS.score_batch(HS.scaled_inputs(f_score, HS.baseline_minmax(f_train, keys), keys), keys)
@@ -114,7 +131,8 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
                     .withColumn("n_requests", F.col("n_requests").cast("double")))
     ST.merge_into(spark, f"{tables}/anomalies", records.drop("details", "top_deviations"),
                   key="anomaly_id", ts_col="bucket_start")
-    ST.append(AL.alert_log_rows(box), f"{tables}/alert_log")
+    ST.merge_into(spark, f"{tables}/alert_log", AL.alert_log_rows(box, keys=keys), key="alert_id",
+                  ts_col="bucket_start")
     last = f_score.agg(F.max("bucket")).first()[0]
     ST.save_progress(spark, f"{tables}/progress", cycle, last)
     return CycleResult(True, retrain, version, records, box, conf)

@@ -433,9 +433,11 @@ CYCLES_SQL = O.with_(O.oracle_raw_logs_cte()) + """,
 lim AS (SELECT time_bucket(INTERVAL '30 minute', min(event_ts)) AS lo, time_bucket(INTERVAL '30 minute', max(event_ts)) AS hi FROM raw_logs),
 cyc AS (SELECT unnest(generate_series(lo, hi, INTERVAL '30 minute')) AS cycle FROM lim),
 cnt AS (SELECT time_bucket(INTERVAL '30 minute', event_ts) AS cycle, count(*) AS n FROM raw_logs GROUP BY 1),
-j AS (SELECT c.cycle, CAST(coalesce(n.n, 0) AS BIGINT) AS new_rows FROM cyc c LEFT JOIN cnt n USING (cycle))
-SELECT cycle, new_rows, coalesce(new_rows = 0 AND lag(new_rows) OVER (ORDER BY cycle) = 0, false) AS retention_due
-FROM j"""
+j AS (SELECT c.cycle, CAST(coalesce(n.n, 0) AS BIGINT) AS new_rows FROM cyc c LEFT JOIN cnt n USING (cycle)),
+l AS (SELECT *, row_number() OVER (ORDER BY cycle) AS pos FROM j),
+k AS (SELECT *, coalesce(max(CASE WHEN new_rows > 0 THEN pos END) OVER (ORDER BY cycle), 0) AS last_full FROM l)
+SELECT cycle, new_rows, new_rows = 0 AND (pos - last_full) % 2 = 0 AS retention_due
+FROM k"""
 
 
 @register("q_empty_runs", CYCLES_SQL)

@@ -51,11 +51,12 @@ def __getattr__(name: str) -> StructType:
     raise AttributeError(name)
 
 
-def align_to(df: DataFrame, schema: StructType) -> DataFrame:
+def align_to(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """P10: project onto a table's columns; missing -> null; values cast to the column type.
 
     Numbers go through ``try_cast`` via double where the target is integral,
-    so '429.0' becomes 429 and junk becomes null instead of failing.
+    so '429.0' becomes 429 and junk becomes null instead of failing.  ``keep`` carries
+    extra columns through.
     """
     cols = []
     for f in schema.fields:
@@ -72,4 +73,4 @@ def align_to(df: DataFrame, schema: StructType) -> DataFrame:
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *[F.col(k) for k in keep])

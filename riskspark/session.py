@@ -39,8 +39,8 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a private scratch folder is created and registered, so the
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a local
+    master gets a private scratch folder, and any other one an error, so the
     same code never writes to a machine-local folder on a cluster.
     """
     sc = spark.sparkContext
@@ -48,7 +48,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = _LOCAL_BASE.get(id(sc))
     if not base:
-        # Unset (local tests only): a private scratch folder for this context.
+        # Unset: a private scratch folder, which only a local master can see everywhere.
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="riskspark-")
         _LOCAL_BASE[id(sc)] = base
     if sc.getCheckpointDir() is None:

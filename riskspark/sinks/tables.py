@@ -1,18 +1,20 @@
 """Keyed Parquet tables.
 
 Bundled Parquet has no row-level MERGE, so a keyed upsert rewrites only the
-date partitions a batch touches: read those partitions, merge latest-wins
-(one keyed aggregation), write to a staging folder, then dynamic-partition
-overwrite of the table.  A plan never reads and overwrites the same path.
+date partitions that hold a batch's dates or keys: read those partitions,
+merge latest-wins (one keyed aggregation), write to a staging folder (removed
+afterwards), then dynamic-partition overwrite of the table.  A plan never reads and overwrites the same path.
 """
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
-from ..operators.merge import upsert
+from ..operators.merge import dedup_keep_last, upsert
 
 PART = "dt"
 
@@ -24,21 +26,73 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_table(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
+    """A keyed table with its ``dt`` column; with ``schema`` also one without rows."""
+    if schema is None:
+        return spark.read.parquet(table)
+    full = StructType([*[f for f in schema.fields if f.name != PART], StructField(PART, DateType())])
+    if not _exists(spark, table):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(table)
+
+
 def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id",
-               ts_col: str = "timestamp") -> None:
-    """K1: idempotent latest-wins upsert of ``new`` into the Parquet table at ``table``."""
-    new = new.withColumn(PART, F.to_date(F.col(ts_col)))
-    # Touched dates: one value per day in the batch (a short list of metadata).
-    touched = [r[0] for r in new.select(PART).distinct().collect()]
-    if _exists(spark, table) and touched:
-        old = spark.read.parquet(table).where(F.col(PART).isin(touched) | F.col(PART).isNull())
-        merged = upsert(old.select(*new.columns), new, key)
-    else:
-        merged = upsert(new.limit(0), new, key)
+               ts_col: str = "timestamp", order: tuple[str, ...] = ()) -> None:
+    """K1: idempotent latest-wins upsert of ``new`` into the Parquet table at ``table``.
+
+    A key has one row afterwards, also if its date has moved: the partitions
+    that hold keys of the batch are found by a semi-join on (key, date), and
+    rewritten together with the dates of the batch.  Within a batch the row with
+    the greatest ``order`` columns (which are not stored) wins; then the one with the
+    latest ``ts_col``, then the one with the greater hash, so that no partitioning
+    changes the result.  A batch without rows leaves the table as it is, or
+    makes an empty one.
+    """
+    rank = F.struct(*[F.col(c) for c in order], F.col(ts_col),
+                    F.xxhash64(*[F.col(f"`{c}`") for c in new.columns]))
+    stored = [c for c in new.columns if c not in order]
+    batch = dedup_keep_last(new.withColumn("__rank", rank), key, ("__rank",)).select(*stored)
+    batch = batch.withColumn(PART, F.to_date(F.col(ts_col)))
     staging = f"{table.rstrip('/')}_staging/{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(PART).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(table))
+    try:
+        batch.write.parquet(f"{staging}/batch")
+        batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
+        # Lists of days: metadata, one value for each partition.
+        days = {r[0] for r in batch.select(PART).distinct().collect()}
+        if not days and _exists(spark, table):
+            return
+        held: set = set()
+        merged = batch
+        if days and _exists(spark, table):
+            old = read_table(spark, table, batch.schema)
+            held = {r[0] for r in old.select(key, PART).join(batch.select(key), key, "left_semi")
+                    .select(PART).distinct().collect()}
+            every = days | held
+            known = [d for d in every if d is not None]
+            touched = F.col(PART).isin(known) if known else F.lit(False)
+            if None in every:
+                touched = touched | F.col(PART).isNull()
+            merged = upsert(old.where(touched).select(*batch.columns), batch, key)
+        merged.write.partitionBy(PART).parquet(f"{staging}/merged")
+        merged = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
+        left = {r[0] for r in merged.select(PART).distinct().collect()} if held else days
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(PART).parquet(table))
+        for day in held - left:  # every row of it has moved to another date
+            _delete(spark, f"{table}/{PART}={day or '__HIVE_DEFAULT_PARTITION__'}")
+    finally:
+        _delete(spark, staging)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """The rows of one micro-batch; a retry of the batch replaces them."""
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -74,6 +128,14 @@ def save_progress(spark: SparkSession, path: str, cycle: int, last_scored_until)
         "saved_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
 
 
+def load_progress(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """The last cycle and scored instant; (0, None) before the first cycle."""
+    if not _exists(spark, path):
+        return 0, None
+    r = spark.read.schema("cycle int, last_scored_until string").parquet(path).first()
+    return (r["cycle"], r["last_scored_until"]) if r else (0, None)
+
+
 def drop_versions(spark: SparkSession, base: str, versions: list[str]) -> None:
     """Delete the partitions of expired model versions."""
     if not versions:
@@ -95,6 +157,26 @@ def replay_exports(spark: SparkSession, csv_dir: str, schema, table: str,
 
 
 def write_embedded_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """K10 re-aimed: keep a failed batch as one row of JSON text (replayed with S11)."""
-    (df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("records"))
-     .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path))
+    """K10 re-aimed: keep a failed batch, each record as JSON text in an array of one (read with S11)."""
+    write_batch(df.select(F.to_json(F.array(F.struct(*df.columns))).alias("records")), path, batch_id)
+
+
+def drain_pending(spark: SparkSession, path: str, table: str, schema: StructType, key: str = "_id") -> list[int]:
+    """Upsert every pending batch, oldest first; what succeeds leaves the folder.
+
+    Returns the ids of the batches that failed again and stay.
+    """
+    from ..sources.pages import read_embedded_records
+    if not _exists(spark, path):
+        return []
+    pending = spark.read.schema("records string, batch_id int").parquet(path)
+    failed = []
+    for b in sorted(r[0] for r in pending.select("batch_id").distinct().collect()):  # a few batches
+        try:
+            merge_into(spark, table, read_embedded_records(
+                pending.where(F.col("batch_id") == b), "records", schema), key)
+        except PySparkException:
+            failed.append(b)
+        else:
+            _delete(spark, f"{path}/batch_id={b}")
+    return failed

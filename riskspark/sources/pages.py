@@ -13,6 +13,9 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 
 from .. import schemas
 
+#: Where a streamed record stands in its delivery: page number and place in the page.
+POSITION = ("__page", "__place")
+
 
 def page_schema() -> StructType:
     return StructType([StructField("data", ArrayType(schemas.RAW_RECORD))])
@@ -34,7 +37,7 @@ def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool
 
 def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                  archive_dir: str | None = None) -> DataFrame:
-    """The same landing directory as a file stream (new pages = new files).
+    """The same landing directory as a file stream (new pages = new files), with ``POSITION``.
 
     K12: with ``archive_dir`` processed page files are moved out of the
     landing folder once committed (``cleanSource=archive``).
@@ -44,7 +47,9 @@ def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | No
         rs = rs.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         rs = rs.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return rs.json(path).select(F.explode("data").alias("r")).select("r.*")
+    page = F.regexp_extract("_metadata.file_path", r"page=(\d+)", 1).try_cast("long")
+    return (rs.json(path).select(page.alias(POSITION[0]), F.posexplode("data").alias(POSITION[1], "r"))
+            .select(*POSITION, "r.*"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -29,8 +29,8 @@ from ..operators.features import build_features
 from ..operators.prepare import flag_security, flatten, split_by_type
 from .. import schemas
 from ..schemas import align_to
-from ..sinks.tables import merge_into
-from ..sources.pages import stream_pages
+from ..sinks.tables import merge_into, read_table, write_batch
+from ..sources.pages import POSITION, stream_pages
 
 
 def stream_volume_features(records: DataFrame, bucket: str = C.BUCKET,
@@ -99,33 +99,39 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                interval: str = "30 minutes", models: str | None = None):
     """Start the ingest + feature stream; returns the StreamingQuery."""
     records = stream_pages(spark, landing)
-    flat = flatten(records, "@timestamp")
+    flat = flatten(records, "@timestamp", keep=POSITION)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         system, llm = split_by_type(batch)
         system = flag_security(system)
-        quality(batch, batch_id).write.mode("append").parquet(f"{tables}/batch_quality")
-        merge_into(spark, f"{tables}/system_logs", align_to(system, schemas.SYSTEM_LOGS))
-        merge_into(spark, f"{tables}/llm_logs", align_to(llm, schemas.LLM_LOGS))
+        write_batch(quality(batch, batch_id), f"{tables}/batch_quality", batch_id)
+        for name, rows, schema in (("system_logs", system, schemas.SYSTEM_LOGS),
+                                   ("llm_logs", llm, schemas.LLM_LOGS)):
+            merge_into(spark, f"{tables}/{name}", align_to(rows, schema, keep=POSITION), order=POSITION)
         # Touched buckets, recomputed from the keyed tables (late rows included).
         touched = batch.select(F.window("timestamp", bucket).start.alias("bucket")).distinct()
-        st = spark.read.parquet(f"{tables}/system_logs")
-        lt = spark.read.parquet(f"{tables}/llm_logs")
-        lo_hi = touched.agg(F.min("bucket"), F.max("bucket")).first()
-        if lo_hi[0] is not None:
-            lo = F.lit(lo_hi[0])
-            st = st.where((F.col("dt") >= F.to_date(lo)) & (F.col("timestamp") >= lo))
-            lt = lt.where((F.col("dt") >= F.to_date(lo)) & (F.col("timestamp") >= lo))
-            feats = build_features(st, lt, bucket).join(touched, "bucket", "left_semi")
-            feats.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
-                f"{tables}/features_by_batch")
+        # Only the touched days are read, and only the touched buckets aggregated.
+        last = touched.agg(F.max("bucket")).first()[0]
+        if last is not None:
+            days = [r[0] for r in touched.where("bucket IS NOT NULL").select(F.explode(F.sequence(
+                F.to_date("bucket"), F.to_date(F.col("bucket") + F.expr(f"INTERVAL {bucket}"))))
+                .alias("dt")).distinct().collect()]
+
+            def again(name: str, schema) -> DataFrame:
+                rows = read_table(spark, f"{tables}/{name}", schema).where(F.col("dt").isin(days))
+                return (rows.withColumn("__bucket", F.window("timestamp", bucket).start)
+                        .join(touched.withColumnRenamed("bucket", "__bucket"), "__bucket", "left_semi")
+                        .drop("__bucket"))
+
+            feats = build_features(again("system_logs", schemas.SYSTEM_LOGS),
+                                   again("llm_logs", schemas.LLM_LOGS), bucket)
+            write_batch(feats, f"{tables}/features_by_batch", batch_id)
             if models:
                 scored = score_touched(spark, feats, models)
                 if scored is not None:
-                    scored.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
-                        f"{tables}/scores_by_batch")
-        pulse(spark, batch_id, "OK", lo_hi[1], f"{tables}/heartbeat")
+                    write_batch(scored, f"{tables}/scores_by_batch", batch_id)
+        pulse(spark, batch_id, "OK", last, f"{tables}/heartbeat")
         batch.unpersist()
 
     w = flat.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
