@@ -14,10 +14,10 @@ plan as a set.  Document frequencies cover all texts.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
+from .common import id_and_text
 
 LEAST_SHARE, MOST_SHARE = 0.002, 0.05
 DRAWS, SCALES = 5, (2, 4, 6, 8, 10)  # a subset keeps one in 2 ** scale terms
@@ -81,32 +81,41 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(used) > 0, F.size(same) / F.size(used)).otherwise(F.lit(0.0))
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``digest``, ``text``, and ``next_id``, ``next_digest``, ``next_text`` of the next
+def with_next(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``text``, ``fingerprint``, and ``next_text``, ``next_fingerprint`` of the next
     document by id (then digest); the first one follows the last.
 
     Documents are dealt into ranges of ids of about equal size; each range is
-    ordered by one task, and also gets the first row of the range after it.
-    Repeated rows follow each other.
+    ordered by one task, and also gets the first row of the range after it.  A
+    text's fingerprint is made before and moves with it, so that there is one
+    shuffle of texts and none of fingerprints.  Repeated rows follow each other.
     """
-    rows = id_and_text(docs, id_col, text_col).withColumn("digest", F.sha2("text", 256))
+    rows = id_and_text(docs, id_col, text_col)
+    ids = rows.select("doc_id")
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(parts)], 100 * parts)).first()[0]
+    cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(parts)], 100 * parts)).first()[0]
     cuts = sorted(set(cuts or []))
-    ranged = rows.withColumn("part", F.size(F.filter(
-        F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0))
-    ranged = ranged.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.col("part")))
-    first = ranged.groupBy("part").agg(F.min(F.struct("doc_id", "digest", "text")).alias("r"))
+    range_of = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
+    part = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(range_of).alias("part")
+    leaders = [r.least for r in ids.select(part, "doc_id").groupBy("part").agg(F.min("doc_id").alias("least")).collect()
+               if r.least is not None]  # one id for each range
+
+    def marked(found: DataFrame) -> DataFrame:
+        return found.select(part, "doc_id", F.sha2("text", 256).alias("digest"), "text")
+
+    first = marked(rows.where(F.col("doc_id").isNull() | F.col("doc_id").isin(leaders))).groupBy("part").agg(
+        F.min(F.struct("doc_id", "digest", "text")).alias("r"))
     by_part = Window.orderBy("part")  # over one row for each range
     before = (first.withColumn("to", F.lag("part").over(by_part))
               .withColumn("end", F.max("part").over(Window.partitionBy()))
-              .select("r.*", F.coalesce("to", "end").alias("part"), F.lit(True).alias("guest")))
-    every = ranged.withColumn("guest", F.lit(False)).unionByName(before)
+              .select(F.coalesce("to", "end").alias("part"), "r.*", F.lit(True).alias("guest")))
+    every = marked(rows).withColumn("guest", F.lit(False)).unionByName(before).withColumn(
+        "fingerprint", fingerprint(F.col("text"), words))
     order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").asc_nulls_first(), "digest")
-    return (every.withColumn("next", F.lead(F.struct("doc_id", "digest", "text")).over(order))
+    return (every.withColumn("next", F.lead(F.struct("text", "fingerprint")).over(order))
             .where(~F.col("guest"))
-            .select("doc_id", "digest", "text", F.col("next.doc_id").alias("next_id"),
-                    F.col("next.digest").alias("next_digest"), F.col("next.text").alias("next_text")))
+            .select("doc_id", "text", "fingerprint", F.col("next.text").alias("next_text"),
+                    F.col("next.fingerprint").alias("next_fingerprint")))
 
 
 def edited(text: Column, after: Column) -> Column:
@@ -125,17 +134,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows follow each other, the only document follows itself, an empty table
     gives an empty table, and other columns are ignored.
     """
-    spark: SparkSession = docs.sparkSession
     words = lexicon(id_and_text(docs, id_col, text_col).select("text"), least_share, most_share)
-    rows = with_next(docs, id_col, text_col).withColumn("changed", edited(F.col("text"), F.col("next_text")))
-    made = stored(rows.select(
-        "doc_id", "digest", "next_id", "next_digest", F.length("text").cast("long").alias("n_chars"),
-        F.sha2("changed", 256).alias("edited_sha256"),
-        F.transform(F.array("text", "changed"), lambda t: fingerprint(t, words)).alias("both"))
-        .select("*", F.col("both")[0].alias("fingerprint"), F.col("both")[1].alias("edited_fingerprint"))
-        .drop("both"), "fingerprints")
-    by_text = made.groupBy(F.col("digest").alias("next_digest")).agg(F.first("fingerprint").alias("next_fingerprint"))
-    return made.join(by_text, "next_digest", "left").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    made = with_next(docs, words, id_col, text_col).select(
+        "doc_id", "text", "fingerprint", "next_fingerprint", edited(F.col("text"), F.col("next_text")).alias("changed"))
+    return made.withColumn("edited_fingerprint", fingerprint(F.col("changed"), words)).select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
