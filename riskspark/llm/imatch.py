@@ -26,25 +26,28 @@ BETWEEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 NONE = "0"
 
 
-def terms(text: Column) -> Column:
-    """Distinct lower-case terms of a text."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), BETWEEN)), "")
+def terms(text: str) -> str:
+    """SQL for the distinct lower-case terms of the text column."""
+    return f"array_remove(array_distinct(split(lower(`{text}`), r'{BETWEEN}')), '')"
 
 
 def lexicon(texts: DataFrame, least_share: float = LEAST_SHARE, most_share: float = MOST_SHARE) -> list[str]:
     """Terms in at least ``least_share`` and at most ``most_share`` of the texts (column
     ``text``), and in two texts or more; in order."""
     n = texts.count()
-    counts = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(
+    counts = texts.select(F.explode(F.expr(terms("text"))).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n"))
     lo, hi = max(2.0, least_share * n), most_share * n
     return sorted(r.term for r in counts.where((F.col("n") >= lo) & (F.col("n") <= hi)).select("term").collect())
 
 
-def fingerprint(text: Column, words: list[str]) -> Column:
-    """Array of the subset hashes; a text without lexicon terms has a hash of the
+def fingerprint(text: str, words: list[str]) -> Column:
+    """Array of the subset hashes of a text column; a text without lexicon terms has a hash of the
     whole text instead, and an empty text none."""
-    found = F.array_sort(F.filter(terms(text), lambda t: t.isin(words) if words else F.lit(False)))
+    # The lexicon goes to the plan as one SQL text (terms have neither quotes nor backslashes):
+    # a literal made for each word by itself kept the driver busy for half a minute.
+    known = "t IN ({})".format(", ".join(f"'{w}'" for w in words)) if words else "false"
+    found = F.array_sort(F.expr(f"filter({terms(text)}, t -> {known})"))
 
     def subset(marks: Column, scale: int) -> Column:
         return _hash(F.filter(marks, lambda h: h.bitwiseAND(F.lit((1 << scale) - 1)) == 0))
@@ -56,8 +59,8 @@ def fingerprint(text: Column, words: list[str]) -> Column:
     def hashed(chosen: Column) -> Column:
         parts = [F.array(_hash(F.transform(chosen, lambda t: F.xxhash64(t)))),
                  *[drawn(chosen, draw) for draw in range(DRAWS)]]
-        plain = F.array(F.when(text == "", F.lit(NONE)).otherwise(
-            F.concat(F.lit("t"), F.lower(F.hex(F.xxhash64(text))))),
+        plain = F.array(F.when(F.col(text) == "", F.lit(NONE)).otherwise(
+            F.concat(F.lit("t"), F.lower(F.hex(F.xxhash64(F.col(text)))))),
             *[F.lit(NONE)] * (DRAWS * len(SCALES)))
         return F.when(F.size(chosen) > 0, F.concat(*parts)).otherwise(plain)
 
@@ -95,7 +98,7 @@ def with_next(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_co
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(parts)], 100 * parts)).first()[0]
     cuts = sorted(set(cuts or []))
-    range_of = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
+    range_of = F.expr(f"size(filter(array({', '.join(map(str, cuts))}), c -> c <= doc_id))")
     part = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(range_of).alias("part")
     leaders = [r.least for r in ids.select(part, "doc_id").groupBy("part").agg(F.min("doc_id").alias("least")).collect()
                if r.least is not None]  # one id for each range
@@ -103,14 +106,15 @@ def with_next(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_co
     def marked(found: DataFrame) -> DataFrame:
         return found.select(part, "doc_id", F.sha2("text", 256).alias("digest"), "text")
 
-    first = marked(rows.where(F.col("doc_id").isNull() | F.col("doc_id").isin(leaders))).groupBy("part").agg(
+    leads = F.expr(f"doc_id IN ({', '.join(map(str, leaders))})") if leaders else F.lit(False)
+    first = marked(rows.where(F.col("doc_id").isNull() | leads)).groupBy("part").agg(
         F.min(F.struct("doc_id", "digest", "text")).alias("r"))
     by_part = Window.orderBy("part")  # over one row for each range
     before = (first.withColumn("to", F.lag("part").over(by_part))
               .withColumn("end", F.max("part").over(Window.partitionBy()))
               .select(F.coalesce("to", "end").alias("part"), "r.*", F.lit(True).alias("guest")))
     every = marked(rows).withColumn("guest", F.lit(False)).unionByName(before).withColumn(
-        "fingerprint", fingerprint(F.col("text"), words))
+        "fingerprint", fingerprint("text", words))
     order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").asc_nulls_first(), "digest")
     return (every.withColumn("next", F.lead(F.struct("text", "fingerprint")).over(order))
             .where(~F.col("guest"))
@@ -137,7 +141,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     words = lexicon(id_and_text(docs, id_col, text_col).select("text"), least_share, most_share)
     made = with_next(docs, words, id_col, text_col).select(
         "doc_id", "text", "fingerprint", "next_fingerprint", edited(F.col("text"), F.col("next_text")).alias("changed"))
-    return made.withColumn("edited_fingerprint", fingerprint(F.col("changed"), words)).select(
+    return made.withColumn("edited_fingerprint", fingerprint("changed", words)).select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
