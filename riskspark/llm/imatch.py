@@ -116,10 +116,10 @@ def with_next(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_co
     every = marked(rows).withColumn("guest", F.lit(False)).unionByName(before).withColumn(
         "fingerprint", fingerprint("text", words))
     order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").asc_nulls_first(), "digest")
-    return (every.withColumn("next", F.lead(F.struct("text", "fingerprint")).over(order))
-            .where(~F.col("guest"))
-            .select("doc_id", "text", "fingerprint", F.col("next.text").alias("next_text"),
-                    F.col("next.fingerprint").alias("next_fingerprint")))
+    # Two plain columns: a struct of them would be made before the shuffle, and every text moved twice.
+    return (every.select("*", F.lead("text").over(order).alias("next_text"),
+                         F.lead("fingerprint").over(order).alias("next_fingerprint"))
+            .where(~F.col("guest")).select("doc_id", "text", "fingerprint", "next_text", "next_fingerprint"))
 
 
 def edited(text: Column, after: Column) -> Column:
