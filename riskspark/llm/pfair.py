@@ -7,42 +7,37 @@ blocks that are released, the one with the earliest deadline.  After any
 number ``t`` of slots every source has had ``w * t`` blocks to within less than
 one block.
 
-Weights are rounded to multiples of ``1 / period``, so the order of slots
-repeats after ``period`` slots.  One period is worked out on the driver, and
-the blocks, however many, get their slots by a join.  When a source has no
-block left, the others go on with their weights scaled up: a new *phase*.
+Weights are rational numbers and taken as they are: windows are worked out in
+whole numbers, without rounding, whatever the number of sources.  The table of
+slots, one row a block, is made by one task that holds a few numbers per
+source; the documents, however many, get their slots by a join.  A *phase* ends
+with the last block of a source; the others go on with their weights scaled up.
 Nothing is dropped or repeated.
 """
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
-from dataclasses import dataclass
+import math
+from collections.abc import Iterable, Iterator, Mapping
 from fractions import Fraction
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ident
+from .common import ident, stored
 
-#: Slots of one period: weights are multiples of 1 / PERIOD.
+#: Slots of a period in whole shares (``in_period``).
 PERIOD = 1_000
+#: Rows of the table of slots that its task holds at a time.
+SLOT_ROWS = 100_000
 #: Characters in a block, and documents in a bucket of a source (a bucket is ordered by one task).
 BLOCK_CHARS, BUCKET_ROWS = 1_000_000, 5_000
 #: A source's default target weight is its size to this power, scaled to a sum of one.
 TEMPER = 0.7
 
 
-@dataclass(frozen=True)
-class Slot:
-    phase: int
-    source: str
-    place: int      # of the block among the source's blocks in a period
-    slot: int       # in the period
-    release: int
-    deadline: int
-
-
 def tempered(sizes: Mapping[str, int], power: float = TEMPER) -> dict[str, float]:
     """Target weights from sizes: small sources come up, large ones down."""
     raw = {s: n ** power for s, n in sizes.items() if n > 0}
@@ -50,7 +45,10 @@ def tempered(sizes: Mapping[str, int], power: float = TEMPER) -> dict[str, float
 
 
 def in_period(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Blocks of each source in a period: largest remainders, at least one each."""
+    """Blocks of each source in a period: largest remainders, at least one each.
+
+    A rounded form of the weights; the schedule does not use it.
+    """
     period = max(period, len(weights))
     total = sum(weights.values())
     spare = period - len(weights)
@@ -62,59 +60,69 @@ def in_period(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, i
     return got
 
 
-def one_period(blocks: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, place, slot, release, deadline) of a period, earliest deadline first.
+def earliest(shares: Mapping[str, int], blocks: Mapping[str, int],
+             end: int) -> Iterator[tuple[int, str, int, int, int]]:
+    """(slot, source, place, release, deadline) of the slots before ``end``, earliest deadline first.
 
-    Equal deadlines: the heavier source, then its name, comes first.
+    A source's weight is its share of the sum of ``shares``.  Equal deadlines:
+    the heavier source, then its name, comes first.
     """
-    period = sum(blocks.values())
-
-    def window(source: str, j: int) -> tuple[int, int]:
-        w = Fraction(blocks[source], period)
-        return int((j - 1) / w), -int(-(j / w) // 1)
-
-    waiting = [(0, s, 1) for s in blocks]          # by release
+    total = sum(shares.values())
+    waiting = [(0, s, 1) for s in shares]          # by release
     heapq.heapify(waiting)
-    ready: list[tuple[int, int, str, int]] = []    # by deadline
-    out = []
-    for slot in range(period):
+    ready: list[tuple[int, int, str, int, int]] = []    # by deadline
+    for slot in range(end):
         while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(s, j)[1], -blocks[s], s, j))
-        deadline, _, s, j = heapq.heappop(ready)
-        out.append((s, j - 1, slot, window(s, j)[0], deadline))
+            release, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-j * total // shares[s]), -shares[s], s, j, release))
+        if not ready:
+            return
+        deadline, _, s, j, release = heapq.heappop(ready)
+        yield slot, s, j - 1, release, deadline
         if j < blocks[s]:
-            heapq.heappush(waiting, (window(s, j + 1)[0], s, j + 1))
-    return out
+            heapq.heappush(waiting, (j * total // shares[s], s, j + 1))
+
+
+def one_period(blocks: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """(source, place, slot, release, deadline) of a period of whole shares."""
+    return [(s, place, slot, release, deadline) for slot, s, place, release, deadline
+            in earliest(blocks, blocks, sum(blocks.values()))]
+
+
+def whole(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * scale) for s, x in exact.items()}
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD):
-    """Phases (number, first slot, first block of each source, blocks per period, slots).
+def timetable(groups: Iterable[tuple[Mapping[str, int], Mapping[str, float]]]
+              ) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """(source, block, phase, slot, release, deadline) of every block, in the order of slots.
 
-    A phase ends before the slot that would need a block of an empty source.
+    ``groups``, one after the other: the number of blocks and the weight of each source.
+    A phase ends at the first deadline of a source's last block.  Up to the slot
+    before it every source has a block for each of its windows, so that no slot is
+    empty; the last slot may find none, and then the phase is a slot shorter.
     """
-    left = {s: n for s, n in blocks.items() if n > 0}
-    done = dict.fromkeys(left, 0)
-    start, number, out = 0, 0, []
-    while left:
-        share = in_period({s: weights[s] for s in left}, period)
-        order = one_period(share)
-        length = sum(share.values())
-        at = {(s, place): slot for s, place, slot, _, _ in order}
-        end = min(n // share[s] * length + at[s, n % share[s]] for s, n in left.items())
-        full, part = divmod(end, length)
-        used = {s: full * share[s] for s in left}
-        for s, _, slot, _, _ in order:
-            if slot < part:
+    start = number = 0
+    for blocks, weights in groups:
+        left = {s: n for s, n in blocks.items() if n > 0}
+        done = dict.fromkeys(left, 0)
+        shares = whole({s: weights[s] for s in left})
+        while left:
+            total = sum(shares[s] for s in left)
+            end = min(-(-n * total // shares[s]) for s, n in left.items())
+            used = dict.fromkeys(left, 0)
+            for slot, s, place, release, deadline in earliest({s: shares[s] for s in left}, left, end):
                 used[s] += 1
-        out.append((number, start, dict(done), share, order, used))
-        for s, n in used.items():
-            done[s] += n
-            left[s] -= n
-        left = {s: n for s, n in left.items() if n > 0}
-        start += end
-        number += 1
-    return out
+                # A deadline beyond a long is that of a weight next to nothing.
+                yield s, done[s] + place, number, start + slot, release, min(deadline, 2 ** 63 - 1)
+            for s, n in used.items():
+                done[s] += n
+            left = {s: n - used[s] for s, n in left.items() if n > used[s]}
+            start += sum(used.values())
+            number += 1
 
 
 def blocks_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -149,7 +157,7 @@ def blocks_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id",
-             text_col: str = "text", source_col: str = "source", period: int = PERIOD,
+             text_col: str = "text", source_col: str = "source",
              block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per input row: ``doc_id``, ``source``, ``digest``, ``block``, ``phase``,
     ``slot``, ``release`` and ``deadline`` (counted from the phase's first slot).
@@ -159,7 +167,8 @@ def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col
     comes after the others, in proportion to size.  A null source is the
     source "".  A null or empty text counts one character.  Equal rows get
     equal places; an empty table gives an empty table; other columns are ignored.
-    The number of sources, not that of documents, bounds what the driver holds.
+    The driver and the task that makes the table of slots hold a few numbers per
+    source; that task takes one step a block, and one a source for every phase.
     """
     spark = docs.sparkSession
     blocks = blocks_of(docs, id_col, text_col, source_col, block_chars)
@@ -169,44 +178,28 @@ def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col
     target = named or tempered({s: c for s, (_, c) in sizes.items()})
     rest = tempered({s: c for s, (_, c) in sizes.items() if s not in target}, 1.0)
 
-    spans, slots, start, number = [], [], 0, 0
-    for part in (target, rest):
-        for _, first, done, share, order, used in phases({s: sizes[s][0] for s in part}, part, period):
-            length = sum(share.values())
-            for s, n in used.items():
-                spans.append((s, number, done[s], done[s] + n, share[s], start + first, length))
-            slots += [(number, s, place, slot, r, d) for s, place, slot, r, d in order]
-            number += 1
-        start += sum(sizes[s][0] for s in part)
-
-    spans = spark.createDataFrame(spans, "source string, phase int, lo long, hi long, share long, start long, "
-                                         "length long") if spans else spark.createDataFrame(
-        [], "source string, phase int, lo long, hi long, share long, start long, length long")
-    slots = spark.createDataFrame(slots, "phase int, source string, place long, at long, r long, d long") \
-        if slots else spark.createDataFrame([], "phase int, source string, place long, at long, r long, d long")
-    # One row per source and block meets the plan; the documents then meet their block.
-    each = blocks.select("source", "block").distinct()
-    timed = (each.join(spans, (each["source"] == spans["source"]) & (F.col("block") >= F.col("lo"))
-                       & (F.col("block") < F.col("hi")))
-             .select(each["source"], "block", "phase", "start", "length",
-                     ((F.col("block") - F.col("lo")) % F.col("share")).alias("place"),
-                     F.floor((F.col("block") - F.col("lo")) / F.col("share")).alias("turn"))
-             .join(slots, ["phase", "source", "place"])
-             .select("source", "block", "phase",
-                     (F.col("start") + F.col("turn") * F.col("length") + F.col("at")).cast("long").alias("slot"),
-                     (F.col("turn") * F.col("length") + F.col("r")).cast("long").alias("release"),
-                     (F.col("turn") * F.col("length") + F.col("d")).cast("long").alias("deadline")))
-    return blocks.join(timed, ["source", "block"]).select(
+    groups = [({s: sizes[s][0] for s in part}, part) for part in (target, rest)]
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _ in batches:
+            rows = timetable(groups)
+            while some := list(islice(rows, SLOT_ROWS)):
+                yield pd.DataFrame(some, columns=["source", "block", "phase", "slot", "release", "deadline"])
+
+    # Stored, so that it is made once and the join knows its size.
+    slots = stored(spark.range(0, 1, 1, 1).mapInPandas(
+        make, "source string, block long, phase int, slot long, release long, deadline long"), "slots")
+    return blocks.join(slots, ["source", "block"]).select(
         "doc_id", "source", "digest", "chars", "rank", "block", "phase", "slot", "release", "deadline")
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id",
-          text_col: str = "text", source_col: str = "source", period: int = PERIOD,
+          text_col: str = "text", source_col: str = "source",
           block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` in the order of the schedule: partitions are ranges of slots, and rows
     are in order within them.  All rows and columns stay."""
     names = docs.columns
-    plan = (schedule(docs, weights, id_col, text_col, source_col, period, block_chars)
+    plan = (schedule(docs, weights, id_col, text_col, source_col, block_chars)
             .groupBy("doc_id", "digest").agg(F.min("slot").alias("__slot"), F.min("rank").alias("__rank"))
             .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "__slot", "__rank"))
     rows = docs.withColumn("__text_digest", F.xxhash64(F.coalesce(ident(text_col), F.lit(""))))

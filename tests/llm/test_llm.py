@@ -3,6 +3,7 @@ import hashlib
 import re
 import uuid
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from tokenizers import Tokenizer
@@ -74,6 +75,42 @@ def test_one_period_deviates_less_than_a_block():
         assert all(abs(seen[x] - share[x] * (t + 1) / total) < 1 for x in share)
 
 
+def test_schedule_follows_its_target_weights(spark):
+    """Against the targets themselves, with 1,200 sources of which one has a third, over the whole first phase."""
+    target = {"hot": Fraction(1, 3), **{f"s{k}": Fraction(2, 3 * 1199) for k in range(1199)}}
+    docs = spark.createDataFrame([(k, f"{k:010d}", "hot") for k in range(2000)] + [
+        (10_000 + 4 * k + n, f"{4 * k + n:010d}", f"s{k}") for k in range(1199) for n in range(4)],
+        "doc_id long, text string, source string")
+    got = sorted((r.slot, r.source, r.block, r.release, r.deadline, r.phase)
+                 for r in pfair.schedule(docs, target, block_chars=10).collect())
+    assert [r[0] for r in got] == list(range(2000 + 4 * 1199))
+    first = [r for r in got if r[5] == 0]
+    assert len(first) == 6000
+    seen = Counter()
+    for slot, s, block, release, deadline, _ in first:
+        w = target[s]
+        assert block == seen[s] and (release, deadline) == (block // w, -(-(block + 1) // w))
+        assert w * slot - seen[s] < 1
+        seen[s] += 1
+        assert seen[s] - w * (slot + 1) < 1
+    assert all(abs(seen[s] - 6000 * w) < 1 for s, w in target.items())
+
+
+def test_float_weights_over_many_slots():
+    """A third of the characters in one of 20 sources, tempered: less than a block off after every slot."""
+    weights = pfair.tempered({"hot": 10 ** 10, **{f"s{k}": 2 * 10 ** 10 // 19 for k in range(19)}})
+    total = sum(Fraction(w) for w in weights.values())
+    seen, number = Counter(), 0
+    for s, block, phase, slot, release, deadline in pfair.timetable([(dict.fromkeys(weights, 3000), weights)]):
+        if phase == 0:
+            w = Fraction(weights[s]) / total
+            assert slot == number and block == seen[s] and release <= slot < deadline
+            assert w * slot - block < 1 and block + 1 - w * (slot + 1) < 1
+        seen[s] += 1
+        number += 1
+    assert seen == Counter(dict.fromkeys(weights, 3000))
+
+
 def test_schedule_keeps_every_row(docs):
     assert pfair.schedule(docs, block_chars=1000).count() == len(ROWS)
     mixed = pfair.mixed(docs)
