@@ -2,8 +2,10 @@
 
 The rules find assignments, access keys and long hex strings.  Two first-order
 Markov models over characters, one of random strings and one of ordinary
-identifiers, add strings that no rule names: a run of key characters is a
-secret if its log-likelihood ratio (random against ordinary) is high enough.
+identifiers, add strings that no rule names: what the rules leave of a run of
+key characters is a secret if its log-likelihood ratio (random against
+ordinary) is high enough, and otherwise so are the words of its maximal
+segments (Ruzzo and Tompa) whose ratio is.
 
 The models are fitted on labelled samples: values that the rules find are
 random strings, the other words of the same documents are ordinary.  The
@@ -39,7 +41,9 @@ RULES = (
     ("hex", re.compile(r"[0-9a-f]{32,}"), 0, 32),
 )
 KINDS = ("assign", "access", "hex", "markov")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+#: Characters that join the words of a run.
+JOINERS = "+/_=-"
 VALUE = re.compile(r"[:=]\x20*[\"']?")
 WORD = re.compile(r"[A-Za-z0-9+/_.=-]{4,}")
 
@@ -56,9 +60,16 @@ class Models:
     """``ratio[a, b]``: log P(b after a, random) - log P(b after a, ordinary)."""
     ratio: np.ndarray
 
+    def gains(self, runs: list[str]) -> list[np.ndarray]:
+        """The ratio of every character of every run, after the one before it in the run."""
+        codes = CODE[np.frombuffer("\0".join(["", *runs]).encode("ascii"), np.uint8)]
+        before, after = codes[:-1], codes[1:]
+        inside = after < START
+        gains = self.ratio[before[inside], after[inside]]
+        return np.split(gains, np.cumsum([len(r) for r in runs])[:-1])
+
     def score(self, s: str) -> float:
-        codes = CODE[np.frombuffer(s.encode("ascii"), np.uint8)]
-        return float(self.ratio[np.concatenate(([START], codes[:-1])), codes].sum())
+        return float(self.gains([s])[0].sum())
 
 
 def rule_spans(text: str) -> list[tuple[int, int, int]]:
@@ -72,17 +83,65 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def all_spans(text: str, models: Models, least: float = LEAST_RATIO) -> list[tuple[int, int, int]]:
-    """Rule matches, and key-like runs outside them with a high enough ratio, in order."""
+    """Rule matches, and key-like strings outside them with a high enough ratio, in order."""
     found = sorted(rule_spans(text))
-    covered = _merged(found)
-    begins = [s for s, _ in covered]
+    parts = [(s, e) for s, e in uncovered(text, _merged(found)) if len(set(text[s:e])) >= LEAST_DIFFERENT]
     added = []
+    if parts:
+        for (s, e), gains in zip(parts, models.gains([text[s:e] for s, e in parts]), strict=True):
+            if gains.sum() >= least:
+                added.append((s, e))
+            elif np.maximum(gains, 0.0).sum() >= least:
+                added += [(s + i, s + j) for i, j in best_words(text[s:e], gains.tolist(), least)]
+    return sorted(found + [(s, KINDS.index("markov"), e) for s, e in added])
+
+
+def uncovered(text: str, covered: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What the covered parts leave of every run of key characters."""
+    begins = [s for s, _ in covered]
     for m in CANDIDATE.finditer(text):
-        k = bisect.bisect_left(begins, m.end()) - 1  # the last covered part that begins before its end
-        if ((k < 0 or covered[k][1] <= m.start()) and len(set(m[0])) >= LEAST_DIFFERENT
-                and models.score(m[0]) >= least):
-            added.append((m.start(), KINDS.index("markov"), m.end()))
-    return sorted(found + added)
+        at = m.start()
+        for s, e in covered[max(bisect.bisect_right(begins, at) - 1, 0):bisect.bisect_left(begins, m.end())]:
+            if s > at:
+                yield at, s
+            at = max(at, e)
+        if at < m.end():
+            yield at, m.end()
+
+
+def best_words(run: str, gains: list[float], least: float) -> list[tuple[int, int]]:
+    """Maximal segments of at least ``least``, widened to whole words, without overlap."""
+    out: list[tuple[int, int]] = []
+    for i, j in maximal_segments(gains, least):
+        while i and run[i - 1] not in JOINERS:
+            i -= 1
+        while j < len(run) and run[j] not in JOINERS:
+            j += 1
+        if out and i < out[-1][1]:
+            i = out.pop()[0]
+        out.append((i, j))
+    return [(i, j) for i, j in out if len(set(run[i:j])) >= LEAST_DIFFERENT]
+
+
+def maximal_segments(gains: list[float], least: float) -> list[tuple[int, int]]:
+    """All maximal-sum segments of at least ``least``, in order, in linear time."""
+    found: list[tuple[float, float, int, int, int]] = []  # sums before and after, ends, the one that begins lower
+    total = 0.0
+    for k, x in enumerate(gains):
+        if x > 0:
+            low, high, i = total, total + x, k
+            last = len(found) - 1
+            while True:
+                while last >= 0 and found[last][0] >= low:
+                    last = found[last][4]
+                if last < 0 or found[last][1] >= high:
+                    break
+                low, _, i, _, before = found[last]
+                del found[last:]
+                last = before
+            found.append((low, high, i, k + 1, last))
+        total += x
+    return [(i, j) for low, high, i, j, _ in found if high - low >= least]
 
 
 def _merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
