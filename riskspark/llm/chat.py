@@ -90,17 +90,19 @@ def problems(name: Column, arguments: Column, tools: Mapping[str, Mapping[str, M
 
 def link_calls(messages: DataFrame, tools: Mapping[str, Mapping[str, Mapping]] = TOOLS, conv_col: str = "conv_id",
                turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per call, and one per result without a call: ``conv_id``, ``turn``, ``call_index``,
+    """One row per call, and one per result that is linked to none: ``conv_id``, ``turn``, ``call_index``,
     ``call_id``, ``name``, ``level``, ``result_turn``, ``status``, ``valid``, ``problems``, ``canonical``.
 
     An assistant message may hold ``{"tool_calls": [{"id", "name", "arguments", "after"}]}``, a
     tool message ``{"tool_call_id", "content"}``.  Calls of a conversation in order: by level,
     turn and call_index.  ``status``: answered, unanswered, orphan (a result
-    without call), or duplicate (a call whose id an earlier call has; it is not
-    linked).  Of several results of a call the first counts.  A call in a cycle, or
+    without call), duplicate result (of several results of a call the first, by
+    turn and content, is linked, the others are rows of their own), or duplicate
+    (a call whose id an earlier call has; it is not linked).  A call in a cycle, or
     one that waits for such a call, has a null level; an id that no call has is
     no reason to wait.  Null and empty texts, texts that are no such JSON and
-    null ids have no link; repeated rows are duplicates; an empty table gives an
+    null call ids have no link; a null conversation is one of its own; every
+    repeated result is a row; an empty table gives an
     empty table; other columns are ignored.  Joins are by conversation and id, so
     a conversation of any length is dealt over all tasks.
     """
@@ -118,10 +120,14 @@ def link_calls(messages: DataFrame, tools: Mapping[str, Mapping[str, Mapping]] =
     results = (rows.where(F.col("role") == "tool")
                .select("conv_id", "turn", F.try_variant_get("body", "$.tool_call_id", "string").alias("call_id"),
                        F.to_json(F.try_variant_get("body", "$.content", "variant")).alias("content"))
-               .groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("result")))
-
-    waits = (asked.select("conv_id", "call_id", F.explode("after").alias("for")).where("call_id IS NOT NULL")
-             .join(first.select("conv_id", F.col("call_id").alias("for")), ["conv_id", "for"], "left_semi").distinct())
+               .groupBy("conv_id", "call_id", "turn", "content").agg(F.count(F.lit(1)).alias("n")))
+    answers = (results.where("call_id IS NOT NULL").groupBy("conv_id", "call_id")
+               .agg(F.min(F.struct("turn", "content")).alias("result"), F.sum("n").alias("of_call")))
+
+    waits = (asked.select(_key("conv_id").alias("conv_id"), "call_id", F.explode("after").alias("for"))
+             .where("call_id IS NOT NULL")
+             .join(first.select(_key("conv_id").alias("conv_id"), F.col("call_id").alias("for")),
+                   ["conv_id", "for"], "left_semi").distinct())
     levels = _levels(stored(waits.select("conv_id", "call_id", "for"), "waits"))
 
     earliest = first.select(F.col("conv_id").alias("f_conv"), F.col("call_id").alias("f_call"), "first")
@@ -131,10 +137,10 @@ def link_calls(messages: DataFrame, tools: Mapping[str, Mapping[str, Mapping]] =
                                      & (F.col("first.call_index") == F.col("call_index"))).alias("is_first"))
     own = own.withColumn("is_first", F.coalesce("is_first", F.lit(True)))
     left = own.withColumn("key", F.when(F.col("is_first"), F.col("call_id")))
-    right = results.select(F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_call"), "result")
+    right = answers.select(F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_call"), "result")
     linked = left.join(right, F.col("conv_id").eqNullSafe(F.col("r_conv")) & (F.col("key") == F.col("r_call")), "full")
     deep = levels.select(F.col("conv_id").alias("l_conv"), F.col("call_id").alias("l_call"), "level", F.lit(True).alias("waits"))
-    linked = linked.join(deep, F.col("conv_id").eqNullSafe(F.col("l_conv")) & (F.col("call_id") == F.col("l_call")), "left")
+    linked = linked.join(deep, (_key("conv_id") == F.col("l_conv")) & (F.col("call_id") == F.col("l_call")), "left")
     called = F.col("turn").isNotNull() | F.col("call_index").isNotNull()
     wrong = F.when(called, problems(F.col("name"), F.col("arguments"), tools))
     done = linked.select(
@@ -145,12 +151,38 @@ def link_calls(messages: DataFrame, tools: Mapping[str, Mapping[str, Mapping]] =
         F.when(~called, F.lit("orphan")).when(~F.col("is_first"), F.lit("duplicate"))
         .when(F.col("result").isNotNull(), F.lit("answered")).otherwise(F.lit("unanswered")).alias("status"),
         wrong.alias("problems"), F.to_json("arguments").alias("arguments"), F.col("result.content").alias("content"))
+    done = done.unionByName(_unlinked(results, answers, first), allowMissingColumns=True)
     return done.withColumn("valid", F.size("problems") == 0).select(
         "conv_id", "turn", "call_index", "call_id", "name", "level", "result_turn", "status", "valid", "problems",
         canonical({"arguments": F.col("arguments"), "id": _text("call_id"), "level": F.col("level").cast("string"),
                    "name": _text("name"), "result": F.col("content"), "status": _text("status")}).alias("canonical"))
 
 
+def _key(column: str) -> Column:
+    """A conversation as a string that is never null: joins on it meet null ids as well."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+
+def _unlinked(results: DataFrame, answers: DataFrame, first: DataFrame) -> DataFrame:
+    """One row for every result but the first of each id: those without an id, and repeated ones."""
+    several = answers.where("of_call > 1").select(
+        F.col("conv_id").alias("s_conv"), F.col("call_id").alias("s_call"), "result")
+    calls = first.where("call_id IS NOT NULL").select(
+        F.col("conv_id").alias("f_conv"), F.col("call_id").alias("f_call"), F.lit(True).alias("called"))
+    several = several.join(calls, F.col("s_conv").eqNullSafe(F.col("f_conv")) & (F.col("s_call") == F.col("f_call")),
+                           "left").select("s_conv", "s_call", "result", "called")
+    repeated = results.join(several, F.col("conv_id").eqNullSafe(F.col("s_conv")) & (F.col("call_id") == F.col("s_call")))
+    repeated = repeated.select(
+        "conv_id", "turn", "call_id", "content",
+        F.when(F.col("called"), F.lit("duplicate result")).otherwise(F.lit("orphan")).alias("status"),
+        (F.col("n") - F.struct("turn", "content").eqNullSafe(F.col("result")).cast("long")).alias("n"))
+    nameless = results.where("call_id IS NULL").select(
+        "conv_id", "turn", "call_id", "content", F.lit("orphan").alias("status"), "n")
+    return (repeated.unionByName(nameless).where("n > 0")
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+            .select("conv_id", "turn", "call_id", F.col("turn").alias("result_turn"), "status", "content"))
+
+
 def _text(column: str) -> Column:
     """JSON text of a string column."""
     quoted = F.to_json(F.array(column))
