@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskspark.llm import bpe, pfair, probminhash, secrets, toxicity
 from riskspark.llm.common import table
@@ -37,9 +38,20 @@ def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
-    return bpe.encode_decode(docs, VOCABULARY).selectExpr(
-        "doc_id", "CAST(size(ids) AS BIGINT) AS n_tokens", "ids")
+    """Token ids of every document that is left, in the order of the mixture.
+
+    ``place`` grows along the mixture: the number of the stage before's file, and
+    the row in it.  The rows are dealt by ranges of it and are in order in them.
+    """
+    name = F.col("_metadata.file_name")
+    # part-<task>-<uuid>[-c|.c]<file of the task>...: two numbers, and the row.
+    task = F.regexp_extract(name, r"^part-(\d+)-", 1).cast("long")
+    file = F.regexp_extract(name, r"[.-]c(\d+)(?:\.[a-z][a-z0-9]*)?\.parquet$", 1).cast("long")
+    placed = docs.select("doc_id", "text", F.struct(
+        task.alias("task"), file.alias("file"), F.col("_metadata.row_index").alias("row")).alias("place"))
+    ordered = placed.repartitionByRange("place").sortWithinPartitions("place")
+    return bpe.encode_decode(ordered, VOCABULARY, keep="place").selectExpr(
+        "place", "doc_id", "CAST(size(ids) AS BIGINT) AS n_tokens", "ids")
 
 
 STAGES = [("toxicity", harmless), ("minhash_near_dedup", different), ("secret_scans", without_secrets),

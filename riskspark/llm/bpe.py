@@ -24,8 +24,9 @@ import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_and_text, slices
+from .common import bounded_batches, ident, slices
 
 #: The word pattern and white-space class of byte-level vocabularies (fixed values).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -293,12 +294,14 @@ def _convert(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([
             b.column("doc_id").cast(pa.int64()),
             pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32())),
-            pa.array([bpe.decode(x) for x in ids], pa.string())], schema=OUT)
+            pa.array([bpe.decode(x) for x in ids], pa.string()), *b.columns[2:]],
+            schema=pa.schema([*OUT, *list(b.schema)[2:]]))
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
-                  text_col: str = "text", ship: bool = False) -> DataFrame:
-    """One row per input row: ``doc_id``, ``ids`` (array<int>) and ``decoded``.
+                  text_col: str = "text", ship: bool = False, keep: str | None = None) -> DataFrame:
+    """One row per input row: ``doc_id``, ``ids`` (array<int>) and ``decoded``,
+    and the column ``keep`` as it is.
 
     ``vocabulary``: a vocabulary file of the tokenizers library (byte-level BPE),
     at the same path on every machine; with ``ship`` the session sends the
@@ -311,7 +314,9 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = id_and_text(docs, id_col, text_col).selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
+    rows = docs.select(ident(id_col).cast("long").alias("doc_id"), F.coalesce(ident(text_col), F.lit("")).alias("text"),
+                       *([ident(keep)] if keep else []))
+    kept = f", `{keep}` {rows.schema[keep].dataType.simpleString()}" if keep else ""
     if ship:
         spark.sparkContext.addFile(vocabulary)
         name = vocabulary.rsplit("/", 1)[-1]
@@ -321,4 +326,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     else:
         def run(batches):
             return _convert(batches, vocabulary)
-    return rows.mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")
+    return rows.mapInArrow(run, "doc_id bigint, ids array<int>, decoded string" + kept)
