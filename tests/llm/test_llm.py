@@ -111,6 +111,14 @@ def test_float_weights_over_many_slots():
     assert seen == Counter(dict.fromkeys(weights, 3000))
 
 
+def test_many_sources_give_a_row_a_block():
+    """1,500 sources that end one by one: rows are as many as blocks, not sources times phases."""
+    blocks = {f"s{k}": 1 + k % 40 for k in range(1500)}
+    rows = list(pfair.timetable([(blocks, dict.fromkeys(blocks, 1.0))]))
+    assert [r[3] for r in rows] == list(range(sum(blocks.values())))
+    assert Counter(r[0] for r in rows) == Counter(blocks) and rows[-1][2] == 39
+
+
 def test_schedule_keeps_every_row(docs):
     assert pfair.schedule(docs, block_chars=1000).count() == len(ROWS)
     mixed = pfair.mixed(docs)
