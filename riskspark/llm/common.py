@@ -31,6 +31,16 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                      F.coalesce(ident(text_col), F.lit("")).alias("text"))
 
 
+def sampled(id_col: str, n: int, most: int) -> Column:
+    """True for about ``most`` of ``n`` rows, by a hash of the id, however large ``n`` is:
+    whole millionths by one hash, and what is left of a millionth by a second one."""
+    key = ident(id_col).cast("string")
+    whole, rest = divmod(min(most, max(n, 1)) * 1_000_000, max(n, 1))
+    part = F.pmod(F.xxhash64(key), F.lit(1_000_000))
+    fine = F.shiftrightunsigned(F.xxhash64(F.lit(1), key), 1)
+    return (part < whole) | ((part == whole) & (fine < F.lit(2 ** 63 * rest // max(n, 1))))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that a Python worker's memory has a bound."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, ident, stored
+from .common import bounded_batches, ident, sampled, stored
 
 SAMPLE_DOCS, MOST_GRAMS = 20_000, 30_000
 #: Trigrams of one text are not independent: so many count at most.
@@ -71,8 +71,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     """The text model from about ``sample_docs`` documents; rows without text or language
     teach nothing.  Its trigrams are the ``most_grams`` commonest of the sample."""
     bounded_batches(docs.sparkSession)
-    share = int(min(1.0, sample_docs / max(docs.count(), 1)) * 1_000_000)
-    rows = docs.where(F.pmod(F.xxhash64(ident(id_col).cast("string")), F.lit(1_000_000)) < share).select(
+    rows = docs.where(sampled(id_col, docs.count(), sample_docs)).select(
         ident(text_col).alias("text"), ident(lang_col).cast("string").alias("lang")).dropna()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

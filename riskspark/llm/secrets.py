@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_and_text, ident
+from .common import bounded_batches, id_and_text, ident, sampled
 
 #: Characters of keys; the models' states are these and the start (fixed values).
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
@@ -193,9 +193,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     bounded_batches(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col)
-    n = docs.count()
-    share = int(min(1.0, sample_docs / max(n, 1)) * 1_000_000)
-    chosen = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share)
+    chosen = rows.where(sampled("doc_id", docs.count(), sample_docs))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((2, START + 1, START), dtype=np.int64)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_and_text, ident, stored
+from .common import bounded_batches, id_and_text, ident, sampled, stored
 
 MOST_POSITIVE = 5_000
 MOST_UNLABELLED = 20_000
@@ -113,14 +113,6 @@ def nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 800, rate: flo
     return w[:-1], float(w[-1])
 
 
-def _share(n: int, most: int):
-    return int(min(1.0, most / max(n, 1)) * 1_000_000)
-
-
-def _part(id_col: str):
-    return F.pmod(F.xxhash64(ident(id_col).cast("string")), F.lit(1_000_000))
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", most_positive: int = MOST_POSITIVE,
         most_unlabelled: int = MOST_UNLABELLED) -> Model:
@@ -139,9 +131,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model({}, float(np.log(0.01 / 0.99)))
     prior = min(max(positives / n, 1e-3), 0.5)
     rows = id_and_text(docs, id_col, text_col)
-    ids = known.where("toxic").where(_part("doc_id") < _share(positives, most_positive)).select("doc_id").distinct()
+    ids = known.where("toxic").where(sampled("doc_id", positives, most_positive)).select("doc_id").distinct()
     p = rows.join(F.broadcast(ids), "doc_id").select("text", F.lit(1).alias("p"))
-    u = (rows.where(~held_out() & (_part("doc_id") < _share(docs.count(), most_unlabelled)))
+    u = (rows.where(~held_out() & sampled("doc_id", docs.count(), most_unlabelled))
          .select("text", F.lit(0).alias("p")))
     sample = stored(p.unionByName(u), "toxicity-sample")
     sizes = {r.p: r.n for r in sample.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
