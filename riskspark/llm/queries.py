@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, chat, imatch, langid, pfair, probminhash, quality, secrets, toxicity, warc
+from . import bpe, bwtmerge, chat, imatch, langid, pfair, probminhash, quality, secrets, toxicity, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,6 +99,16 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumns({c: F.array_join(c, ":") for c in ("fingerprint", "edited_fingerprint")})
 
 
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that documents with smaller ids have."""
+    def total(c: str):
+        return F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    return bwtmerge.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (total("ends") - total("starts")).alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op5_language": op5_language,
@@ -110,6 +120,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_imatch": op10_imatch,
     "op2_bpe": op2_bpe,
+    "op11_suffixes": op11_suffixes,
 }
 
 OP9_SQL = """
@@ -124,5 +135,25 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
 FROM p
 """
 
+OP11_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+e AS (SELECT w.doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY w.doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new
+      FROM w JOIN f USING (s) WHERE m < w.doc_id),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e),
+r AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, k),
+c AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends
+      FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+  CASE WHEN n IS NULL THEN sha256(unhex(h)) ELSE sha256(unhex(array_to_string([
+    substr(h, 2 * (CASE WHEN j = 1 THEN 0 ELSE ends[j - 1] END) + 1,
+           2 * ((CASE WHEN j = n + 1 THEN length(h) // 2 ELSE starts[j] END) - (CASE WHEN j = 1 THEN 0 ELSE ends[j - 1] END)))
+    for j in range(1, n + 2)], ''))) END AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
 #: Learned models, iterations and tokenizers are outside SQL: their tests compare with brute force.
-ORACLES: dict[str, str] = {"op9_warc": OP9_SQL}
+ORACLES: dict[str, str] = {"op9_warc": OP9_SQL, "op11_suffixes": OP11_SQL}
