@@ -12,7 +12,7 @@ anchors, so strings are dealt by anchor to buckets, and:
 3. each bucket merges the transforms of all shards.  A round of the interleave
    refinement deals the rows, in the order that holds for h bytes, by the byte
    before them, which gives the order for h + 1 bytes; no suffix is sorted again.
-   The round in which two neighbours part gives their common prefix.  After
+   A row that parts from all others has its longest common prefix and goes.  After
    LEAST rounds, rows that have not parted are a repeated interval; the least id
    in it is where that window is found first;
 4. each shard removes what is found in a document with a smaller id.
@@ -32,11 +32,11 @@ from .common import id_and_text, stored
 from .packs import batch, buckets, by_key, groups, none, opened, packed, shut
 
 LEAST = 50
-GRAM = 18
+GRAM = 16
 CROWDED = 4096
 #: Byte for the end of a string in a transform: UTF-8 has no such byte.
 END = 255
-ENTRY = np.dtype([("anchor", "<u4"), ("digest", "<u8")])
+ENTRY = np.dtype([("anchor", "<u2"), ("rest", "u1"), ("digest", "<u8")])
 #: What a bucket says of a shard's string: of one document only, send it, crowded, another shard sends it.
 ALONE, SEND, SPLIT, KNOWN = range(4)
 BASE = 0x9E3779B97F4A7C15
@@ -106,7 +106,7 @@ class Strings:
         self.size = np.minimum(size[again] - k * (LEAST + 1), LEAST + 1)  # in windows
         key = _mixed(anchor[self.start] + np.uint64(BASE))
         self.bucket = (key % np.uint64(parts)).astype(np.int64)
-        self.anchor = (key >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE)
+        self.anchor = (key >> np.uint64(40)).astype(np.uint32) & np.uint32(0xFFFFFE)
         self.digest = _mixed(windows[self.start] * np.uint64(0xD6E8FEB86659FD93)
                              + windows[self.start + self.size - 1] * np.uint64(0xA0761D6478BD642F)
                              + self.size.astype(np.uint64))
@@ -131,6 +131,11 @@ class Strings:
         return order[new], of, several, b[new]
 
 
+def _stable(x: np.ndarray) -> np.ndarray:
+    """Stable order; small numbers take a radix sort."""
+    return np.argsort(x.astype(np.uint16) if x.size and x.max() < 1 << 16 else x, kind="stable")
+
+
 def transform(buf: np.ndarray, start: np.ndarray, length: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Burrows-Wheeler transforms of strings, one per bucket, side by side in the order
     of the buckets (``bucket`` ascends), and the bucket of each row.  A string's end is
@@ -138,79 +143,91 @@ def transform(buf: np.ndarray, start: np.ndarray, length: np.ndarray, bucket: np
     sizes = length + 1
     base = np.cumsum(sizes) - sizes
     n = int(sizes.sum())
+    if not n:
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
     which = np.repeat(np.arange(len(start)), sizes)
     offset = np.arange(n) - base[which]
     left = length[which] - offset
-    at = np.minimum(start[which] + offset, max(len(buf) - 1, 0))
-    symbol = np.where(left > 0, buf[at].astype(np.int64) + 1, 0)
-    key, far = symbol.copy(), 1
-    for far in range(1, 7):  # seven symbols of nine bits
+    at = start[which] + offset
+    symbol = np.where(left > 0, buf[np.minimum(at, len(buf) - 1)].astype(np.int64) + 1, 0)
+    key, far = symbol.copy(), 7
+    for k in range(1, far):  # seven symbols of nine bits
         key <<= 9
-        key[:n - far] |= np.where(left[:n - far] >= far, symbol[far:], 0)
-    far, most = 7, int(length.max(initial=0)) + 1
-    rank = np.unique(key, return_inverse=True)[1]
-    while far < most:
-        nxt = np.zeros(n, np.int64)
-        nxt[:n - far] = np.where(left[:n - far] >= far, rank[far:] + 1, 0)
-        rank = np.unique(rank * (n + 1) + nxt, return_inverse=True)[1]
+        key[:n - k] |= np.where(left[:n - k] >= k, symbol[k:], 0)
+    order = np.argsort(key)
+    new = np.ones(n, bool)
+    new[1:] = np.diff(key[order]) != 0
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    while True:  # rows that are equal so far: by what follows
+        slot = np.flatnonzero(~(new & np.append(new[1:], True)))
+        slot = slot[left[order[slot]] >= far]
+        if not len(slot):
+            break
+        row = order[slot]
+        key = rank[row] * (n + 1) + rank[row + far]
+        by = np.argsort(key)
+        row, key = row[by], key[by]
+        order[slot] = row
+        new[slot[1:]] |= np.diff(key) != 0
+        rank[row] = slot[np.maximum.accumulate(np.where(new[slot], np.arange(len(slot)), 0))]
         far *= 2
-    of = bucket[which]
-    order = np.argsort(np.unique(of, return_inverse=True)[1] * (n + 1) + rank, kind="stable")
+    slot = np.flatnonzero(~(new & np.append(new[1:], True)))
+    row = order[slot]
+    order[slot] = row[np.argsort(rank[row] * n + row)]
+    of = bucket[which[order]]
+    order = order[_stable(np.unique(of, return_inverse=True)[1])]
     before = np.where(offset > 0, buf[np.maximum(at - 1, 0)], END).astype(np.uint8)
-    # the end of a string comes after its last byte, wherever that is in the buffer
-    last = (left == 0) & (offset > 0)
-    before[last] = buf[start[which[last]] + length[which[last]] - 1]
-    return before[order], of[order]
+    return before[order], bucket[which[order]]
 
 
 class Merged:
     """The merge of the transforms of shards, refined for ``depth`` bytes.
 
-    ``rows`` lists the rows (numbered shard by shard) in the merged order, and
-    ``common`` how many bytes, at most ``depth``, each shares with the one before.
+    ``reach``: how many bytes, ``depth`` at most, a row (they are numbered shard by
+    shard) has in common with some other row.  ``rows``: those that reach ``depth``,
+    in the merged order; ``blocks``: where the intervals of equal prefixes begin in it.
     """
 
     def __init__(self, transforms: list[np.ndarray], depth: int = LEAST):
-        text = np.concatenate(transforms) if transforms else np.zeros(0, np.uint8)
+        text = np.concatenate(transforms)
         sizes = np.array([len(t) for t in transforms], np.int64)
-        shard = np.repeat(np.arange(len(transforms)), sizes)
-        base = (np.cumsum(sizes) - sizes)
+        shard = np.repeat(np.arange(len(transforms), dtype=np.int32), sizes)
+        base = np.cumsum(sizes) - sizes
         n = len(text)
         ended = text == END
         strings = np.bincount(shard[ended], minlength=len(transforms))
         #: The row of a string's end; strings are numbered shard by shard.
         self.ends = np.repeat(base - (np.cumsum(strings) - strings), strings) + np.arange(strings.sum())
-        inner = np.flatnonzero(~ended)
-        order = inner[np.argsort(shard[inner] * 256 + text[inner], kind="stable")]
-        back = np.zeros(n, np.int64)  # the row of the suffix that is longer by the byte before
-        rank = np.arange(len(order))
+        order = np.flatnonzero(~ended)
+        order = order[np.argsort(text[order], kind="stable")]
+        order = order[_stable(shard[order])]
         own = shard[order]
         per = np.bincount(own, minlength=len(transforms))
-        back[order] = base[own] + strings[own] + rank - (np.cumsum(per) - per)[own]
+        back = np.zeros(n, np.int32)  # the row of the suffix that is longer by the byte before
+        back[order] = (base + strings - (np.cumsum(per) - per))[own] + np.arange(len(order))
         self.text, self.back = text, back
-        s = len(self.ends)
-        rows, block = np.arange(n), np.zeros(n, np.int64)
-        self.common = np.full(n, depth, np.uint8)
-        if n:
-            self.common[0] = 0
+        rows, block = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
+        self.reach = np.zeros(n, np.uint8)
         for h in range(depth):
             c = text[rows]
             at = np.flatnonzero(c != END)
-            at = at[np.argsort(c[at], kind="stable")]
-            c, b = c[at], block[at]
-            parted = np.ones(n, bool)
-            parted[s + 1:] = (c[1:] != c[:-1]) | (b[1:] != b[:-1])
-            rows = np.concatenate([self.ends, back[rows[at]]])
-            block = np.cumsum(parted)
-            self.common[parted & (self.common == depth)] = h
-            if n and block[-1] == n:
-                break
+            c = c[at]
+            by = np.argsort(c, kind="stable")
+            c, at = c[by], at[by]
+            rows, block = back[rows[at]], block[at]
+            new = np.ones(len(rows) + 1, bool)
+            new[1:-1] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
+            several = ~(new[:-1] & new[1:])
+            block = np.cumsum(new[:-1], dtype=np.int32)[several]
+            rows = rows[several]
+            self.reach[rows] = h + 1
         self.rows = rows
-        self.blocks = np.flatnonzero(self.common < depth)  # where the intervals of equal prefixes begin
+        self.blocks = np.flatnonzero(np.diff(block, prepend=-1))
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
         """The string and the length of every row's suffix: all strings are walked back from their ends."""
-        string, length = np.empty(len(self.text), np.int64), np.empty(len(self.text), np.int64)
+        string, length = np.empty(len(self.text), np.int32), np.empty(len(self.text), np.int32)
         which, row, k = np.arange(len(self.ends)), self.ends, 0
         while len(row):
             string[row], length[row] = which, k
@@ -219,7 +236,7 @@ class Merged:
         return string, length
 
 
-SENT = "kind int, bucket int, pack long, digests binary, firsts binary, sizes binary, sends binary, bytes binary"
+SENT = "bucket int, pack long, digests binary, firsts binary, sends binary, bytes binary"
 
 
 def _asked(docs: DataFrame, parts: int) -> DataFrame:
@@ -231,7 +248,8 @@ def _asked(docs: DataFrame, parts: int) -> DataFrame:
             strings = Strings(opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64), parts)
             one, _, several, bucket = strings.entries()
             found = np.empty(len(one), ENTRY)
-            found["anchor"] = strings.anchor[one] | several
+            anchor = strings.anchor[one] | several
+            found["anchor"], found["rest"] = anchor >> np.uint32(8), anchor & np.uint32(255)
             found["digest"] = strings.digest[one]
             at = np.flatnonzero(np.diff(bucket, prepend=-1))
             yield batch(schema, [bucket[at], np.full(len(at), row["pack"]), [
@@ -241,14 +259,14 @@ def _asked(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _answers(asked: DataFrame, crowded: int) -> DataFrame:
-    """(pack, bucket, said): what to do with each of the strings that a shard has told of."""
-    schema = "pack long, bucket int, said binary"
+    """(pack, bucket, bytes): what to do with each of the strings that a shard has told of."""
+    schema = "pack long, bucket int, bytes binary"
 
     def run(batches):
         for rows in groups(batches, "bucket"):
             parts = [np.frombuffer(r["entries"], ENTRY) for r in rows]
             x = np.concatenate(parts)
-            anchor, digest = x["anchor"] & np.uint32(0xFFFFFFFE), x["digest"]
+            anchor, digest = x["anchor"].astype(np.uint32) << np.uint32(8) | x["rest"] & 254, x["digest"]
             pack = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
             order = np.lexsort((pack, digest, anchor))
             a, d, p = anchor[order], digest[order], pack[order]
@@ -258,13 +276,13 @@ def _answers(asked: DataFrame, crowded: int) -> DataFrame:
             new[1:] |= d[1:] != d[:-1]
             at, of = np.flatnonzero(anew), np.cumsum(anew) - 1
             shared = np.minimum.reduceat(p, at) != np.maximum.reduceat(p, at)
-            shared |= np.maximum.reduceat(x["anchor"][order] & 1, at) > 0
+            shared |= np.maximum.reduceat(x["rest"][order] & 1, at) > 0
             many = np.add.reduceat(new.astype(np.int64), at) > crowded
             said = np.where(shared[of], np.where(many[of], SPLIT, np.where(new, SEND, KNOWN)), ALONE)
             back = np.empty(len(a), np.uint8)
             back[order] = said
             ends = np.cumsum([len(q) for q in parts])
-            answers = [(r["pack"], r["bucket"], s.tobytes())
+            answers = [(r["pack"], r["bucket"], shut(s))
                        for r, s in zip(rows, np.split(back, ends[:-1]), strict=True) if s.any()]
             if answers:
                 yield batch(schema, [list(c) for c in zip(*answers, strict=True)])
@@ -272,58 +290,69 @@ def _answers(asked: DataFrame, crowded: int) -> DataFrame:
     return by_key(asked, "bucket", "pack").mapInArrow(run, schema)
 
 
-def _sent(docs: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
-    """Rows of kind 0: a shard's strings in a bucket, with the transform of those it sends.
-    Rows of kind 1: where a shard has which of its strings (in the order in which they are sent)."""
-    rows = (docs.select("pack", F.lit(1).alias("kind"), none("int").alias("bucket"), "doc_ids", "ends", "bytes")
-            .unionByName(answers.select("pack", F.lit(0).alias("kind"), "bucket", none("array<long>").alias("doc_ids"),
-                                        none("array<long>").alias("ends"), F.col("said").alias("bytes"))))
-
+class Chosen:
+    """The strings of a shard that the buckets have asked for: whole ones, and single
+    windows of crowded anchors; one of each digest, in the order (bucket, digest)."""
+
+    def __init__(self, row: dict, told: list[dict], parts: int):
+        self.buf, self.ends = opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64)
+        self.ids = np.array([LARGEST if i is None else i for i in row["doc_ids"]], np.int64)
+        strings = Strings(self.buf, self.ends, parts)
+        self.doc = strings.doc
+        one, of, _, bucket = strings.entries()
+        said = np.zeros(len(one), np.uint8)
+        for r in told:
+            lo, hi = np.searchsorted(bucket, [r["bucket"], r["bucket"] + 1])
+            said[lo:hi] = opened(r["bytes"], np.uint8)
+        mine = said[of]
+        whole = np.flatnonzero((mine == SEND) | (mine == KNOWN))
+        crowd = np.flatnonzero(mine == SPLIT)
+        n = strings.size[crowd]
+        single = np.repeat(strings.start[crowd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        digest = np.concatenate([strings.digest[whole], _mixed(strings.windows[single])])
+        bucket = np.concatenate([strings.bucket[whole], (digest[len(whole):] % np.uint64(parts)).astype(np.int64)])
+        order = np.lexsort((digest, bucket))
+        b, d = bucket[order], digest[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (b[1:] != b[:-1]) | (d[1:] != d[:-1])
+        at = np.flatnonzero(new)
+        #: Of every occurrence: where it starts, and which string it is.
+        self.start = np.concatenate([strings.start[whole], single])[order]
+        self.entry = np.cumsum(new) - 1
+        #: Of every string: bucket, digest, windows, whether to send it, the least id here.
+        self.bucket, self.digest = b[at], d[at]
+        self.size = np.concatenate([strings.size[whole], np.ones(len(single), np.int64)])[order][at]
+        self.sends = np.concatenate([mine[whole] == SEND, np.ones(len(single), bool)])[order][at]
+        self.first = np.minimum.reduceat(self.ids[self.doc[self.start]], at) if len(at) else at
+        self.begin = self.start[at]
+
+
+def _by_pack(shards: DataFrame, *told: DataFrame) -> DataFrame:
+    """What was told (pack, bucket, bytes) to each pack, and after that the pack itself."""
+    rows = shards.select("pack", F.lit(len(told)).alias("kind"), none("int").alias("bucket"), "doc_ids", "ends", "bytes")
+    for k, t in enumerate(told):
+        rows = rows.unionByName(t.select("pack", F.lit(k).alias("kind"), "bucket", none("array<long>").alias("doc_ids"),
+                                         none("array<long>").alias("ends"), "bytes"))
+    return by_key(rows, "pack", "kind", "bucket")
+
+
+def _sent(shards: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
+    """A shard's strings in each bucket, with the transform of those it sends."""
     def run(batches):
         for *told, row in groups(batches, "pack"):
             if not told:
                 continue
-            buf, ends = opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64)
-            ids = np.array([LARGEST if i is None else i for i in row["doc_ids"]], np.int64)
-            strings = Strings(buf, ends, parts)
-            one, of, _, bucket = strings.entries()
-            said = np.zeros(len(one), np.uint8)
-            for r in told:
-                lo, hi = np.searchsorted(bucket, [r["bucket"], r["bucket"] + 1])
-                said[lo:hi] = np.frombuffer(r["bytes"], np.uint8)
-            mine = said[of]
-            whole = np.flatnonzero((mine == SEND) | (mine == KNOWN))
-            crowd = np.flatnonzero(mine == SPLIT)
-            size = strings.size[crowd]
-            single = np.repeat(strings.start[crowd], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            digest = np.concatenate([strings.digest[whole], _mixed(strings.windows[single])])
-            bucket = np.concatenate([strings.bucket[whole], (digest[len(whole):] % np.uint64(parts)).astype(np.int64)])
-            start = np.concatenate([strings.start[whole], single])
-            size = np.concatenate([strings.size[whole], np.ones(len(single), np.int64)])
-            sends = np.concatenate([mine[whole] == SEND, np.ones(len(single), bool)])
-            order = np.lexsort((digest, bucket))
-            b, d = bucket[order], digest[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (b[1:] != b[:-1]) | (d[1:] != d[:-1])
-            entry = np.cumsum(new) - 1
-            at = np.flatnonzero(new)
-            first = np.minimum.reduceat(ids[strings.doc[start[order]]], at)
-            one = order[at]
-            b, d, size1, sends1 = b[at], d[at], size[one], sends[one]
-            out = one[sends1]
-            lines, of_line = transform(buf, start[out], size[out] + LEAST - 1, bucket[out])
-            cut = np.flatnonzero(np.diff(b, prepend=-1))
-            own = b[cut]
+            x = Chosen(row, told, parts)
+            lines, of_line = transform(x.buf, x.begin[x.sends], x.size[x.sends] + LEAST - 1, x.bucket[x.sends])
+            cut = np.flatnonzero(np.diff(x.bucket, prepend=-1))
+            own, stop = x.bucket[cut], np.append(cut[1:], len(x.bucket))
             lo, hi = np.searchsorted(of_line, own), np.searchsorted(of_line, own, side="right")
-            stop = np.append(cut[1:], len(b))
-            pieces = [(0, int(k), row["pack"], d[i:j].tobytes(), first[i:j].tobytes(), size1[i:j].astype(np.uint8).tobytes(),
-                       sends1[i:j].tobytes(), lines[x:y].tobytes())
-                      for k, i, j, x, y in zip(own, cut, stop, lo, hi, strict=True)]
-            pieces.append((1, None, row["pack"], shut(start[order]), shut(entry), shut(size1.astype(np.uint8)), None, None))
+            pieces = [(int(k), row["pack"], x.digest[i:j].tobytes(), x.first[i:j].tobytes(), x.sends[i:j].tobytes(),
+                       shut(lines[a:b], 3)) for k, i, j, a, b in zip(own, cut, stop, lo, hi, strict=True)]
             for i in range(0, len(pieces), 256):
                 yield batch(SENT, [list(c) for c in zip(*pieces[i:i + 256], strict=True)])
 
-    return by_key(rows, "pack", "kind", "bucket").mapInArrow(run, SENT)
+    return _by_pack(shards, answers).mapInArrow(run, SENT)
 
 
 def _found_first(sent: DataFrame) -> DataFrame:
@@ -335,18 +364,17 @@ def _found_first(sent: DataFrame) -> DataFrame:
             digests = [np.frombuffer(r["digests"], np.uint64) for r in rows]
             firsts = [np.frombuffer(r["firsts"], np.int64) for r in rows]
             sends = [np.frombuffer(r["sends"], bool) for r in rows]
-            merged = Merged([np.frombuffer(r["bytes"], np.uint8) for r in rows])
+            merged = Merged([opened(r["bytes"], np.uint8) for r in rows])
             string, length = merged.places()
             # the least id of each different string, over the shards that have it
             known, of = np.unique(np.concatenate(digests), return_inverse=True)
             least = np.full(len(known), LARGEST)
             np.minimum.at(least, of, np.concatenate(firsts))
             sender = of[np.concatenate(sends)]  # of the strings in the transforms, in their order
-            rows_id = least[sender[string]]
-            least_in = np.minimum.reduceat(rows_id[merged.rows], merged.blocks)
-            size = np.diff(merged.blocks, append=len(merged.rows))
-            found = np.empty(len(rows_id), np.int64)
-            found[merged.rows] = np.repeat(least_in, size)
+            found = least[sender[string]]
+            if len(merged.rows):
+                least_in = np.minimum.reduceat(found[merged.rows], merged.blocks)
+                found[merged.rows] = np.repeat(least_in, np.diff(merged.blocks, append=len(merged.rows)))
             # windows of the strings, string by string
             window = np.flatnonzero(length >= LEAST)
             window = window[np.lexsort((-length[window], string[window]))]
@@ -364,43 +392,32 @@ def _found_first(sent: DataFrame) -> DataFrame:
             for i in range(0, len(pieces), 256):
                 yield batch(schema, [list(c) for c in zip(*pieces[i:i + 256], strict=True)])
 
-    strings = sent.where("kind = 0").drop("kind")
-    return by_key(strings, "bucket", "pack").mapInArrow(run, schema)
+    return by_key(sent, "bucket", "pack").mapInArrow(run, schema)
 
 
 RESULT = "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary"
 
 
-def _cleared(docs: DataFrame, sent: DataFrame, firsts: DataFrame) -> DataFrame:
+def _cleared(shards: DataFrame, answers: DataFrame, firsts: DataFrame, parts: int) -> DataFrame:
     """The documents of every shard without what is found in a document with a smaller id."""
-    nothing = [none("array<long>").alias("doc_ids"), none("array<long>").alias("ends")]
-    empty = [none("binary").alias(c) for c in ("starts", "entries")]
-    rows = (docs.select("pack", F.lit(2).alias("kind"), none("int").alias("bucket"), "doc_ids", "ends", "bytes", *empty)
-            .unionByName(sent.where("kind = 1").select(
-                "pack", "kind", "bucket", *nothing, F.col("sizes").alias("bytes"),
-                F.col("digests").alias("starts"), F.col("firsts").alias("entries")))
-            .unionByName(firsts.select("pack", F.lit(0).alias("kind"), "bucket", *nothing, "bytes", *empty)))
-
     def run(batches):
         for *told, row in groups(batches, "pack"):
-            buf, ends = opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64)
-            n, begin = len(buf), ends - np.diff(ends, prepend=0)
-            gone = np.zeros(n, bool)
-            if told:
-                *found, where = told
-                first = np.concatenate([opened(r["bytes"], np.int64) for r in found])
-                start, entry = opened(where["starts"], np.int64), opened(where["entries"], np.int64)
-                size = opened(where["bytes"], np.uint8).astype(np.int64)
-                ids = np.array([LARGEST if i is None else i for i in row["doc_ids"]], np.int64)
-                doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-                of, count = (np.cumsum(size) - size)[entry], size[entry]
+            found = [opened(r["bytes"], np.int64) for r in told if r["kind"] == 1]
+            if found:
+                x = Chosen(row, [r for r in told if r["kind"] == 0], parts)
+                buf, ends, n = x.buf, x.ends, len(x.buf)
+                first = np.concatenate(found)
+                of, count = (np.cumsum(x.size) - x.size)[x.entry], x.size[x.entry]
                 k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                window = np.repeat(start, count) + k
-                hit = window[first[np.repeat(of, count) + k] < ids[doc[window]]]
-                edge = np.zeros(n + 1, np.int64)
-                np.add.at(edge, hit, 1)
-                np.add.at(edge, hit + LEAST, -1)
+                window = np.repeat(x.start, count) + k
+                hit = window[first[np.repeat(of, count) + k] < x.ids[x.doc[window]]]
+                edge = np.bincount(hit, minlength=n + LEAST) - np.bincount(hit + LEAST, minlength=n + LEAST)[:n + LEAST]
                 gone = np.cumsum(edge[:n]) > 0
+            else:
+                buf, ends = opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64)
+                n = len(buf)
+                gone = np.zeros(n, bool)
+            begin = ends - np.diff(ends, prepend=0)
             at_begin = np.zeros(n + 1, bool)
             at_begin[begin] = True
             before = np.concatenate([[False], gone[:-1]]) & ~at_begin[:n] if n else gone
@@ -414,7 +431,7 @@ def _cleared(docs: DataFrame, sent: DataFrame, firsts: DataFrame) -> DataFrame:
                 [stops[i:j] - b if b != e else [] for b, e, i, j in docs_of],
                 [kept[keep[b]:keep[e]].tobytes() for b, e, _, _ in docs_of]])
 
-    return by_key(rows, "pack", "kind", "bucket").mapInArrow(run, RESULT)
+    return _by_pack(shards, answers, firsts).mapInArrow(run, RESULT)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
@@ -432,6 +449,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     parts = buckets(docs)
     shards = packed(rows)
-    answers = _answers(_asked(shards.select("pack", "ends", "bytes"), parts), crowded)
-    sent = stored(_sent(shards, answers, parts), "strings")
-    return _cleared(shards, sent, _found_first(sent))
+    answers = stored(_answers(_asked(shards.select("pack", "ends", "bytes"), parts), crowded), "answers")
+    return _cleared(shards, answers, _found_first(_sent(shards, answers, parts)), parts)

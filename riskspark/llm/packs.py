@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, slices, stored
 
-PACK_BYTES = 4_000_000
+PACK_BYTES = 2_000_000
 PACKED = "pack long, doc_ids array<long>, ends array<long>, bytes binary"
 ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(),
          "array<long>": pa.list_(pa.int64())}
 
 
-def shut(x) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).data if isinstance(x, np.ndarray) else x)
+def shut(x, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(x).data if isinstance(x, np.ndarray) else x)
 
 
 def opened(x: bytes, kind) -> np.ndarray:
@@ -63,7 +63,7 @@ def packed(rows: DataFrame) -> DataFrame:
         for b in batches:
             for s in slices(iter([b]), most=PACK_BYTES):
                 buf, ends = text_bytes(s.column("text"))
-                yield batch(PACKED, [[next(numbers)], [s.column("doc_id").to_pylist()], [ends], [shut(buf)]])
+                yield batch(PACKED, [[next(numbers)], [s.column("doc_id").to_pylist()], [ends], [shut(buf, 5)]])
 
     return stored(rows.mapInArrow(run, PACKED), "packs")
 
@@ -88,7 +88,7 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
 
 def buckets(df: DataFrame) -> int:
     """Parts into which keys are dealt: some for each shuffle partition, a setting that grows with the data."""
-    return 4 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    return 8 * max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def none(kind: str) -> Column:
