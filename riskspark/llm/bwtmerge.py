@@ -9,6 +9,8 @@ anchors, so strings are dealt by anchor to buckets, and:
    says what at least two documents have and which shard sends each different string;
 2. each shard sorts the suffixes of the strings it sends and sends their
    Burrows-Wheeler transform;
+   A string that is the only one with its anchor, in however many documents, has
+   nothing to be merged with and is not sent;
 3. each bucket merges the transforms of all shards.  A round of the interleave
    refinement deals the rows, in the order that holds for h bytes, by the byte
    before them, which gives the order for h + 1 bytes; no suffix is sorted again.
@@ -34,11 +36,14 @@ from .packs import batch, buckets, by_key, groups, none, opened, packed, shut
 LEAST = 50
 GRAM = 16
 CROWDED = 4096
+#: Positions hashed, and rows sorted, in one go.
+CHUNK = 1 << 15
 #: Byte for the end of a string in a transform: UTF-8 has no such byte.
 END = 255
 ENTRY = np.dtype([("anchor", "<u2"), ("rest", "u1"), ("digest", "<u8")])
-#: What a bucket says of a shard's string: of one document only, send it, crowded, another shard sends it.
-ALONE, SEND, SPLIT, KNOWN = range(4)
+#: What a bucket says of a shard's string: of one document only, send it, crowded, another
+#: shard sends it, no other string has its anchor.
+ALONE, SEND, SPLIT, KNOWN, EQUAL = range(5)
 BASE = 0x9E3779B97F4A7C15
 LARGEST = np.iinfo(np.int64).max
 
@@ -84,15 +89,14 @@ class Strings:
     """The strings of a shard: windows side by side in one document that have one anchor."""
 
     def __init__(self, buf: np.ndarray, ends: np.ndarray, parts: int):
-        n = len(buf)
-        grams, windows = _hashes(buf, GRAM, LEAST) if n >= LEAST else (np.zeros(0, np.uint64),) * 2
-        self.windows = windows
-        count = len(windows)
+        count = max(len(buf) - LEAST + 1, 0)
+        self.windows, anchor = np.empty(count, np.uint64), np.empty(count, np.uint64)
+        for i in range(0, count, CHUNK):  # a cache's worth at a time
+            j = min(i + CHUNK, count)
+            grams, self.windows[i:j] = _hashes(buf[i:j + LEAST - 1], GRAM, LEAST)
+            anchor[i:j] = _least(_mixed(grams), LEAST - GRAM + 1)
+        windows = self.windows
         self.doc = doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        if not count:
-            anchor = np.zeros(0, np.uint64)
-        else:
-            anchor = _least(_mixed(grams), LEAST - GRAM + 1)[:count]
         inside = doc[:count] == doc[LEAST - 1:LEAST - 1 + count]
         first = np.ones(count, bool)
         first[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:count] != doc[:max(count - 1, 0)])
@@ -181,6 +185,19 @@ def transform(buf: np.ndarray, start: np.ndarray, length: np.ndarray, bucket: np
     return before[order], bucket[which[order]]
 
 
+def transforms(buf: np.ndarray, start: np.ndarray, length: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`transform` of some buckets at a time."""
+    at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    rows = np.concatenate([[0], np.cumsum(length + 1)])
+    out, i = [(np.zeros(0, np.uint8), np.zeros(0, np.int64))], 0
+    while i < len(at) - 1:
+        j = max(i + 1, int(np.searchsorted(rows[at], rows[at[i]] + CHUNK, side="right")) - 1)
+        own = slice(at[i], at[j])
+        out.append(transform(buf, start[own], length[own], bucket[own]))
+        i = j
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
+
+
 class Merged:
     """The merge of the transforms of shards, refined for ``depth`` bytes.
 
@@ -211,16 +228,13 @@ class Merged:
         self.reach = np.zeros(n, np.uint8)
         for h in range(depth):
             c = text[rows]
-            at = np.flatnonzero(c != END)
-            c = c[at]
-            by = np.argsort(c, kind="stable")
-            c, at = c[by], at[by]
-            rows, block = back[rows[at]], block[at]
+            by = np.argsort(c, kind="stable")[:len(c) - np.count_nonzero(c == END)]
+            c, rows, block = c[by], back[rows[by]], block[by]
             new = np.ones(len(rows) + 1, bool)
-            new[1:-1] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
-            several = ~(new[:-1] & new[1:])
-            block = np.cumsum(new[:-1], dtype=np.int32)[several]
-            rows = rows[several]
+            np.not_equal(block[1:], block[:-1], out=new[1:-1])
+            new[1:-1] |= c[1:] != c[:-1]
+            several = np.flatnonzero(~(new[:-1] & new[1:]))
+            rows, block = rows[several], np.cumsum(new[several], dtype=np.int32)
             self.reach[rows] = h + 1
         self.rows = rows
         self.blocks = np.flatnonzero(np.diff(block, prepend=-1))
@@ -236,7 +250,7 @@ class Merged:
         return string, length
 
 
-SENT = "bucket int, pack long, digests binary, firsts binary, sends binary, bytes binary"
+SENT = "bucket int, pack long, digests binary, sizes binary, firsts binary, sends binary, bytes binary"
 
 
 def _asked(docs: DataFrame, parts: int) -> DataFrame:
@@ -277,8 +291,11 @@ def _answers(asked: DataFrame, crowded: int) -> DataFrame:
             at, of = np.flatnonzero(anew), np.cumsum(anew) - 1
             shared = np.minimum.reduceat(p, at) != np.maximum.reduceat(p, at)
             shared |= np.maximum.reduceat(x["rest"][order] & 1, at) > 0
-            many = np.add.reduceat(new.astype(np.int64), at) > crowded
-            said = np.where(shared[of], np.where(many[of], SPLIT, np.where(new, SEND, KNOWN)), ALONE)
+            strings = np.add.reduceat(new.astype(np.int64), at)[of]
+            said = np.where(new, SEND, KNOWN)
+            said[strings == 1] = EQUAL
+            said[strings > crowded] = SPLIT
+            said[~shared[of]] = ALONE
             back = np.empty(len(a), np.uint8)
             back[order] = said
             ends = np.cumsum([len(q) for q in parts])
@@ -305,7 +322,7 @@ class Chosen:
             lo, hi = np.searchsorted(bucket, [r["bucket"], r["bucket"] + 1])
             said[lo:hi] = opened(r["bytes"], np.uint8)
         mine = said[of]
-        whole = np.flatnonzero((mine == SEND) | (mine == KNOWN))
+        whole = np.flatnonzero((mine != ALONE) & (mine != SPLIT))
         crowd = np.flatnonzero(mine == SPLIT)
         n = strings.size[crowd]
         single = np.repeat(strings.start[crowd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -343,11 +360,11 @@ def _sent(shards: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
             if not told:
                 continue
             x = Chosen(row, told, parts)
-            lines, of_line = transform(x.buf, x.begin[x.sends], x.size[x.sends] + LEAST - 1, x.bucket[x.sends])
+            lines, of_line = transforms(x.buf, x.begin[x.sends], x.size[x.sends] + LEAST - 1, x.bucket[x.sends])
             cut = np.flatnonzero(np.diff(x.bucket, prepend=-1))
             own, stop = x.bucket[cut], np.append(cut[1:], len(x.bucket))
             lo, hi = np.searchsorted(of_line, own), np.searchsorted(of_line, own, side="right")
-            pieces = [(int(k), row["pack"], x.digest[i:j].tobytes(), x.first[i:j].tobytes(), x.sends[i:j].tobytes(),
+            pieces = [(int(k), row["pack"], x.digest[i:j].tobytes(), x.size[i:j].astype(np.uint8).tobytes(), x.first[i:j].tobytes(), x.sends[i:j].tobytes(),
                        shut(lines[a:b], 3)) for k, i, j, a, b in zip(own, cut, stop, lo, hi, strict=True)]
             for i in range(0, len(pieces), 256):
                 yield batch(SENT, [list(c) for c in zip(*pieces[i:i + 256], strict=True)])
@@ -364,28 +381,26 @@ def _found_first(sent: DataFrame) -> DataFrame:
             digests = [np.frombuffer(r["digests"], np.uint64) for r in rows]
             firsts = [np.frombuffer(r["firsts"], np.int64) for r in rows]
             sends = [np.frombuffer(r["sends"], bool) for r in rows]
-            merged = Merged([opened(r["bytes"], np.uint8) for r in rows])
-            string, length = merged.places()
             # the least id of each different string, over the shards that have it
             known, of = np.unique(np.concatenate(digests), return_inverse=True)
             least = np.full(len(known), LARGEST)
             np.minimum.at(least, of, np.concatenate(firsts))
+            count = np.zeros(len(known), np.int64)
+            count[of] = np.concatenate([np.frombuffer(r["sizes"], np.uint8) for r in rows])
+            begin = np.cumsum(count) - count
+            found = np.repeat(least, count)
             sender = of[np.concatenate(sends)]  # of the strings in the transforms, in their order
-            found = least[sender[string]]
-            if len(merged.rows):
-                least_in = np.minimum.reduceat(found[merged.rows], merged.blocks)
-                found[merged.rows] = np.repeat(least_in, np.diff(merged.blocks, append=len(merged.rows)))
-            # windows of the strings, string by string
-            window = np.flatnonzero(length >= LEAST)
-            window = window[np.lexsort((-length[window], string[window]))]
-            found, string = found[window], string[window]
-            begin = np.searchsorted(string, np.arange(len(sender)))
-            count = np.diff(begin, append=len(string))
-            source = np.empty(len(known), np.int64)
-            source[sender] = np.arange(len(sender))
+            if len(sender):
+                merged = Merged([opened(r["bytes"], np.uint8) for r in rows])
+                string, length = merged.places()
+                string = sender[string[merged.rows]]
+                in_block = np.minimum.reduceat(least[string], merged.blocks) if len(string) else least[:0]
+                # the window's place in its string: from the end, a suffix of LEAST bytes is the last window
+                window = begin[string] + count[string] - 1 - (length[merged.rows] - LEAST)
+                found[window] = np.repeat(in_block, np.diff(merged.blocks, append=len(string)))
             pieces = []
             ends = np.cumsum([len(d) for d in digests])
-            for r, own in zip(rows, np.split(source[of], ends[:-1]), strict=True):
+            for r, own in zip(rows, np.split(of, ends[:-1]), strict=True):
                 n = count[own]
                 at = np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 pieces.append((r["pack"], r["bucket"], shut(found[at])))
