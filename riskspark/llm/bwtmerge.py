@@ -34,7 +34,7 @@ from .common import id_and_text, stored
 from .packs import batch, buckets, by_key, groups, none, opened, packed, shut
 
 LEAST = 50
-GRAM = 16
+GRAM = 20
 CROWDED = 4096
 #: Positions hashed, and rows sorted, in one go.
 CHUNK = 1 << 15
@@ -116,23 +116,25 @@ class Strings:
                              + self.size.astype(np.uint64))
 
     def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """One string of each digest in the order (bucket, anchor, digest): its index; the index into
+        """One string of each digest, in the order of the buckets: its index; the index into
         these of every string; whether its anchor is in several documents of this shard; bucket."""
-        order = np.lexsort((self.digest, self.anchor, self.bucket))
-        b, a, d = self.bucket[order], self.anchor[order], self.digest[order]
-        doc = self.doc[self.start[order]] if len(order) else order
-        anew = np.ones(len(order), bool)
-        anew[1:] = (b[1:] != b[:-1]) | (a[1:] != a[:-1])
-        new = anew.copy()
-        new[1:] |= d[1:] != d[:-1]
-        of = np.empty(len(order), np.int64)
+        n = len(self.start)
+        doc = self.doc[self.start] if n else self.start
+        key = self.bucket << 24 | self.anchor
+        order = np.argsort(key)
+        at = np.flatnonzero(np.diff(key[order], prepend=-1))
+        several = np.empty(n, bool)
+        if n:
+            lo, hi = np.minimum.reduceat(doc[order], at), np.maximum.reduceat(doc[order], at)
+            several[order] = np.repeat(lo != hi, np.diff(at, append=n))
+        # (digests that agree in the bits that fit may alternate: then a string is told of twice)
+        order = np.argsort(self.bucket << 44 | (self.digest >> np.uint64(20)).astype(np.int64))
+        b, d = self.bucket[order], self.digest[order]
+        new = np.ones(n, bool)
+        new[1:] = (b[1:] != b[:-1]) | (d[1:] != d[:-1])
+        of = np.empty(n, np.int64)
         of[order] = np.cumsum(new) - 1
-        at = np.flatnonzero(anew)
-        several = np.zeros(0, bool)
-        if len(at):
-            several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
-            several = several[np.cumsum(anew) - 1][new]
-        return order[new], of, several, b[new]
+        return order[new], of, several[order[new]], b[new]
 
 
 def _stable(x: np.ndarray) -> np.ndarray:
@@ -373,7 +375,8 @@ def _sent(shards: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
 
 
 def _found_first(sent: DataFrame) -> DataFrame:
-    """(pack, bucket, bytes): the least id that has each window of a shard's strings in a bucket."""
+    """(pack, bucket, bytes): the least id that has each window of a shard's strings in a bucket:
+    that of each string's first window, whether its others differ, and all windows of those that do."""
     schema = "pack long, bucket int, bytes binary"
 
     def run(batches):
@@ -398,12 +401,14 @@ def _found_first(sent: DataFrame) -> DataFrame:
                 # the window's place in its string: from the end, a suffix of LEAST bytes is the last window
                 window = begin[string] + count[string] - 1 - (length[merged.rows] - LEAST)
                 found[window] = np.repeat(in_block, np.diff(merged.blocks, append=len(string)))
+            same = np.minimum.reduceat(found, begin) == np.maximum.reduceat(found, begin)
             pieces = []
             ends = np.cumsum([len(d) for d in digests])
             for r, own in zip(rows, np.split(of, ends[:-1]), strict=True):
-                n = count[own]
-                at = np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                pieces.append((r["pack"], r["bucket"], shut(found[at])))
+                mixed = own[~same[own]]
+                n = count[mixed]
+                at = np.repeat(begin[mixed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                pieces.append((r["pack"], r["bucket"], shut(np.concatenate([found[begin[own]], ~same[own], found[at]]))))
             for i in range(0, len(pieces), 256):
                 yield batch(schema, [list(c) for c in zip(*pieces[i:i + 256], strict=True)])
 
@@ -421,12 +426,20 @@ def _cleared(shards: DataFrame, answers: DataFrame, firsts: DataFrame, parts: in
             if found:
                 x = Chosen(row, [r for r in told if r["kind"] == 0], parts)
                 buf, ends, n = x.buf, x.ends, len(x.buf)
-                first = np.concatenate(found)
-                of, count = (np.cumsum(x.size) - x.size)[x.entry], x.size[x.entry]
-                k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                window = np.repeat(x.start, count) + k
-                hit = window[first[np.repeat(of, count) + k] < x.ids[x.doc[window]]]
-                edge = np.bincount(hit, minlength=n + LEAST) - np.bincount(hit + LEAST, minlength=n + LEAST)[:n + LEAST]
+                k = np.bincount(np.searchsorted([r["bucket"] for r in told if r["kind"] == 1], x.bucket), minlength=len(found))
+                first = np.concatenate([f[:m] for f, m in zip(found, k, strict=True)])
+                mixed = np.concatenate([f[m:2 * m] for f, m in zip(found, k, strict=True)]) > 0
+                single = np.concatenate([f[2 * m:] for f, m in zip(found, k, strict=True)])
+                whole = ~mixed[x.entry] & (first[x.entry] < x.ids[x.doc[x.start]])
+                lo, hi = x.start[whole], x.start[whole] + x.size[x.entry[whole]] + LEAST - 1
+                own = np.flatnonzero(mixed[x.entry])
+                count = np.where(mixed, x.size, 0)
+                of, count = (np.cumsum(count) - count)[x.entry[own]], count[x.entry[own]]
+                j = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                window = np.repeat(x.start[own], count) + j
+                window = window[single[np.repeat(of, count) + j] < x.ids[x.doc[window]]]
+                edge = (np.bincount(np.concatenate([lo, window]), minlength=n + 1)
+                        - np.bincount(np.concatenate([hi, window + LEAST]), minlength=n + 1))
                 gone = np.cumsum(edge[:n]) > 0
             else:
                 buf, ends = opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64)
