@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, bwtmerge, chat, imatch, langid, pfair, probminhash, quality, secrets, toxicity, warc
+from . import bpe, bwtmerge, chat, imatch, langid, pfair, probminhash, quality, secrets, toxicity, variants, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -109,6 +109,11 @@ def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words' number, most frequent form and root."""
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op5_language": op5_language,
@@ -121,6 +126,7 @@ QUERIES = {
     "op10_imatch": op10_imatch,
     "op2_bpe": op2_bpe,
     "op11_suffixes": op11_suffixes,
+    "op13_variants": op13_variants,
 }
 
 OP9_SQL = """
@@ -155,5 +161,33 @@ SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone,
 FROM d LEFT JOIN c USING (doc_id)
 """
 
+OP13_SQL = """
+WITH RECURSIVE t AS (SELECT list(c ORDER BY i) AS crc FROM (
+  SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+r AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+l AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+      FROM r WHERE length(run) >= 6 GROUP BY ALL),
+b AS (SELECT run, n, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS h FROM l),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, [CAST('0x' || h[2 * i - 1 : 2 * i] AS BIGINT)
+        for i in range(1, length(h) // 2 + 1)]),
+        lambda c, x: xor(c >> 8, crc[CAST(xor(c, x) & 255 AS INT) + 1]))) AS h FROM b, t),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM h) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+d AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS cut
+      FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w)),
+p AS (SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM d x JOIN d y ON x.cut = y.cut AND x.i = y.i AND x.word <> y.word
+      UNION SELECT d.word, d.n, w.word, w.n FROM d JOIN w ON d.cut = w.word
+      UNION SELECT w.word, w.n, d.word, d.n FROM d JOIN w ON d.cut = w.word),
+f AS (SELECT word, n, count(*) AS n_near, arg_min(near, (-near_n, near)) AS form, max(near_n) AS form_n FROM p GROUP BY word, n),
+g AS (SELECT w.word, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form,
+        CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM w LEFT JOIN f ON w.word = f.word),
+c AS (SELECT word, word AS root, 0 AS k FROM g
+      UNION ALL SELECT c.word, g.form, k + 1 FROM c JOIN g ON c.root = g.word WHERE g.form IS NOT NULL)
+SELECT g.word, form, root, n, n_near, form_n
+FROM g JOIN (SELECT word, arg_max(root, k) AS root FROM c GROUP BY word) USING (word)
+"""
+
 #: Learned models, iterations and tokenizers are outside SQL: their tests compare with brute force.
-ORACLES: dict[str, str] = {"op9_warc": OP9_SQL, "op11_suffixes": OP11_SQL}
+ORACLES: dict[str, str] = {"op9_warc": OP9_SQL, "op11_suffixes": OP11_SQL, "op13_variants": OP13_SQL}
