@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, bwtmerge, chat, imatch, langid, pfair, probminhash, quality, secrets, toxicity, variants, warc
+from . import alignment, bpe, bwtmerge, chat, imatch, langid, pfair, probminhash, quality, secrets, toxicity, variants, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +110,12 @@ def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers linked by the bytes they share, for every document."""
+    return alignment.align(table(spark, sf_dir, "documents"), VOCABULARY, PIECES).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with its near words' number, most frequent form and root."""
     return variants.variants(table(spark, sf_dir, "documents"))
@@ -126,6 +133,7 @@ QUERIES = {
     "op10_imatch": op10_imatch,
     "op2_bpe": op2_bpe,
     "op11_suffixes": op11_suffixes,
+    "op12_alignment": op12_alignment,
     "op13_variants": op13_variants,
 }
 
