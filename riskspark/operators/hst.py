@@ -1,11 +1,16 @@
-"""Half-Space Trees (Tan, Ting, Liu 2011) as keyed Spark state.
+"""Half-Space Trees (Tan, Ting, Liu 2011) as a relation over windows.
 
-Trees are independent, so the model is partitioned by (keys, tree_id): each
-group replays its series in bucket order (score first, then learn) and
-emits the tree's mass contribution per bucket; a group-by over (keys, bucket)
-sums the trees.  The batch form is ``applyInPandas`` over the series; the
-streaming form keeps the same per-tree masses in ``applyInPandasWithState``
-(RocksDB state store), so a restart continues from the checkpoint.
+A tree never changes: its splits are a function of the seed.  What it learns is
+how many rows of the last complete window of ``window`` learned rows fell into
+each node, so that no replay is needed: a row's leaf in every tree is an
+expression, rows are numbered per key in the order of time, the leaves of a
+window are one row (at most ``window`` arrays), and a row meets those of the
+window before its own.  Windows are independent of each other and of their order.
+
+Between cycles the state of a key is its last rows: those of the last complete
+window and of the one begun after it.  They go before the new rows, and the
+ranks go on from there (:func:`learn_and_score`).  The streaming form keeps
+masses per tree in ``applyInPandasWithState``; :func:`replay` is its step.
 
 Features are min-max scaled by the baseline and clipped to [0, 1] (the
 algorithm's work space); a row with no usable feature scores 0 and is not
@@ -14,28 +19,32 @@ first window completes.
 """
 from __future__ import annotations
 
+import json
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .chance import fraction
+from .ranks import ranked
+from .util import same_keys
 
 PADDING = 0.15
 
 
 def build_tree(tree_id: int, n_features: int, height: int, seed: int):
     """Complete binary tree in array form: split feature and threshold per inner node."""
-    rng = np.random.default_rng([seed, tree_id])
     n_nodes = 2 ** (height + 1) - 1
     feat = np.full(n_nodes, -1)
     thr = np.zeros(n_nodes)
     lo = np.zeros((n_nodes, n_features))
     hi = np.ones((n_nodes, n_features))
-    for node in range(2 ** height - 1):
-        f = int(rng.integers(n_features))
+    for node in range(2 ** height - 1 if n_features else 0):
+        f = int(fraction(seed, tree_id, node, "feature") * n_features)
         a, b = lo[node, f], hi[node, f]
-        t = float(rng.uniform(a + PADDING * (b - a), b - PADDING * (b - a)))
+        low, high = a + PADDING * (b - a), b - PADDING * (b - a)
+        t = low + fraction(seed, tree_id, node, "split") * (high - low)
         feat[node], thr[node] = f, t
         for child, (na, nb) in ((2 * node + 1, (a, t)), (2 * node + 2, (t, b))):
             lo[child], hi[child] = lo[node], hi[node]
@@ -125,35 +134,114 @@ def baseline_minmax(features: DataFrame, keys: list[str] | None = None,
     return features.groupBy(*keys).agg(*aggs)
 
 
-TREE_OUT = "tree_id int, bucket timestamp_ntz, mass double, scored boolean, warm boolean"
+def leaves(n_trees: int, n_features: int, height: int, seed: int) -> Column:
+    """The leaf of the row (x, present) in every tree, numbered as in a heap.
 
+    The trees are a constant of the plan: n_trees x 2^height splits.  A missing
+    feature goes left.
+    """
+    trees = [build_tree(k, n_features, height, seed)[:2] for k in range(n_trees)]
+    text = json.dumps([{"f": f[:2 ** height - 1].tolist(), "t": t[:2 ** height - 1].tolist()} for f, t in trees])
+    forest = F.from_json(F.lit(text), "array<struct<f: array<int>, t: array<double>>>")
 
-def score_batch(inputs: DataFrame, keys: list[str] | None = None, n_trees: int = C.HST_TREES,
-                height: int = C.HST_HEIGHT, window: int = C.HST_WINDOW, seed: int = 42,
-                threshold: float = C.HST_THRESHOLD) -> DataFrame:
-    """M10 + M11 batch: replay the whole series per (keys, tree) from empty state.
+    def down(tree):
+        def step(node, _):
+            f = F.get(tree["f"], node)
+            right = F.get("present", f) & (F.get("x", f) >= F.get(tree["t"], node))
+            return 2 * node + F.when(right, 2).otherwise(1)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(height)), F.lit(0), step)
+
+    return F.transform(forest, down)
+
+
+def _mass(window_leaves: Column, height: int, limit: float) -> Column:
+    """Summed over the trees: rows of the window before in each node of the row's path, times
+    2^depth, down to the first node that has less than ``limit`` of them."""
+    def tree(leaf, k):
+        def held(depth):
+            up = F.lit(height) - depth
+            return F.size(F.filter(window_leaves, lambda other: _above(F.get(other, k), up) == _above(leaf, up)))
+
+        def add(a, n):
+            return F.struct((a["mass"] + F.when(a["open"], n * a["weight"]).otherwise(0.0)).alias("mass"),
+                            (a["open"] & (n >= limit)).alias("open"), (a["weight"] * 2).alias("weight"))
+
+        counts = F.transform(F.sequence(F.lit(0), F.lit(height)), held)
+        zero = F.struct(F.lit(0.0).alias("mass"), F.lit(True).alias("open"), F.lit(1.0).alias("weight"))
+        return F.aggregate(counts, zero, add, lambda a: a["mass"])
+
+    return F.aggregate(F.transform("leaves", tree), F.lit(0.0), lambda a, m: a + m)
 
-    A group is one tree's view of one key's series: #buckets rows of 12
-    numbers, bounded by the time span, independent of log volume.
+
+def _above(leaf: Column, levels: Column) -> Column:
+    """The node so many levels above a node, both numbered from 1."""
+    return F.call_function("shiftright", leaf + 1, levels)
+
+
+def state_schema(rows: DataFrame, keys: list[str]) -> str:
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields if f.name in keys)
+    return kinds + "rank bigint, bucket timestamp_ntz, leaves array<int>"
+
+
+def learn_and_score(inputs: DataFrame, state: DataFrame | None = None, keys: list[str] | None = None,
+                    n_trees: int = C.HST_TREES, height: int = C.HST_HEIGHT, window: int = C.HST_WINDOW,
+                    seed: int = 42, threshold: float = C.HST_THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """M10 + M11: (keys, bucket, hst_score, warm, hst_flag) of every new bucket, and the state after it.
+
+    Every bucket is scored by what was learned before it, then learned.  ``state``
+    (keys, rank, bucket, leaves) is what a call before has returned; without it the
+    detector is cold.  Buckets that are not after the last learned one of their key
+    were learned before: they have no row.  Null keys are a key.
     """
     keys = list(keys or [])
-    trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id")
-    per_tree = inputs.select(*keys, "bucket", "x", "present", trees)
-    key_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, "
-                         for f in inputs.schema.fields if f.name in keys)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("bucket")
-        tid = int(pdf["tree_id"].iloc[0])
-        X = np.array(pdf["x"].tolist(), dtype=float)
-        P = np.array(pdf["present"].tolist(), dtype=bool)
-        masses, scored, warm, _ = replay(tid, X, P, None, height, window, seed)
-        out = pdf[[*keys, "tree_id", "bucket"]].copy()
-        out["mass"], out["scored"], out["warm"] = masses, scored, warm
-        return out[[*keys, "tree_id", "bucket", "mass", "scored", "warm"]]
-
-    masses = per_tree.groupBy(*keys, "tree_id").applyInPandas(run, key_schema + TREE_OUT)
-    return combine_trees(masses, keys, n_trees, height, window, threshold)
+    if state is None:
+        state = inputs.sparkSession.createDataFrame([], state_schema(inputs, keys))
+    width = len(C.STREAMING_FEATURES)
+    last = state.groupBy(*keys).agg(F.max("rank").alias("__rank"), F.max("bucket").alias("__last"))
+    if keys:
+        rows = same_keys(inputs, last, keys, "left")
+    else:
+        one = last.select(F.struct("__rank", "__last").alias("s")).scalar()
+        rows = inputs.withColumn("__s", one).select(*inputs.columns, "__s.*")
+    rows = rows.where(F.col("__last").isNull() | (F.col("bucket") > F.col("__last")))
+    usable = F.exists("present", lambda p: p)
+    # Learned rows take the next numbers; a row without a feature has the number of the one before it.
+    rows = ranked(rows.where(usable), keys).withColumn("usable", F.lit(True)).unionByName(
+        rows.where(~usable).withColumn("rank", F.lit(None).cast("long")).withColumn("usable", F.lit(False)))
+    rows = rows.withColumn("rank", F.col("rank") + F.coalesce("__rank", F.lit(0))).withColumn(
+        "leaves", leaves(n_trees, width, height, seed))
+    learned = state.select(*keys, "rank", "bucket", "leaves").unionByName(
+        rows.where("usable").select(*keys, "rank", "bucket", "leaves"))
+    windows = learned.groupBy(*keys, F.expr(f"(rank - 1) div {window} + 1").alias("__window")).agg(
+        F.collect_list("leaves").alias("__seen"))
+    scored = same_keys(rows.where("usable").withColumn("__window", F.expr(f"(rank - 1) div {window}")),
+                       windows, [*keys, "__window"], "left")
+    mass = _mass(F.col("__seen"), height, 0.1 * window)
+    score = F.when(F.col("rank") > window, 1.0 - mass / max_mass(n_trees, height, window)).otherwise(F.lit(0.0))
+    warm = F.col("rank") >= window
+    scored = scored.select(*keys, "bucket", score.alias("hst_score"), warm.alias("warm"))
+    # Rows without any feature: warm if enough was learned before them.
+    full = learned.where(F.col("rank") == window).select(*keys, F.col("bucket").alias("__full"))
+    idle = rows.where(~F.col("usable")).select(*keys, "bucket", "__rank")
+    if keys:
+        idle = same_keys(idle, full, keys, "left")
+    else:
+        idle = idle.withColumn("__full", full.select("__full").scalar())
+    idle = idle.select(*keys, "bucket", F.lit(0.0).alias("hst_score"), F.coalesce(
+        (F.col("__rank") >= window) | (F.col("bucket") > F.col("__full")), F.lit(False)).alias("warm"))
+    out = scored.unionByName(idle).withColumn("hst_flag", F.col("hst_score") >= F.lit(threshold))
+    # What the next rows need: the last complete window and what came after it.
+    most = learned.groupBy(*keys).agg(F.max("rank").alias("__most"))
+    kept = same_keys(learned, most, keys) if keys else learned.withColumn("__most", most.select("__most").scalar())
+    kept = kept.where(F.col("rank") > F.expr(f"(__most div {window} - 1) * {window}")).drop("__most")
+    return out, kept
+
+
+def score_batch(inputs: DataFrame, keys: list[str] | None = None, n_trees: int = C.HST_TREES,
+                height: int = C.HST_HEIGHT, window: int = C.HST_WINDOW, seed: int = 42,
+                threshold: float = C.HST_THRESHOLD) -> DataFrame:
+    """:func:`learn_and_score` of a whole series from the cold detector."""
+    return learn_and_score(inputs, None, keys, n_trees, height, window, seed, threshold)[0]
 
 
 def combine_trees(masses: DataFrame, keys: list[str], n_trees: int = C.HST_TREES,

@@ -1,15 +1,17 @@
 """Isolation Forest (Liu, Ting, Zhou 2008) fit and scored on Spark (M3, M4, M5).
 
-Fit: every tree draws its own sub-sample of at most psi=256 training rows by
-a deterministic hash order (a Bernoulli pre-filter keeps about 4*psi/n rows
-per tree before ranking, so the rows x trees expansion stays small), then
-``groupBy(tree_id).applyInPandas`` grows one tree per group (each group holds
-<= psi rows).  The forest is a small table: trees x (2*psi - 1) nodes at most,
-a bound fixed by the parameters, not by the data.
+Fit: every tree draws its sub-sample of at most psi=256 training rows by the
+order of a digest of (seed, tree, row).  Only ids and digests are ranked (the
+limit on the rank lets Spark keep psi rows a task before the shuffle), the vectors
+are joined to the drawn ids once, and ``groupBy(keys, tree_id).applyInPandas`` grows
+one tree per group (each holds <= psi rows).  Splits are fractions of digests of
+(seed, tree, node), so that any engine grows the same trees.  The forest is a small
+table: trees x (2*psi - 1) nodes at most, a bound fixed by the parameters.
 
 Score: an unkeyed forest is shipped to the tasks once and every Arrow batch of
-feature vectors is traversed with NumPy in ``mapInPandas``; keyed forests
-are co-grouped with their key's vectors;
+feature vectors is traversed with NumPy in ``mapInPandas``; a keyed forest is
+co-grouped with its key's vectors, which are dealt over as many groups as they
+fill, so that a hot key is not one task;
 score = -2^(-E[h(x)] / c(psi)) (lower = more anomalous).
 Predict: flag scores strictly below the ``contamination`` quantile of the
 training scores.
@@ -24,6 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .chance import fraction, shuffled
+from .util import same_keys
+
+#: Vectors of a key that are scored in one group.
+GROUP_ROWS = 20_000
 
 FOREST_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, left int, "
                  "right int, size int, depth int, psi int")
@@ -40,11 +47,10 @@ def c_factor(n: float) -> float:
 
 
 def _grow(tree_id: int, X: np.ndarray, psi: int, seed: int) -> list[tuple]:
-    rng = np.random.default_rng([seed, tree_id])
     limit = int(math.ceil(math.log2(max(psi, 2))))
     nodes: list[list] = []
 
-    def build(idx: np.ndarray, depth: int) -> int:
+    def build(idx: np.ndarray, depth: int, place: int) -> int:
         nid = len(nodes)
         nodes.append([tree_id, nid, -1, 0.0, -1, -1, int(len(idx)), depth, psi])
         if depth >= limit or len(idx) <= 1:
@@ -54,16 +60,16 @@ def _grow(tree_id: int, X: np.ndarray, psi: int, seed: int) -> list[tuple]:
         cand = np.flatnonzero(hi > lo)
         if len(cand) == 0:
             return nid
-        f = int(cand[rng.integers(len(cand))])
-        t = float(rng.uniform(lo[f], hi[f]))
+        f = int(cand[int(fraction(seed, tree_id, place, "feature") * len(cand))])
+        t = float(lo[f] + fraction(seed, tree_id, place, "split") * (hi[f] - lo[f]))
         go_left = sub[:, f] < t
         nodes[nid][2], nodes[nid][3] = f, t
-        left = build(idx[go_left], depth + 1)
-        right = build(idx[~go_left], depth + 1)
+        left = build(idx[go_left], depth + 1, 2 * place)
+        right = build(idx[~go_left], depth + 1, 2 * place + 1)
         nodes[nid][4], nodes[nid][5] = left, right
         return nid
 
-    build(np.arange(len(X)), 0)
+    build(np.arange(len(X)), 0, 1)
     return [tuple(n) for n in nodes]
 
 
@@ -77,19 +83,14 @@ def fit(vectors: DataFrame, n_trees: int = C.IFOREST_TREES, sample: int = C.IFOR
     """
     keys = list(keys or [])
     from pyspark.sql import Window
-    sizes = vectors.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    from .classify import join_per_key
-    v = join_per_key(vectors.select(*keys, id_col, "x"), sizes, keys)
-    psi = F.least(F.col("__n"), F.lit(sample))
-    keep = F.least(F.lit(1.0), F.lit(4.0) * psi / F.col("__n") + F.lit(0.01))
     trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id")
-    h = F.xxhash64(*[F.col(k).cast("string") for k in keys], F.col(id_col).cast("string"),
-                   F.col("tree_id"), F.lit(seed))
-    u = (F.abs(h % F.lit(1_000_003)).cast("double") / F.lit(1_000_003.0))
-    draws = (v.select(*keys, id_col, "x", psi.alias("psi"), keep.alias("keep"), trees)
-             .withColumn("u", u).where(F.col("u") < F.col("keep")))
+    order = shuffled(F.lit(seed), F.col("tree_id"), F.col(id_col))
     w = Window.partitionBy(*keys, "tree_id").orderBy("u", id_col)
-    sampled = draws.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("psi"))
+    drawn = (vectors.select(*keys, id_col, trees).withColumn("u", order)
+             .withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample))
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, "tree_id"))
+    sampled = same_keys(drawn.withColumn("psi", size.cast("int")).drop("u"),
+                        vectors.select(*keys, id_col, "x"), [*keys, id_col])
     key_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, "
                          for f in vectors.schema.fields if f.name in keys)
 
@@ -128,9 +129,8 @@ def _path_lengths(X: np.ndarray, tree) -> np.ndarray:
         go_left = X[idx, f] < thr[node[idx]]
         node[idx] = np.where(go_left, left[node[idx]], right[node[idx]])
         active = feat[node] >= 0
-    leaf_size = size[node]
-    adj = np.array([c_factor(s) for s in leaf_size])
-    return depth[node] + adj
+    sizes, at = np.unique(size[node], return_inverse=True)
+    return depth[node] + np.array([c_factor(n) for n in sizes])[at]
 
 
 def _score_arrays(X: np.ndarray, trees, psi: int) -> np.ndarray:
@@ -150,7 +150,7 @@ def score(vectors: DataFrame, forest: DataFrame, id_cols: list[str] | None = Non
     nodes) is broadcast and Arrow batches are scored in ``mapInPandas``.
     Keyed: the model grows with the number of keys, so it is not broadcast;
     each key's vectors are co-grouped with that key's forest instead
-    (``cogroup.applyInPandas``), one bounded group per key.
+    (``cogroup.applyInPandas``), in groups of about GROUP_ROWS vectors.
     """
     keys = list(keys or [])
     id_cols = [*keys, *[c for c in (id_cols or ["bucket"]) if c not in keys]]
@@ -165,8 +165,12 @@ def score(vectors: DataFrame, forest: DataFrame, id_cols: list[str] | None = Non
             out = vp[id_cols].copy()
             out["anomaly_score"] = _score_arrays(np.array(vp["x"].tolist(), dtype=float), trees, psi)
             return out
-        return (vectors.select(*id_cols, "x").groupBy(*keys)
-                .cogroup(forest.groupBy(*keys)).applyInPandas(per_key, out_schema))
+        per = vectors.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("__parts"))
+        salt = F.pmod(F.xxhash64(*id_cols), F.col("__parts")).cast("int")
+        dealt = same_keys(vectors.select(*id_cols, "x"), per, keys).withColumn("__part", salt).drop("__parts")
+        again = same_keys(forest, per, keys).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+        return (dealt.groupBy(*keys, "__part").cogroup(again.drop("__parts").groupBy(*keys, "__part"))
+                .applyInPandas(per_key, out_schema))
 
     forest_pdf = forest.toPandas()
     model = vectors.sparkSession.sparkContext.broadcast(forest_pdf)

@@ -26,3 +26,13 @@ def materialize(df: DataFrame) -> DataFrame:
     from ..session import shared_dir
     shared_dir(df.sparkSession, "checkpoints")
     return df.checkpoint(eager=True)
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where a null equals a null; the keys of ``left`` stay."""
+    other = right.select([F.col(f"`{c}`").alias(f"__right_{c}" if c in keys else c) for c in right.columns])
+    on = [left[c].eqNullSafe(other[f"__right_{c}"]) for c in keys]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return left.join(other, cond, how).drop(*[f"__right_{c}" for c in keys])

@@ -9,6 +9,7 @@ from ..operators import baseline as BL
 from ..operators import hst as HS
 from ..operators import iforest as IF
 from ..operators.combine import combine_flags
+from . import detector_oracles as DO
 from . import oracle as O
 from .common import QUERY_BUCKET, present
 from .detect import z_chain
@@ -38,13 +39,15 @@ def forest_scores(spark, sf_dir):
     return IF.score(vec, forest)
 
 
-@register("q_iforest_scores")
+@register("q_iforest_scores", DO.with_detectors(B, DO.forest_ctes()) + O.select_rounded(
+    ["bucket", "anomaly_score"], {"anomaly_score"}, "ifs"))
 def q_iforest_scores(spark, sf_dir):
-    """M3, M4: isolation-forest score of every bucket (rows check; properties in tests)."""
+    """M3, M4: isolation-forest score of every bucket."""
     return present(forest_scores(spark, sf_dir))
 
 
-@register("q_iforest_flags")
+@register("q_iforest_flags", DO.with_detectors(B, DO.forest_ctes()) + O.select_rounded(
+    ["bucket", "anomaly_score", "prediction"], {"anomaly_score"}, "ifp", "WHERE prediction = -1"))
 def q_iforest_flags(spark, sf_dir):
     """M5: buckets scored below the 5 % quantile of the training scores."""
     sc = forest_scores(spark, sf_dir)
@@ -53,7 +56,8 @@ def q_iforest_flags(spark, sf_dir):
                                                                  "prediction"))
 
 
-@register("q_hst_scores")
+@register("q_hst_scores", DO.with_detectors(B, DO.hst_ctes()) + O.select_rounded(
+    ["bucket", "hst_score", "warm", "hst_flag"], {"hst_score"}, "hst"))
 def q_hst_scores(spark, sf_dir):
     """Half-space-tree score per bucket, warm-up flag and HST flag."""
     ch = z_chain(spark, sf_dir, B, threshold=THRESHOLD)
