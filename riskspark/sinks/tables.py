@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from ..operators.merge import dedup_keep_last, upsert
+from .published import current, point, pointed, publish
 
 PART = "dt"
 
@@ -101,38 +102,50 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def save_model(spark: SparkSession, base: str, version: str, forest: DataFrame,
-               baseline: DataFrame, meta: dict) -> None:
-    """Model tables written under ``version=...`` partitions."""
-    for name, df in (("forest", forest), ("baseline", baseline)):
-        df.withColumn("version", F.lit(version)).write.mode("append").partitionBy(
-            "version").parquet(f"{base}/{name}")
-    rows = [(version, str(k), str(v)) for k, v in meta.items()]
-    spark.createDataFrame(rows, "version string, key string, value string").write.mode(
-        "append").partitionBy("version").parquet(f"{base}/meta")
+               baseline: DataFrame, meta: dict, **more: DataFrame) -> None:
+    """Model tables (``more``: others, by name) under ``version=...`` partitions.
+
+    Readers follow a pointer that is swapped when all tables are there.  A write
+    that ended midway is overwritten by the next one of that version; a version
+    that readers follow is complete and not written again.
+    """
+    if pointed(spark, base) == version:
+        return
+    rows = [(str(k), str(v)) for k, v in meta.items()]
+    meta_table = spark.createDataFrame(rows, "key string, value string")
+    for name, df in {"forest": forest, "baseline": baseline, **more, "meta": meta_table}.items():
+        (df.withColumn("version", F.lit(version)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{base}/{name}"))
+    point(spark, base, version)
+
+
+def model_table(spark: SparkSession, base: str, name: str, version: str) -> DataFrame:
+    """A table of one version (as text, whatever its name looks like)."""
+    return spark.read.parquet(f"{base}/{name}/version={version}")
 
 
 def load_latest_model(spark: SparkSession, base: str):
-    """M13 + T5: forest and baseline of the newest version (None when absent)."""
-    if not _exists(spark, f"{base}/meta"):
+    """M13 + T5: forest and baseline of the version that was published last (None when absent)."""
+    version = pointed(spark, base)
+    if version is None:
         return None
-    latest = spark.read.parquet(f"{base}/meta").agg(F.max("version")).first()[0]
-    f = spark.read.parquet(f"{base}/forest").where(F.col("version") == latest)
-    b = spark.read.parquet(f"{base}/baseline").where(F.col("version") == latest)
-    return latest, f.drop("version"), b.drop("version")
+    return version, model_table(spark, base, "forest", version), model_table(spark, base, "baseline", version)
+
 
+PROGRESS = "cycle int, last_scored_until string, saved_at timestamp"
 
-def save_progress(spark: SparkSession, path: str, cycle: int, last_scored_until) -> None:
-    """One-row progress table (cycle, last scored instant, saved_at)."""
-    spark.createDataFrame([(cycle, str(last_scored_until))],
-                          "cycle int, last_scored_until string").withColumn(
-        "saved_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
+
+def save_progress(spark: SparkSession, path: str, cycle: int, last_scored_until, **more: DataFrame) -> None:
+    """The progress (cycle, last scored instant, saved_at) and the tables that belong to it
+    (``more``: the online detector's state), published as one."""
+    row = spark.createDataFrame([(cycle, str(last_scored_until))], "cycle int, last_scored_until string")
+    publish(spark, path, {"progress": row.withColumn("saved_at", F.current_timestamp()), **more})
 
 
 def load_progress(spark: SparkSession, path: str) -> tuple[int, str | None]:
     """The last cycle and scored instant; (0, None) before the first cycle."""
-    if not _exists(spark, path):
-        return 0, None
-    r = spark.read.schema("cycle int, last_scored_until string").parquet(path).first()
+    got = current(spark, path, "progress", PROGRESS)
+    r = got.first() if got is not None else None
     return (r["cycle"], r["last_scored_until"]) if r else (0, None)
 
 
@@ -142,7 +155,7 @@ def drop_versions(spark: SparkSession, base: str, versions: list[str]) -> None:
         return
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name in ("forest", "baseline", "meta"):
+    for name in ("forest", "baseline", "offset", "limits", "meta"):
         for v in versions:
             p = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}/version={v}")
             p.getFileSystem(conf).delete(p, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .. import schemas
 
@@ -17,39 +17,75 @@ from .. import schemas
 POSITION = ("__page", "__place")
 
 
+#: Text of a page document that is not what the schema says.
+CORRUPT = "_corrupt_record"
+
+
 def page_schema() -> StructType:
     return StructType([StructField("data", ArrayType(schemas.RAW_RECORD))])
 
 
-def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool = False
+def _documents(reader, mode: str):
+    """Page documents; those that cannot be read keep their text in ``CORRUPT``."""
+    schema = StructType([*page_schema().fields, StructField(CORRUPT, StringType())])
+    return reader.schema(schema).option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def _first(pages: DataFrame, max_pages: int) -> DataFrame:
+    return pages.where(F.col("page") <= F.lit(max_pages)) if max_pages and max_pages > 0 else pages
+
+
+def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool = True
                ) -> DataFrame:
     """S1 + S2 + S3: records of every page (or the first ``max_pages``; 0 = all).
 
-    ``strict`` fails on a malformed page (FAILFAST); otherwise a bad page
-    yields no rows (DROPMALFORMED), like the fault-tolerant export reader.
+    A malformed page ends the job (``strict``, as the main path does), or has no
+    rows here; :func:`bad_pages` has it then.
     """
-    mode = "FAILFAST" if strict else "DROPMALFORMED"
-    pages = spark.read.schema(page_schema()).option("mode", mode).json(path)
-    if max_pages and max_pages > 0:
-        pages = pages.where(F.col("page") <= F.lit(max_pages))
+    pages = _first(_documents(spark.read, "FAILFAST" if strict else "PERMISSIVE").json(path), max_pages)
+    if not strict:
+        pages = pages.where(F.col(CORRUPT).isNull())
     return pages.select("page", F.explode("data").alias("r")).select("page", "r.*")
 
 
-def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 archive_dir: str | None = None) -> DataFrame:
-    """The same landing directory as a file stream (new pages = new files), with ``POSITION``.
+def bad_pages(spark: SparkSession, path: str, max_pages: int = 0) -> DataFrame:
+    """S3: (page, file, n_bytes, document) of every malformed page document."""
+    pages = _first(_documents(spark.read, "PERMISSIVE").json(path), max_pages)
+    return quarantined(pages.withColumn("file", F.col("_metadata.file_name")), "page", "file")
+
+
+def quarantined(pages: DataFrame, *columns: str) -> DataFrame:
+    # (data is read too: Spark refuses a query of the corrupt column alone)
+    return (pages.select(*columns, "data", CORRUPT).where(F.col(CORRUPT).isNotNull() & (F.coalesce(F.size("data"), F.lit(0)) >= -1))
+            .select(*columns, F.octet_length(CORRUPT).cast("long").alias("n_bytes"), F.col(CORRUPT).alias("document")))
+
+
+def stream_documents(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                     archive_dir: str | None = None) -> DataFrame:
+    """The same landing directory as a file stream (new pages = new files): page number and document.
 
     K12: with ``archive_dir`` processed page files are moved out of the
     landing folder once committed (``cleanSource=archive``).
     """
-    rs = spark.readStream.schema(page_schema()).option("mode", "DROPMALFORMED")
+    rs = _documents(spark.readStream, "PERMISSIVE")
     if max_files_per_trigger:
         rs = rs.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         rs = rs.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     page = F.regexp_extract("_metadata.file_path", r"page=(\d+)", 1).try_cast("long")
-    return (rs.json(path).select(page.alias(POSITION[0]), F.posexplode("data").alias(POSITION[1], "r"))
-            .select(*POSITION, "r.*"))
+    return rs.json(path).select(page.alias(POSITION[0]), F.col("_metadata.file_name").alias("file"), "data", CORRUPT)
+
+
+def records_of(documents: DataFrame) -> DataFrame:
+    """The records of readable page documents, with ``POSITION``."""
+    return (documents.where(F.col(CORRUPT).isNull())
+            .select(POSITION[0], F.posexplode("data").alias(POSITION[1], "r")).select(*POSITION, "r.*"))
+
+
+def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                 archive_dir: str | None = None) -> DataFrame:
+    """:func:`stream_documents` as records; malformed pages have none."""
+    return records_of(stream_documents(spark, path, max_files_per_trigger, archive_dir))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

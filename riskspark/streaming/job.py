@@ -1,9 +1,10 @@
 """Structured Streaming job.
 
 landed pages (file stream) -> flatten -> foreachBatch {
-    split + flag, latest-wins upsert into the keyed SYSTEM/LLM tables (K1),
-    recompute features of the touched buckets from the tables (late rows
-    included), score them against the stored baseline, queue alerts } ;
+    malformed pages to a side table, split + flag, latest-wins upsert into the
+    keyed SYSTEM/LLM tables (K1), recompute features of the touched buckets from
+    the tables (late rows included), judge them by the published model and the
+    online detector (plans.cycle.judge), upsert records, outbox and alert log } ;
 the checkpoint makes the file offsets and every batch replayable, and the
 keyed upserts make a replayed batch change nothing (X5).
 
@@ -16,6 +17,8 @@ Half-space-tree state per (keys, tree) lives in ``applyInPandasWithState``
 from __future__ import annotations
 
 import json
+import socket
+import time
 
 import numpy as np
 import pandas as pd
@@ -29,8 +32,10 @@ from ..operators.features import build_features
 from ..operators.prepare import flag_security, flatten, split_by_type
 from .. import schemas
 from ..schemas import align_to
+from ..plans.cycle import judge, load_model, publish_alerts
+from ..sinks.published import history, publish
 from ..sinks.tables import merge_into, read_table, write_batch
-from ..sources.pages import POSITION, stream_pages
+from ..sources.pages import POSITION, quarantined, records_of, stream_documents
 
 
 def stream_volume_features(records: DataFrame, bucket: str = C.BUCKET,
@@ -53,32 +58,24 @@ def stream_volume_features(records: DataFrame, bucket: str = C.BUCKET,
                     "*").drop("w"))
 
 
-def score_touched(spark: SparkSession, feats: DataFrame, models: str) -> DataFrame | None:
-    """Score freshly recomputed buckets against the stored model (forest + baseline).
+def pulse(spark: SparkSession, batch_id: int, status: str, last_window, table: str, started: float) -> None:
+    """K9: the heartbeat of the pipeline, one row (S10, A24 read it)."""
+    row = [(C.PIPELINE_ID, socket.gethostname(), int(batch_id), status, None if last_window is None else str(last_window),
+            (time.time() - started) / 60)]
+    beat = (spark.createDataFrame(row, "pipeline_id string, pipeline_host string, cycle int, status string, "
+                                  "last_window_start string, uptime_min double")
+            .withColumn("sent_at", F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                                      F.current_timestamp().cast("timestamp_ntz"))))
+    merge_into(spark, table, align_to(beat, schemas.HEARTBEAT), key="pipeline_id", ts_col="sent_at")
 
-    The model tables are bounded by their parameters; the offset (M5) was
-    stored with the model when it was trained.
-    """
-    from ..operators import baseline as BL
-    from ..operators import iforest as IF
-    from ..sinks.tables import load_latest_model
-    latest = load_latest_model(spark, models)
-    if latest is None:
-        return None
-    version, forest, base = latest
-    meta = (spark.read.parquet(f"{models}/meta").where(F.col("version") == version)
-            .where(F.col("key") == "offset").select(F.col("value").cast("double").alias("offset")))
-    sc = IF.score(BL.feature_vector(feats, base), forest)
-    return IF.predict(sc, meta).withColumn("model_version", F.lit(version))
-
-
-def pulse(spark: SparkSession, batch_id: int, status: str, last_window, path: str) -> None:
-    """K9: one heartbeat row per micro-batch (latest-per-key is read with A24)."""
-    row = [(C.PIPELINE_ID, int(batch_id), status, None if last_window is None else str(last_window))]
-    (spark.createDataFrame(row, "pipeline_id string, cycle int, status string, last_window_start string")
-     .withColumn("sent_at", F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                                               F.current_timestamp().cast("timestamp_ntz")))
-     .write.mode("append").parquet(path))
+
+def state_before(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
+    """The online detector's state that earlier batches left: a retried batch starts where it started."""
+    for version in history(spark, base):
+        state = spark.read.parquet(f"{base}/{version}/hst_state")
+        if spark.read.parquet(f"{base}/{version}/batch").first()["batch_id"] < batch_id:
+            return state
+    return None
 
 
 def quality(batch: DataFrame, batch_id: int) -> DataFrame:
@@ -96,16 +93,26 @@ def quality(batch: DataFrame, batch_id: int) -> DataFrame:
 
 def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                bucket: str = C.BUCKET, available_now: bool = True,
-               interval: str = "30 minutes", models: str | None = None):
-    """Start the ingest + feature stream; returns the StreamingQuery."""
-    records = stream_pages(spark, landing)
-    flat = flatten(records, "@timestamp", keep=POSITION)
+               interval: str = "30 minutes", models: str | None = None, keys: list[str] | None = None,
+               archive_dir: str | None = None, max_files_per_trigger: int | None = None):
+    """Start the ingest, feature and detection stream; returns the StreamingQuery.
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+    With ``models`` the touched buckets are judged as a cycle judges its fresh ones,
+    with the model that is published when the batch runs.  ``archive_dir``: where
+    page files go once their batch is committed.
+    """
+    keys, started = list(keys or []), time.time()
+    documents = stream_documents(spark, landing, max_files_per_trigger, archive_dir)
+
+    def per_batch(pages: DataFrame, batch_id: int) -> None:
+        pages = pages.persist()
+        batch = flatten(records_of(pages), "@timestamp", keep=POSITION).persist()
+        bad = quarantined(pages, POSITION[0], "file")
+        write_batch(bad, f"{tables}/bad_pages", batch_id)
         system, llm = split_by_type(batch)
         system = flag_security(system)
-        write_batch(quality(batch, batch_id), f"{tables}/batch_quality", batch_id)
+        counts = quality(batch, batch_id).withColumn("n_bad_pages", bad.select(F.count(F.lit(1))).scalar())
+        write_batch(counts, f"{tables}/batch_quality", batch_id)
         for name, rows, schema in (("system_logs", system, schemas.SYSTEM_LOGS),
                                    ("llm_logs", llm, schemas.LLM_LOGS)):
             merge_into(spark, f"{tables}/{name}", align_to(rows, schema, keep=POSITION), order=POSITION)
@@ -122,19 +129,25 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                 rows = read_table(spark, f"{tables}/{name}", schema).where(F.col("dt").isin(days))
                 return (rows.withColumn("__bucket", F.window("timestamp", bucket).start)
                         .join(touched.withColumnRenamed("bucket", "__bucket"), "__bucket", "left_semi")
-                        .drop("__bucket"))
-
-            feats = build_features(again("system_logs", schemas.SYSTEM_LOGS),
-                                   again("llm_logs", schemas.LLM_LOGS), bucket)
-            write_batch(feats, f"{tables}/features_by_batch", batch_id)
-            if models:
-                scored = score_touched(spark, feats, models)
-                if scored is not None:
-                    write_batch(scored, f"{tables}/scores_by_batch", batch_id)
-        pulse(spark, batch_id, "OK", last, f"{tables}/heartbeat")
+                        .drop("__bucket", "dt"))
+
+            system, llm = again("system_logs", schemas.SYSTEM_LOGS), again("llm_logs", schemas.LLM_LOGS)
+            write_batch(build_features(system, llm, bucket, keys), f"{tables}/features_by_batch", batch_id)
+            model = load_model(spark, models) if models else None
+            if model is not None:
+                feats = (spark.read.parquet(f"{tables}/features_by_batch").where(F.col("batch_id") == batch_id)
+                         .drop("batch_id"))
+                state = f"{tables}/stream_state"
+                judged = judge(feats, system, llm, model, state_before(spark, state, batch_id), bucket, keys)
+                write_batch(judged.scores, f"{tables}/scores_by_batch", batch_id)
+                publish_alerts(spark, tables, judged, keys)
+                publish(spark, state, {"hst_state": judged.hst_state, "batch": spark.createDataFrame(
+                    [(batch_id,)], "batch_id long")})
+        pulse(spark, batch_id, "OK", last, f"{tables}/heartbeat", started)
         batch.unpersist()
+        pages.unpersist()
 
-    w = flat.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = documents.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
