@@ -35,4 +35,5 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
-    return left.join(other, cond, how).drop(*[f"__right_{c}" for c in keys])
+    joined = left.join(other, cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__right_{c}" for c in keys])

@@ -78,11 +78,13 @@ class Judged:
 
 
 def judge(features: DataFrame, system: DataFrame, llm: DataFrame, model: Model, hst_state: DataFrame | None,
-          bucket: str, keys: list[str] | None = None) -> Judged:
+          bucket: str, keys: list[str] | None = None, judged_before: DataFrame | None = None) -> Judged:
     """Score feature rows against a model and explain what is flagged.
 
     ``system``, ``llm``: the logs of those buckets.  The online detector goes on
-    from ``hst_state`` and learns the buckets that come after what it has learned.
+    from ``hst_state`` and learns the buckets that come after what it has learned;
+    the others keep what it said of them when it learned them (``judged_before``:
+    keys, bucket, hst_score, warm, hst_flag).
     """
     spark, keys = features.sparkSession, list(keys or [])
     k = [*keys, "bucket"]
@@ -90,6 +92,9 @@ def judge(features: DataFrame, system: DataFrame, llm: DataFrame, model: Model,
     pred = materialize(IF.predict(scores, model.offset, keys))
     hst, state = HS.learn_and_score(HS.scaled_inputs(features, model.limits, keys), hst_state, keys)
     hst = materialize(hst)
+    if judged_before is not None:
+        old = same_keys(judged_before, features.select(*k), k, "left_semi")
+        hst = hst.unionByName(same_keys(old, hst.select(*k), k, "left_anti").select(*hst.columns))
     conf = combine_flags(pred.select(*k, (F.col("prediction") == -1).alias("flag")),
                          hst.select(*k, (F.col("hst_flag") & F.col("warm")).alias("flag")), keys)
     flagged = pred.where(F.col("prediction") == -1).select(*k, "anomaly_score")

@@ -105,9 +105,31 @@ def land_tables(spark, sf_dir, bucket_dir: str):
     merge_into(spark, f"{bucket_dir}/llm_logs", align_to(llm, schemas.LLM_LOGS))
 
 
-@register("q_detect_cycle")
+def _records_sql() -> str:
+    """The records oracle with the forest's flags, and the online detector's confirmation."""
+    from .store_queries import RECORDS_SQL
+    sql = RECORDS_SQL.replace("WITH ", "WITH RECURSIVE ", 1)
+    for old, new in (
+            ("flagged AS (SELECT bucket, anomaly_score FROM det WHERE is_anomaly)", ",\n".join([
+                DO.hst_ctes(), DO.forest_ctes(), "flagged AS (SELECT bucket, anomaly_score FROM ifp WHERE prediction = -1)"])),
+            (" bucket + INTERVAL 60 MINUTE AS detected_at,", ""),
+            ("false AS hst_confirmed", "coalesce(h.hst_flag AND h.warm, false) AS hst_confirmed"),
+            ("FROM msgs LEFT JOIN features x USING (bucket)", "FROM msgs LEFT JOIN features x USING (bucket) LEFT JOIN hst h USING (bucket)")):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
+def _record_columns(records):
+    return records.select(
+        "anomaly_id", "bucket_start", "anomaly_type", "severity", "anomaly_score", "n_requests",
+        "n_unique_ips", "error_rate", F.coalesce("top_ip", F.lit("N/A")).alias("top_ip"), "reason",
+        "attack_category", "hst_confirmed")
+
+
+@register("q_detect_cycle", _records_sql())
 def q_detect_cycle(spark, sf_dir):
-    """End-to-end cycle on the keyed tables: forest + HST, records, outbox (rows check)."""
+    """End-to-end cycle on the keyed tables: forest + HST, records, outbox."""
     import uuid
     from ..session import shared_dir
     from ..sources.fixture import FIXED_NOW
@@ -116,9 +138,58 @@ def q_detect_cycle(spark, sf_dir):
     land_tables(spark, sf_dir, f"{base}/tables")
     res = detect_cycle(spark, f"{base}/tables", f"{base}/models", FIXED_NOW, cycle=1, bucket=B,
                        training_hours=24 * 31, fresh_since="2024-01-01 00:00:00")
-    return present(res.records.select(
-        "anomaly_id", "bucket_start", "anomaly_type", "severity", "anomaly_score", "n_requests",
-        "n_unique_ips", "error_rate", "top_ip", "reason", "attack_category", "hst_confirmed"))
+    return present(_record_columns(res.records))
+
+
+def landed(spark, sf_dir, path: str):
+    """The derived logs as landed pages of 100 events."""
+    from ..sinks.files import land_pages
+    from ..sources.fixture import raw_logs
+    raw = raw_logs(spark, sf_dir).withColumnRenamed("event_ts", "@timestamp")
+    page = (F.floor(F.split("_id", "-").getItem(1).cast("bigint") / 100) + 1).cast("int")
+    land_pages(raw.withColumn("page", page), path)
+
+
+@register("q_stream_anomalies", _records_sql())
+def q_stream_anomalies(spark, sf_dir):
+    """Records that the stream upserts, judged by the model of a cycle; the
+    first page is delivered once more at the end, as a batch of its own."""
+    import uuid
+    from ..session import shared_dir
+    from ..sources.fixture import FIXED_NOW
+    from ..streaming.job import run_ingest
+    from .cycle import detect_cycle
+    base = shared_dir(spark, f"stream/{uuid.uuid4().hex}")
+    land_tables(spark, sf_dir, f"{base}/trained")
+    detect_cycle(spark, f"{base}/trained", f"{base}/models", FIXED_NOW, cycle=1, bucket=B,
+                 training_hours=24 * 31, fresh_since="2024-01-01 00:00:00")
+    landed(spark, sf_dir, f"{base}/landing")
+    for again in (False, True):
+        if again:
+            (spark.read.text(f"{base}/landing/page=1").coalesce(1).write.mode("append")
+             .text(f"{base}/landing/page=1"))
+        run_ingest(spark, f"{base}/landing", f"{base}/tables", f"{base}/cp", bucket=B,
+                   models=f"{base}/models").awaitTermination()
+    return present(_record_columns(spark.read.parquet(f"{base}/tables/anomalies")))
+
+
+@register("q_alert_outbox", _records_sql().replace("SELECT sha256(CAST(bucket AS VARCHAR)) AS anomaly_id", """,
+r AS (SELECT sha256(CAST(bucket AS VARCHAR)) AS anomaly_id""", 1) + """)
+SELECT severity, attack_category, CASE WHEN severity <> 'LOW' AND attack_category IN (""" + ", ".join(
+    "'" + c.replace("'", "''") + "'" for c in C.SECURITY_ALERT_CATEGORIES) + """)
+  THEN 'QUEUED' ELSE 'SKIPPED' END AS status, count(*) AS n FROM r GROUP BY ALL""")
+def q_alert_outbox(spark, sf_dir):
+    """K8: the outbox table of a cycle, by severity, category and status."""
+    import uuid
+    from ..session import shared_dir
+    from ..sources.fixture import FIXED_NOW
+    from .cycle import detect_cycle
+    base = shared_dir(spark, f"cycle/{uuid.uuid4().hex}")
+    land_tables(spark, sf_dir, f"{base}/tables")
+    detect_cycle(spark, f"{base}/tables", f"{base}/models", FIXED_NOW, cycle=1, bucket=B,
+                 training_hours=24 * 31, fresh_since="2024-01-01 00:00:00")
+    return (spark.read.parquet(f"{base}/tables/outbox").groupBy("severity", "attack_category", "status")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("q_stream_features", O.base_ctes(B) + O.select_rounded(

@@ -20,7 +20,7 @@ from .published import current, point, pointed, publish
 PART = "dt"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -37,7 +37,7 @@ def read_table(spark: SparkSession, table: str, schema: StructType | None = None
     if schema is None:
         return spark.read.parquet(table)
     full = StructType([*[f for f in schema.fields if f.name != PART], StructField(PART, DateType())])
-    if not _exists(spark, table):
+    if not exists(spark, table):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(table)
 
@@ -65,11 +65,11 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
         batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
         # Lists of days: metadata, one value for each partition.
         days = {r[0] for r in batch.select(PART).distinct().collect()}
-        if not days and _exists(spark, table):
+        if not days and exists(spark, table):
             return
         held: set = set()
         merged = batch
-        if days and _exists(spark, table):
+        if days and exists(spark, table):
             old = read_table(spark, table, batch.schema)
             held = {r[0] for r in old.select(key, PART).join(batch.select(key), key, "left_semi")
                     .select(PART).distinct().collect()}
@@ -180,7 +180,7 @@ def drain_pending(spark: SparkSession, path: str, table: str, schema: StructType
     Returns the ids of the batches that failed again and stay.
     """
     from ..sources.pages import read_embedded_records
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return []
     pending = spark.read.schema("records string, batch_id int").parquet(path)
     failed = []

@@ -30,11 +30,12 @@ from .. import constants as C
 from ..operators import hst as HS
 from ..operators.features import build_features
 from ..operators.prepare import flag_security, flatten, split_by_type
+from ..operators.util import materialize
 from .. import schemas
 from ..schemas import align_to
 from ..plans.cycle import judge, load_model, publish_alerts
 from ..sinks.published import history, publish
-from ..sinks.tables import merge_into, read_table, write_batch
+from ..sinks.tables import exists, merge_into, read_table, write_batch
 from ..sources.pages import POSITION, quarantined, records_of, stream_documents
 
 
@@ -91,6 +92,16 @@ def quality(batch: DataFrame, batch_id: int) -> DataFrame:
     ).withColumn("batch_id", F.lit(batch_id))
 
 
+def hst_before(spark: SparkSession, path: str, feats: DataFrame, keys: list[str], batch_id: int) -> DataFrame | None:
+    """What the online detector said of buckets in earlier batches (the latest of each)."""
+    if not exists(spark, path):
+        return None
+    first = feats.select(F.min("bucket")).scalar()
+    rows = spark.read.parquet(path).where((F.col("batch_id") < batch_id) & (F.col("bucket") >= first) & F.col("hst_score").isNotNull())
+    said = F.max_by(F.struct("hst_score", "warm", "hst_flag"), "batch_id")
+    return rows.groupBy(*keys, "bucket").agg(said.alias("s")).select(*keys, "bucket", "s.*")
+
+
 def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                bucket: str = C.BUCKET, available_now: bool = True,
                interval: str = "30 minutes", models: str | None = None, keys: list[str] | None = None,
@@ -138,8 +149,10 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                 feats = (spark.read.parquet(f"{tables}/features_by_batch").where(F.col("batch_id") == batch_id)
                          .drop("batch_id"))
                 state = f"{tables}/stream_state"
-                judged = judge(feats, system, llm, model, state_before(spark, state, batch_id), bucket, keys)
-                write_batch(judged.scores, f"{tables}/scores_by_batch", batch_id)
+                scores = f"{tables}/scores_by_batch"
+                judged = judge(feats, system, llm, model, state_before(spark, state, batch_id), bucket, keys,
+                               hst_before(spark, scores, feats, keys, batch_id))
+                write_batch(materialize(judged.scores), scores, batch_id)
                 publish_alerts(spark, tables, judged, keys)
                 publish(spark, state, {"hst_state": judged.hst_state, "batch": spark.createDataFrame(
                     [(batch_id,)], "batch_id long")})
