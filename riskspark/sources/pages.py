@@ -15,6 +15,7 @@ from .. import schemas
 
 #: Where a streamed record stands in its delivery: page number and place in the page.
 POSITION = ("__page", "__place")
+FILE = "__file"
 
 
 #: Text of a page document that is not what the schema says.
@@ -48,21 +49,22 @@ def read_pages(spark: SparkSession, path: str, max_pages: int = 0, strict: bool
     return pages.select("page", F.explode("data").alias("r")).select("page", "r.*")
 
 
+def _document() -> list:
+    return [F.octet_length(CORRUPT).cast("long").alias("n_bytes"), F.col(CORRUPT).alias("document")]
+
+
 def bad_pages(spark: SparkSession, path: str, max_pages: int = 0) -> DataFrame:
     """S3: (page, file, n_bytes, document) of every malformed page document."""
     pages = _first(_documents(spark.read, "PERMISSIVE").json(path), max_pages)
-    return quarantined(pages.withColumn("file", F.col("_metadata.file_name")), "page", "file")
-
-
-def quarantined(pages: DataFrame, *columns: str) -> DataFrame:
     # (data is read too: Spark refuses a query of the corrupt column alone)
-    return (pages.select(*columns, "data", CORRUPT).where(F.col(CORRUPT).isNotNull() & (F.coalesce(F.size("data"), F.lit(0)) >= -1))
-            .select(*columns, F.octet_length(CORRUPT).cast("long").alias("n_bytes"), F.col(CORRUPT).alias("document")))
+    pages = pages.select("page", F.col("_metadata.file_name").alias("file"), F.size("data").alias("n"), CORRUPT)
+    return pages.where(F.col(CORRUPT).isNotNull() & (F.coalesce("n", F.lit(0)) >= -1)).select("page", "file", *_document())
 
 
 def stream_documents(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                      archive_dir: str | None = None) -> DataFrame:
-    """The same landing directory as a file stream (new pages = new files): page number and document.
+    """The same landing directory as a file stream (new pages = new files): a row for every
+    record, with its place, and one for a document without records or that cannot be read.
 
     K12: with ``archive_dir`` processed page files are moved out of the
     landing folder once committed (``cleanSource=archive``).
@@ -73,13 +75,20 @@ def stream_documents(spark: SparkSession, path: str, max_files_per_trigger: int
     if archive_dir:
         rs = rs.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     page = F.regexp_extract("_metadata.file_path", r"page=(\d+)", 1).try_cast("long")
-    return rs.json(path).select(page.alias(POSITION[0]), F.col("_metadata.file_name").alias("file"), "data", CORRUPT)
+    return rs.json(path).select(
+        page.alias(POSITION[0]), F.col("_metadata.file_name").alias(FILE), CORRUPT,
+        F.posexplode_outer("data").alias(POSITION[1], "r")).select(POSITION[0], FILE, CORRUPT, POSITION[1], "r.*")
 
 
 def records_of(documents: DataFrame) -> DataFrame:
-    """The records of readable page documents, with ``POSITION``."""
-    return (documents.where(F.col(CORRUPT).isNull())
-            .select(POSITION[0], F.posexplode("data").alias(POSITION[1], "r")).select(*POSITION, "r.*"))
+    """The records of streamed page documents that can be read, with ``POSITION``."""
+    return documents.where(F.col(CORRUPT).isNull() & F.col(POSITION[1]).isNotNull()).drop(FILE, CORRUPT)
+
+
+def bad_documents(documents: DataFrame) -> DataFrame:
+    """The streamed page documents that cannot be read, as in :func:`bad_pages`."""
+    return documents.where(F.col(CORRUPT).isNotNull() & (F.coalesce(POSITION[1], F.lit(0)) == 0)).select(
+        F.col(POSITION[0]).alias("page"), F.col(FILE).alias("file"), *_document())
 
 
 def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,

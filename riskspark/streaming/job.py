@@ -36,7 +36,7 @@ from ..schemas import align_to
 from ..plans.cycle import judge, load_model, publish_alerts
 from ..sinks.published import history, publish
 from ..sinks.tables import exists, merge_into, read_table, write_batch
-from ..sources.pages import POSITION, quarantined, records_of, stream_documents
+from ..sources.pages import POSITION, bad_documents, records_of, stream_documents
 
 
 def stream_volume_features(records: DataFrame, bucket: str = C.BUCKET,
@@ -118,7 +118,7 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
     def per_batch(pages: DataFrame, batch_id: int) -> None:
         pages = pages.persist()
         batch = flatten(records_of(pages), "@timestamp", keep=POSITION).persist()
-        bad = quarantined(pages, POSITION[0], "file")
+        bad = bad_documents(pages)
         write_batch(bad, f"{tables}/bad_pages", batch_id)
         system, llm = split_by_type(batch)
         system = flag_security(system)
@@ -146,8 +146,8 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
             write_batch(build_features(system, llm, bucket, keys), f"{tables}/features_by_batch", batch_id)
             model = load_model(spark, models) if models else None
             if model is not None:
-                feats = (spark.read.parquet(f"{tables}/features_by_batch").where(F.col("batch_id") == batch_id)
-                         .drop("batch_id"))
+                feats = materialize(spark.read.parquet(f"{tables}/features_by_batch").where(
+                    F.col("batch_id") == batch_id).drop("batch_id"))
                 state = f"{tables}/stream_state"
                 scores = f"{tables}/scores_by_batch"
                 judged = judge(feats, system, llm, model, state_before(spark, state, batch_id), bucket, keys,
