@@ -85,7 +85,6 @@ class ByteBpe:
         self.pair_known = np.zeros(1 << PAIR_BITS, bool)
         self.whole: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
-        self.mark = "\n\0added:"  # no piece has text after a line feed and a null like this
         import ahocorasick
         self.automaton = ahocorasick.Automaton()
         for t, i in self.ids.items():
@@ -239,21 +238,20 @@ class ByteBpe:
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts; strings of added tokens in them are those tokens."""
-        parts: list[list[str]] = []  # of each text
+        parts: list[list[str | tuple[str]]] = []  # of each text
         for t in texts:
             if self.special is None or not self.special.search(t):
                 parts.append(self.cut.findall(t))
             else:
                 own = []
                 for k, x in enumerate(self.special.split(t)):
-                    own.extend([self.mark + x] if k % 2 else self.cut.findall(x))
+                    own.extend([(x,)] if k % 2 else self.cut.findall(x))  # an added token is no text
                 parts.append(own)
         cache = self.cache
         got = [list(map(cache.get, own)) for own in parts]
         missed = {p for own, g in zip(parts, got, strict=True) if None in g
                   for p, v in zip(own, g, strict=True) if v is None}
-        new = {p: array("i", [self.added[p[len(self.mark):]]]).tobytes()
-               for p in missed if p.startswith(self.mark)}
+        new = {p: array("i", [self.added[p[0]]]).tobytes() for p in missed if isinstance(p, tuple)}
         if missed:
             new.update(self._learn(missed - new.keys()))
             for own, g in zip(parts, got, strict=True):
