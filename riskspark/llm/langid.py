@@ -32,12 +32,35 @@ SAMPLE_DOCS, MOST_GRAMS = 20_000, 30_000
 MOST_EVIDENCE = 60.0
 #: Pages that a domain counts for in its hosts' priors, and all pages in a domain's.
 STRENGTH = 5.0
-HIDDEN = re.compile(r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<nav\b.*?</nav\s*>|<[^>]*>")
+#: What begins a tag, and where that which is not shown ends.
+TAG = re.compile(r"(?i)<(?:(?P<script>script\b)|(?P<style>style\b)|(?P<nav>nav\b)|(?P<comment>!--))?")
+CLOSING = {k: re.compile(rf"(?i)</{k}\s*>") for k in ("script", "style", "nav")} | {"comment": re.compile("-->")}
 NO_LETTER = re.compile(r"[\W\d_]+")
 
 
 def visible(page: str) -> str:
-    return entities.unescape(HIDDEN.sub(" ", page))
+    """The text between tags, without scripts, styles, navigation and comments.  What is never
+    closed is looked for once, so that the time grows with the page, whatever is in it."""
+    out, at, never = [], 0, set()
+    while (i := page.find("<", at)) >= 0:
+        tag, end = TAG.match(page, i), -1
+        if tag.lastgroup and tag.lastgroup not in never:
+            closing = CLOSING[tag.lastgroup].search(page, tag.end())
+            if closing:
+                end = closing.end()
+            else:
+                never.add(tag.lastgroup)
+        if end < 0 and ">" not in never:
+            end = page.find(">", i) + 1 or -1
+            if end < 0:
+                never.add(">")
+        if end < 0:
+            out.append(page[at:i + 1])
+            at = i + 1
+        else:
+            out += page[at:i], " "
+            at = end
+    return entities.unescape("".join(out) + page[at:])
 
 
 def grams(text: str) -> Counter:
