@@ -8,6 +8,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, Struc
 
 from .. import constants as C
 from ..functions.columns import lookup
+from .util import broadcast_if_small
 
 DEVIATION = StructType([StructField("feature", StringType()), StructField("label", StringType()),
                         StructField("value", DoubleType()), StructField("baseline", DoubleType()),
@@ -78,6 +79,23 @@ def logs_of_anomalies(anomalies: DataFrame, logs: DataFrame, ids_col: str,
     return ids.join(logs, "_id")
 
 
+def logs_in_anomalies(anomalies: DataFrame, logs: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Every log of the anomalies' buckets (``logs`` has its ``bucket``), not only those shown."""
+    k = [*(keys or []), "bucket"]
+    which = anomalies.select(*(keys or []), F.col("bucket_start").alias("bucket")).distinct()
+    return logs.join(broadcast_if_small(which), k, "left_semi")
+
+
+def log_totals(system: DataFrame, llm: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Per bucket logs, security events, and the exact sum of the cost."""
+    k = [*(keys or []), "bucket"]
+    a = system.groupBy(*k).agg(F.count(F.lit(1)).alias("n_sys_logs"),
+                               F.count_if(truthy_any(F.col("is_security_event"))).alias("n_security"))
+    b = llm.groupBy(*k).agg(F.count(F.lit(1)).alias("n_llm_logs"),
+                            F.sum(F.col("llm_cost_usd").cast("decimal(28,10)")).cast("double").alias("total_cost"))
+    return a.join(b, k, "full")
+
+
 def value_counts(logs: DataFrame, group: list[str], col: str, top_n: int | None = None
                  ) -> DataFrame:
     """Value counts per group, most frequent first (ties by value); optional top-n."""

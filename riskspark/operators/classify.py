@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.columns import py_float_text, thousands_text
+from .util import same_keys
 
 
 def multi_bucket_runs(flagged: DataFrame, keys: list[str] | None = None,
@@ -15,16 +16,28 @@ def multi_bucket_runs(flagged: DataFrame, keys: list[str] | None = None,
 
     A new run starts where the gap to the previous anomalous bucket exceeds
     ``gap_minutes``; runs of at least ``min_len`` buckets are MULTI_BUCKET.
-    Runs only over flagged buckets (about 5 % of all), partitioned by keys.
+    Islands are found within (keys, day) and stitched over the days: the only window
+    over more than a day has one row per key and day.
     Output: keys, bucket, run_id, run_len, in_multi_run.
     """
     keys = list(keys or [])
-    w = Window.partitionBy(*keys).orderBy("bucket")
-    prev = F.lag("bucket").over(w)
-    gap_min = F.timestamp_diff("SECOND", prev, F.col("bucket")).cast("double") / F.lit(60.0)
-    brk = F.when(prev.isNull() | (gap_min > F.lit(float(gap_minutes))), 1).otherwise(0)
-    runs = (flagged.select(*keys, "bucket").withColumn("brk", brk)
-            .withColumn("run_id", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+
+    def breaks(prev: Column, this: Column) -> Column:
+        gap = F.timestamp_diff("SECOND", prev, this).cast("double") / F.lit(60.0)
+        return (gap > F.lit(float(gap_minutes))).cast("int")
+
+    day = Window.partitionBy(*keys, "__day").orderBy("bucket")
+    rows = flagged.select(*keys, "bucket").withColumn("__day", F.to_date("bucket"))
+    rows = rows.withColumn("__brk", F.coalesce(breaks(F.lag("bucket").over(day), F.col("bucket")), F.lit(0)))
+    rows = rows.withColumn("__inside", F.sum("__brk").over(day.rowsBetween(Window.unboundedPreceding, 0)))
+    days = rows.groupBy(*keys, "__day").agg(F.min("bucket").alias("__first"), F.max("bucket").alias("__last"),
+                                            F.sum("__brk").alias("__n"))
+    over_days = Window.partitionBy(*keys).orderBy("__day")
+    new = F.coalesce(breaks(F.lag("__last").over(over_days), F.col("__first")), F.lit(1))
+    days = days.withColumn("__new", new)
+    before = F.coalesce(F.sum(F.col("__new") + F.col("__n")).over(over_days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = days.select(*keys, "__day", (before + F.col("__new")).alias("__before"))
+    runs = same_keys(rows, days, [*keys, "__day"]).withColumn("run_id", F.col("__before") + F.col("__inside"))
     runs = runs.withColumn("run_len", F.count(F.lit(1)).over(Window.partitionBy(*keys, "run_id")))
     return runs.select(*keys, "bucket", "run_id", "run_len",
                        (F.col("run_len") >= min_len).alias("in_multi_run"))

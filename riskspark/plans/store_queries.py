@@ -317,6 +317,50 @@ def q_log_value_counts(spark, sf_dir):
     return lt.unionByName(hc).unionByName(fr)
 
 
+ALL_LOGS_SQL = MSG + """,
+sl AS (SELECT y.* FROM flagged f JOIN sysc y USING (bucket)),
+ll AS (SELECT y.* FROM flagged f JOIN llmc y USING (bucket))"""
+
+
+def _logs_of_buckets(spark, sf_dir):
+    rec = anomaly_records(spark, sf_dir, B)
+    system, llm = cleaned(spark, sf_dir, B)
+    return rec, AU.logs_in_anomalies(rec, system), AU.logs_in_anomalies(rec, llm)
+
+
+@register("q_anomaly_value_counts", ALL_LOGS_SQL + """
+SELECT bucket, 'logtype' AS dim, logtype AS value, count(*) AS n FROM sl GROUP BY ALL
+UNION ALL SELECT * FROM (SELECT bucket, 'http_status_code', code, n FROM (
+    SELECT bucket, CAST(CAST(http_status_code AS BIGINT) AS VARCHAR) AS code, count(*) AS n FROM sl WHERE http_status_code IS NOT NULL GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY n DESC, code) <= 5)
+UNION ALL SELECT bucket, 'llm_finish_reason', llm_finish_reason, count(*) FROM ll WHERE llm_finish_reason IS NOT NULL GROUP BY ALL""")
+def q_anomaly_value_counts(spark, sf_dir):
+    """Log types, top-5 HTTP codes and finish reasons over all logs of each anomaly's bucket."""
+    _, sl, ll = _logs_of_buckets(spark, sf_dir)
+    sl = sl.withColumn("code", F.col("http_status_code").cast("bigint").cast("string"))
+    out = None
+    for rows, col, dim, top in ((sl, "logtype", "logtype", None), (sl, "code", "http_status_code", 5),
+                                (ll, "llm_finish_reason", "llm_finish_reason", None)):
+        part = AU.value_counts(rows, ["bucket"], col, top_n=top).select(
+            "bucket", F.lit(dim).alias("dim"), F.col(col).alias("value"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("q_anomaly_totals", ALL_LOGS_SQL + """,
+a AS (SELECT bucket, count(*) AS n_sys_logs, count_if(is_security_event) AS n_security FROM sl GROUP BY bucket),
+b AS (SELECT bucket, count(*) AS n_llm_logs, CAST(sum(CAST(llm_cost_usd AS DECIMAL(28,10))) AS DOUBLE) AS cost FROM ll GROUP BY bucket)
+SELECT f.bucket, CAST(coalesce(a.n_sys_logs, 0) AS BIGINT) AS n_sys_logs, CAST(coalesce(a.n_security, 0) AS BIGINT) AS n_security,
+  CAST(coalesce(b.n_llm_logs, 0) AS BIGINT) AS n_llm_logs, """ + R6("coalesce(b.cost, 0.0)", "total_cost") + """
+FROM flagged f LEFT JOIN a USING (bucket) LEFT JOIN b USING (bucket)""")
+def q_anomaly_totals(spark, sf_dir):
+    """Logs, security events and cost over all logs of each anomaly's bucket."""
+    rec, sl, ll = _logs_of_buckets(spark, sf_dir)
+    got = rec.select(F.col("bucket_start").alias("bucket")).join(AU.log_totals(sl, ll), "bucket", "left")
+    return present(got.fillna(0).select("bucket", *[F.col(c).cast("long").alias(c) for c in (
+        "n_sys_logs", "n_security", "n_llm_logs")], "total_cost"))
+
+
 @register("q_anomaly_log_totals", AUDIT_SQL + """,
 sl AS (SELECT s.bucket, y.* FROM shown s JOIN sys y ON y._id = s._id WHERE s.side = 'system'),
 ll AS (SELECT s.bucket, y.* FROM shown s JOIN llm y ON y._id = s._id WHERE s.side = 'llm'),

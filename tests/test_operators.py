@@ -112,3 +112,38 @@ def test_dedup_and_upsert_idempotent(spark):
     assert {r["_id"]: r["v"] for r in once.collect()} == expect
     assert {r["_id"]: r["v"] for r in twice.collect()} == expect
     assert MG.new_row_count(old, new).first()["new_rows"] == 1
+
+
+def test_quantile_of_mostly_equal_values(spark):
+    """Nine of ten values are one: it is a row a task, and the rows of all partitions are few and even."""
+    from riskspark.operators.quantile import exact_quantile
+    df = spark.range(100_000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 10 > 0, 7.5)
+                                     .otherwise(F.pmod(F.xxhash64("id"), F.lit(10**6)) / 10**4).alias("v"))
+    df = df.unionByName(spark.range(3).select(F.col("id").alias("g"), F.lit(None).cast("double").alias("v")))
+    for q in (0.0, 0.5, 0.95, 1.0):
+        got = {r["g"]: r["q"] for r in exact_quantile(df, ["g"], "v", q, "q", 8).collect()}
+        want = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", q).alias("q")).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    rows = df.where("v IS NOT NULL").groupBy("g", "v").count().repartitionByRange(8, "g", "v")
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+def test_runs_are_stitched_over_days(spark):
+    import datetime as dt
+    import random
+    from riskspark.operators.classify import multi_bucket_runs
+    rng = random.Random(1)
+    steps = sorted(rng.sample(range(3000), 800))
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=5 * x)) for k in ("a", None) for x in steps]
+    flagged = spark.createDataFrame(rows, "env string, bucket timestamp_ntz")
+    ids, run = [], 0
+    for before, x in zip([None, *steps], steps, strict=False):
+        run += before is None or (x - before) * 5 > 10
+        ids.append(run)
+    want = [(rows[i][1], run, ids.count(run)) for i, run in enumerate(ids)]
+    for df, keys in ((flagged, ["env"]), (flagged.select("bucket").distinct(), [])):
+        got = multi_bucket_runs(df, keys).collect()
+        for k in {tuple(r[c] for c in keys) for r in got}:
+            own = [(r["bucket"], r["run_id"], r["run_len"]) for r in got if tuple(r[c] for c in keys) == k]
+            assert sorted(own) == want
