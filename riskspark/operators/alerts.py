@@ -86,8 +86,33 @@ def alert_counters(box: DataFrame) -> DataFrame:
     return box.groupBy("status").agg(F.count(F.lit(1)).alias("n_alerts"))
 
 
-def alert_log_rows(box: DataFrame, sent_at: Column | None = None, keys: list[str] | None = None) -> DataFrame:
-    """K7: ALERT_LOG rows for queued alerts (text fields cut to their column sizes).
+def delivered(box: DataFrame, outcomes: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """ALERT_LOG rows of queued alerts with what their delivery came to.
+
+    ``outcomes`` (anomaly_id, sent_at, http_status, api_response): what a consumer
+    of the outbox brings back, the latest of each alert counts.  A status code of
+    200 to 299 is SENT, any other or none FAILED; an alert without outcome stays QUEUED.
+    """
+    last = outcomes.groupBy("anomaly_id").agg(F.max_by(F.struct("http_status", "api_response", F.col("sent_at")),
+                                                       "sent_at").alias("o"))
+    sent = F.coalesce(F.col("o.http_status").between(200, 299), F.lit(False))
+    rows = box.where(F.col("status") == "QUEUED").join(last, "anomaly_id", "left")
+    log = alert_log_rows(rows, F.col("o.sent_at"), keys, "anomaly_id", "o")
+    status = F.when(F.col("o").isNull(), "QUEUED").when(sent, "SENT").otherwise("FAILED")
+    return log.select(*[(status if c == "status" else F.col("o.http_status").cast("int") if c == "http_status"
+                         else F.col("o.api_response") if c == "api_response" else F.col(c)).alias(c)
+                        for c in log.columns if c not in ("anomaly_id", "o")])
+
+
+def delivery_counters(log: DataFrame, box: DataFrame) -> DataFrame:
+    """Alerts sent, failed, still queued, and skipped."""
+    return (log.select("status").unionByName(box.where(F.col("status") == "SKIPPED").select("status"))
+            .groupBy("status").agg(F.count(F.lit(1)).alias("n_alerts")))
+
+
+def alert_log_rows(box: DataFrame, sent_at: Column | None = None, keys: list[str] | None = None,
+                   *more: str) -> DataFrame:
+    """K7: ALERT_LOG rows for queued alerts (text fields cut to their column sizes), and the columns ``more``.
 
     The id is made of ``keys``, bucket and message: a retried cycle meets its own rows.
     """
@@ -104,4 +129,4 @@ def alert_log_rows(box: DataFrame, sent_at: Column | None = None, keys: list[str
         F.substring("status", 1, 10).alias("status"),
         F.lit(None).cast("int").alias("http_status"),
         F.substring("message", 1, 300).alias("message_sent"),
-        F.lit(None).cast("string").alias("api_response"))
+        F.lit(None).cast("string").alias("api_response"), *more)

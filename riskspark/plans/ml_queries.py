@@ -173,11 +173,47 @@ def q_stream_anomalies(spark, sf_dir):
     return present(_record_columns(spark.read.parquet(f"{base}/tables/anomalies")))
 
 
-@register("q_alert_outbox", _records_sql().replace("SELECT sha256(CAST(bucket AS VARCHAR)) AS anomaly_id", """,
-r AS (SELECT sha256(CAST(bucket AS VARCHAR)) AS anomaly_id""", 1) + """)
-SELECT severity, attack_category, CASE WHEN severity <> 'LOW' AND attack_category IN (""" + ", ".join(
-    "'" + c.replace("'", "''") + "'" for c in C.SECURITY_ALERT_CATEGORIES) + """)
-  THEN 'QUEUED' ELSE 'SKIPPED' END AS status, count(*) AS n FROM r GROUP BY ALL""")
+def outcomes(box):
+    """What a consumer of the outbox brings back: by the first digit of the id, sent, refused, or no answer yet."""
+    first = F.substring("anomaly_id", 1, 1)
+    code = F.when(first < "8", 200).when(first < "c", 503)
+    return (box.where("status = 'QUEUED'").where(first < "e").select(
+        "anomaly_id", code.alias("http_status"), F.lit("ok").alias("api_response"),
+        F.lit("2024-01-31 00:00:00").cast("timestamp").alias("sent_at")))
+
+
+def _outbox_sql(select: str) -> str:
+    sql = _records_sql().replace("SELECT sha256(CAST(bucket AS VARCHAR)) AS anomaly_id",
+                                 ",\nr AS (SELECT sha256(CAST(bucket AS VARCHAR)) AS anomaly_id", 1)
+    categories = ", ".join("'" + c.replace("'", "''") + "'" for c in C.SECURITY_ALERT_CATEGORIES)
+    return sql + f"""),
+box AS (SELECT *, CASE WHEN severity <> 'LOW' AND attack_category IN ({categories}) THEN 'QUEUED' ELSE 'SKIPPED' END AS status FROM r)
+{select}"""
+
+
+@register("q_delivery_counters", _outbox_sql("""SELECT CASE WHEN status = 'SKIPPED' THEN 'SKIPPED'
+  WHEN substr(anomaly_id, 1, 1) < '8' THEN 'SENT' WHEN substr(anomaly_id, 1, 1) < 'e' THEN 'FAILED' ELSE 'QUEUED' END AS status,
+  count(*) AS n_alerts FROM box GROUP BY ALL"""))
+def q_delivery_counters(spark, sf_dir):
+    """Alerts sent, failed, queued and skipped, after a consumer has reported on the outbox."""
+    import uuid
+    from ..operators import alerts as AL
+    from ..session import shared_dir
+    from ..sinks.tables import merge_into
+    from ..sources.fixture import FIXED_NOW
+    from .cycle import detect_cycle
+    base = shared_dir(spark, f"cycle/{uuid.uuid4().hex}")
+    land_tables(spark, sf_dir, f"{base}/tables")
+    res = detect_cycle(spark, f"{base}/tables", f"{base}/models", FIXED_NOW, cycle=1, bucket=B,
+                       training_hours=24 * 31, fresh_since="2024-01-01 00:00:00")
+    box = spark.read.parquet(f"{base}/tables/outbox")
+    merge_into(spark, f"{base}/tables/alert_log", AL.delivered(res.outbox, outcomes(box)), key="alert_id",
+               ts_col="bucket_start")
+    return AL.delivery_counters(spark.read.parquet(f"{base}/tables/alert_log"), box)
+
+
+@register("q_alert_outbox", _outbox_sql(
+    "SELECT severity, attack_category, status, count(*) AS n FROM box GROUP BY ALL"))
 def q_alert_outbox(spark, sf_dir):
     """K8: the outbox table of a cycle, by severity, category and status."""
     import uuid

@@ -2,8 +2,10 @@
 
 Bundled Parquet has no row-level MERGE, so a keyed upsert rewrites only the
 date partitions that hold a batch's dates or keys: read those partitions,
-merge latest-wins (one keyed aggregation), write to a staging folder (removed
-afterwards), then dynamic-partition overwrite of the table.  A plan never reads and overwrites the same path.
+merge latest-wins (one keyed aggregation), write to a staging folder, then
+dynamic-partition overwrite of the table.  A plan never reads and overwrites the same path.
+The staged merge goes when the table has it: if the overwrite ends midway, the next
+merge first puts the table right from it (a table has one writer).
 """
 from __future__ import annotations
 
@@ -59,7 +61,8 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
     stored = [c for c in new.columns if c not in order]
     batch = dedup_keep_last(new.withColumn("__rank", rank), key, ("__rank",)).select(*stored)
     batch = batch.withColumn(PART, F.to_date(F.col(ts_col)))
-    staging = f"{table.rstrip('/')}_staging/{uuid.uuid4().hex}"
+    finish_pending(spark, table)
+    staging = f"{_staging(table)}/{uuid.uuid4().hex}"
     try:
         batch.write.parquet(f"{staging}/batch")
         batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
@@ -82,11 +85,43 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
         merged.write.partitionBy(PART).parquet(f"{staging}/merged")
         merged = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
         left = {r[0] for r in merged.select(PART).distinct().collect()} if held else days
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PART).parquet(table))
-        for day in held - left:  # every row of it has moved to another date
-            _delete(spark, f"{table}/{PART}={day or '__HIVE_DEFAULT_PARTITION__'}")
+        # Days all of whose rows have moved to another date.  This is written last: with it the merge is whole.
+        spark.createDataFrame([(str(d) if d else None,) for d in held - left], "day string").write.parquet(f"{staging}/gone")
+        _put(spark, table, staging, batch.schema)
     finally:
+        if not _whole(spark, staging):
+            _delete(spark, staging)
+    _delete(spark, staging)
+
+
+def _staging(table: str) -> str:
+    return f"{table.rstrip('/')}_staging"
+
+
+def _whole(spark: SparkSession, staging: str) -> bool:
+    return exists(spark, f"{staging}/gone/_SUCCESS")
+
+
+def _put(spark: SparkSession, table: str, staging: str, schema: StructType) -> None:
+    """Overwrite the table's days with the staged merge; again, it changes nothing."""
+    merged = spark.read.schema(schema).parquet(f"{staging}/merged")
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PART).parquet(table))
+    for r in spark.read.schema("day string").parquet(f"{staging}/gone").collect():  # a few days
+        _delete(spark, f"{table}/{PART}={r['day'] or '__HIVE_DEFAULT_PARTITION__'}")
+
+
+def finish_pending(spark: SparkSession, table: str) -> None:
+    """Put whole merges that an earlier job has staged into the table; remove what is not whole."""
+    base = _staging(table)
+    if not exists(spark, base):
+        return
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in fs.listStatus(p):  # one, if any
+        staging = f"{base}/{entry.getPath().getName()}"
+        if _whole(spark, staging):
+            _put(spark, table, staging, spark.read.parquet(f"{staging}/batch").schema)
         _delete(spark, staging)
 
 

@@ -68,3 +68,26 @@ def test_retention_starts_again_after_two_empty_cycles(spark):
     new = [5, 0, 0, 1, 0, 0, 0, 2, 0, 0, 0, 0, 3, 0]
     got = empty_cycle_runs(spark.createDataFrame(list(enumerate(new)), "cycle int, new_rows int"))
     assert [r["cycle"] for r in got.where("retention_due").orderBy("cycle").collect()] == [2, 5, 9, 11]
+
+
+def test_a_merge_that_ends_midway_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    from riskspark.sinks import tables as ST
+    t = str(tmp_path / "t")
+    merge_into(spark, t, batch(spark, ("a", 1, 1), ("b", 2, 1)))
+
+    def ended(*_):
+        raise RuntimeError("ended midway")
+
+    with monkeypatch.context() as m:
+        m.setattr(ST, "_put", ended)
+        with pytest.raises(RuntimeError):
+            merge_into(spark, t, batch(spark, ("a", 3, 2)))
+    assert len(os.listdir(t + "_staging")) == 1  # the only whole copy of the days
+    merge_into(spark, t, batch(spark, ("c", 5, 1)))
+    assert held(spark, t) == [("a", 3, 2, 3), ("b", 2, 1, 2), ("c", 5, 1, 5)]
+    with monkeypatch.context() as m:  # before the merge is whole: nothing of it stays
+        m.setattr(ST, "upsert", ended)
+        with pytest.raises(RuntimeError):
+            merge_into(spark, t, batch(spark, ("a", 4, 9)))
+    assert not os.listdir(t + "_staging")
+    assert held(spark, t) == [("a", 3, 2, 3), ("b", 2, 1, 2), ("c", 5, 1, 5)]
