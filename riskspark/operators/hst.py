@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from .chance import fraction
 from .ranks import ranked
-from .util import same_keys
+from .util import materialize, same_keys
 
 PADDING = 0.15
 
@@ -208,8 +208,9 @@ def learn_and_score(inputs: DataFrame, state: DataFrame | None = None, keys: lis
     # Learned rows take the next numbers; a row without a feature has the number of the one before it.
     rows = ranked(rows.where(usable), keys).withColumn("usable", F.lit(True)).unionByName(
         rows.where(~usable).withColumn("rank", F.lit(None).cast("long")).withColumn("usable", F.lit(False)))
-    rows = rows.withColumn("rank", F.col("rank") + F.coalesce("__rank", F.lit(0))).withColumn(
-        "leaves", leaves(n_trees, width, height, seed))
+    # Stored once: scores, windows and the state all read the leaves.
+    rows = materialize(rows.withColumn("rank", F.col("rank") + F.coalesce("__rank", F.lit(0))).withColumn(
+        "leaves", leaves(n_trees, width, height, seed)).drop("x", "present", "__last"))
     learned = state.select(*keys, "rank", "bucket", "leaves").unionByName(
         rows.where("usable").select(*keys, "rank", "bucket", "leaves"))
     windows = learned.groupBy(*keys, F.expr(f"(rank - 1) div {window} + 1").alias("__window")).agg(
