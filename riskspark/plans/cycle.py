@@ -25,8 +25,9 @@ from ..operators.combine import combine_flags
 from ..operators.features import build_features
 from ..operators.liveness import expired_versions
 from ..operators.prepare import clean_llm, clean_system
-from ..operators.spans import catchup_gap, data_span
+from ..operators.spans import catchup_gap, data_span, zone_span
 from ..operators.util import materialize, same_keys
+from ..sinks import keyindex
 from ..sinks import tables as ST
 from ..sinks.published import current
 from ..sources import tables as TB
@@ -144,7 +145,8 @@ def detect_cycle(spark: SparkSession, tables: str, models: str, now: str, cycle:
     fresh_since = fresh_since or last_scored_until or TB.hours_before(now, FRESH_MINUTES / 60)
     st = ST.read_table(spark, f"{tables}/system_logs", schemas.SYSTEM_LOGS)
     lt = ST.read_table(spark, f"{tables}/llm_logs", schemas.LLM_LOGS)
-    span = data_span(st, min_training_hours).first()
+    zones = keyindex.zones(spark, f"{tables}/system_logs")     # (no row is read where the upsert has kept them)
+    span = (data_span(st, min_training_hours) if zones is None else zone_span(zones, min_training_hours)).first()
     if not span or not span["ready"]:
         return CycleResult(False, False, None, None, None, None)
 

@@ -239,13 +239,11 @@ def q_stream_features(spark, sf_dir):
     from ..session import shared_dir
     from ..sinks.files import land_pages
     from ..sources.fixture import raw_logs
-    from ..streaming.job import run_ingest
+    from ..streaming.job import latest_features, run_ingest
     base = shared_dir(spark, f"stream/{uuid.uuid4().hex}")
     raw = raw_logs(spark, sf_dir).withColumnRenamed("event_ts", "@timestamp")
     page = (F2.floor(F2.split("_id", "-").getItem(1).cast("bigint") / 100) + 1).cast("int")
     land_pages(raw.withColumn("page", page), f"{base}/landing")
     q = run_ingest(spark, f"{base}/landing", f"{base}/tables", f"{base}/cp", bucket=B)
     q.awaitTermination()
-    feats = spark.read.parquet(f"{base}/tables/features_by_batch")
-    latest = feats.groupBy("bucket").agg(F2.max("batch_id").alias("batch_id"))
-    return present(feats.join(latest, ["bucket", "batch_id"]).select("bucket", *C.FEATURE_COLS))
+    return present(latest_features(spark, f"{base}/tables").select("bucket", *C.FEATURE_COLS))

@@ -12,6 +12,7 @@ from ..operators import spans as SP
 from ..operators.logsets import ids_in_bucket, top_value_per_bucket
 from .. import schemas
 from ..schemas import align_to
+from ..sinks import keyindex
 from ..sources import tables as TB
 from ..sources.fixture import FIXED_NOW, raw_batches, read_table
 from . import oracle as O
@@ -81,6 +82,51 @@ def q_upsert_snapshot(spark, sf_dir):
                        "http_status_code")
 
 
+def _delivered(spark, sf_dir):
+    """The system table after both deliveries were upserted; its path."""
+    import uuid
+    from ..session import shared_dir
+    from ..sinks.tables import merge_into
+    table = f"{shared_dir(spark, f'delivered/{uuid.uuid4().hex}')}/system_logs"
+    fb = flat_batches(spark, sf_dir)
+    for seq in (1, 2):
+        merge_into(spark, table, _sys_table(fb.where(F.col("batch_seq") == seq).drop("batch_seq")))
+    return table
+
+
+KEPT_SQL = UPSERT_SQL.rsplit("SELECT _id,", 1)[0].rstrip() + """,
+kept AS (SELECT * FROM d WHERE rn = 1)"""
+
+
+@register("q_zones", KEPT_SQL + """ SELECT CAST("timestamp" AS DATE) AS dt, count(*) AS n_rows,
+  min("timestamp") AS min_ts, max("timestamp") AS max_ts FROM kept GROUP BY 1""")
+def q_zones(spark, sf_dir):
+    """What the upsert keeps of every day, after two overlapping deliveries."""
+    return keyindex.zones(spark, _delivered(spark, sf_dir)).select("dt", "n_rows", "min_ts", "max_ts")
+
+
+@register("q_zone_span", KEPT_SQL + f""",
+z AS (SELECT min("timestamp") AS min_ts, max("timestamp") AS max_ts, count(*) AS n_rows FROM kept),
+zz AS (SELECT *, CAST(date_diff('microsecond', min_ts, max_ts) AS DOUBLE) / 3.6e9 AS hours FROM z)
+SELECT min_ts, max_ts, n_rows, {R6('hours', 'span_hours')}, {R6(f'least(hours / {float(C.MIN_TRAINING_HOURS)} * 100, 100.0)', 'pct_ready')},
+  {R6(f'greatest({float(C.MIN_TRAINING_HOURS)} - hours, 0.0)', 'hours_missing')},
+  coalesce(hours >= {float(C.MIN_TRAINING_HOURS)}, false) AS ready FROM zz""")
+def q_zone_span(spark, sf_dir):
+    """The training gate from the zones, without a scan of rows."""
+    return present(SP.zone_span(keyindex.zones(spark, _delivered(spark, sf_dir))))
+
+
+@register("q_key_days", KEPT_SQL + """ SELECT CAST("timestamp" AS DATE) AS dt, count(*) AS n_keys FROM kept GROUP BY 1""")
+def q_key_days(spark, sf_dir):
+    """K1: keys that the index finds in every day: each delivered key is looked up, and is in one day."""
+    table = _delivered(spark, sf_dir)
+    keys = _sys_table(flat_batches(spark, sf_dir).drop("batch_seq")).select("_id").distinct()
+    n_bits = keyindex.bits(spark, table)
+    found = keyindex.entries(spark, table, n_bits, keyindex.buckets_of(keys, "_id", n_bits))
+    return (keys.select(keyindex.digest("_id").alias("h")).join(found, "h")
+            .groupBy("dt").agg(F.count(F.lit(1)).alias("n_keys")))
+
+
 NEWROWS_SQL = BATCHES + """,
 ex AS (SELECT DISTINCT _id FROM flatb WHERE batch_seq = 1 AND "timestamp" < TIMESTAMP '2024-01-15 00:00:00'),
 nw AS (SELECT DISTINCT _id FROM flatb WHERE batch_seq = 2 OR "timestamp" >= TIMESTAMP '2024-01-15 00:00:00')

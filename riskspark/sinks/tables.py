@@ -4,6 +4,8 @@ Bundled Parquet has no row-level MERGE, so a keyed upsert rewrites only the
 date partitions that hold a batch's dates or keys: read those partitions,
 merge latest-wins (one keyed aggregation), write to a staging folder, then
 dynamic-partition overwrite of the table.  A plan never reads and overwrites the same path.
+The partitions that hold a batch's keys come from the key index (``keyindex``), so that a
+batch reads the index buckets of its own keys and the days it changes, not the table.
 The staged merge goes when the table has it: if the overwrite ends midway, the next
 merge first puts the table right from it (a table has one writer).
 """
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from ..operators.merge import dedup_keep_last, upsert
+from . import keyindex as IX
 from .published import current, point, pointed, publish
 
 PART = "dt"
@@ -45,16 +48,17 @@ def read_table(spark: SparkSession, table: str, schema: StructType | None = None
 
 
 def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id",
-               ts_col: str = "timestamp", order: tuple[str, ...] = ()) -> None:
+               ts_col: str = "timestamp", order: tuple[str, ...] = (), left_behind: str | None = None) -> None:
     """K1: idempotent latest-wins upsert of ``new`` into the Parquet table at ``table``.
 
     A key has one row afterwards, also if its date has moved: the partitions
-    that hold keys of the batch are found by a semi-join on (key, date), and
+    that hold keys of the batch are looked up in the key index, and
     rewritten together with the dates of the batch.  Within a batch the row with
     the greatest ``order`` columns (which are not stored) wins; then the one with the
     latest ``ts_col``, then the one with the greater hash, so that no partitioning
     changes the result.  A batch without rows leaves the table as it is, or
-    makes an empty one.
+    makes an empty one.  A null key is a key.  ``left_behind``: a folder that gets the instants
+    (``ts_col``) which keys of the batch have left; before the table changes, so that a retry still has them.
     """
     rank = F.struct(*[F.col(c) for c in order], F.col(ts_col),
                     F.xxhash64(*[F.col(f"`{c}`") for c in new.columns]))
@@ -63,35 +67,62 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
     batch = batch.withColumn(PART, F.to_date(F.col(ts_col)))
     finish_pending(spark, table)
     staging = f"{_staging(table)}/{uuid.uuid4().hex}"
+    buckets: list[int] = []
     try:
         batch.write.parquet(f"{staging}/batch")
         batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
         # Lists of days: metadata, one value for each partition.
         days = {r[0] for r in batch.select(PART).distinct().collect()}
-        if not days and exists(spark, table):
+        there = exists(spark, table)
+        if not days and there:
             return
+        n_bits = IX.ensure(spark, table, key, ts_col, batch.schema) if there else IX.bits_for(batch.count())
+        buckets = IX.buckets_of(batch, key, n_bits)
         held: set = set()
-        merged = batch
-        if days and exists(spark, table):
-            old = read_table(spark, table, batch.schema)
-            held = {r[0] for r in old.select(key, PART).join(batch.select(key), key, "left_semi")
-                    .select(PART).distinct().collect()}
-            every = days | held
-            known = [d for d in every if d is not None]
-            touched = F.col(PART).isin(known) if known else F.lit(False)
-            if None in every:
-                touched = touched | F.col(PART).isNull()
-            merged = upsert(old.where(touched).select(*batch.columns), batch, key)
+        merged, known = batch, None
+        if there:
+            known = IX.entries(spark, table, n_bits, buckets)
+            mine = batch.select(IX.digest(key).alias("h"))
+            held = {r[0] for r in known.join(mine, "h", "left_semi").select(PART).distinct().collect()}
+            old = read_table(spark, table, batch.schema).where(_days(days | held)).select(*batch.columns)
+            merged = upsert(old, batch, key)
+            if left_behind and held:
+                _left(old, batch, key, ts_col).write.mode("append").parquet(left_behind)
         merged.write.partitionBy(PART).parquet(f"{staging}/merged")
         merged = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
-        left = {r[0] for r in merged.select(PART).distinct().collect()} if held else days
+        IX.stage(staging, merged, batch, known, key, ts_col, n_bits, buckets)
+        left = _day_folders(spark, f"{staging}/merged")
         # Days all of whose rows have moved to another date.  This is written last: with it the merge is whole.
-        spark.createDataFrame([(str(d) if d else None,) for d in held - left], "day string").write.parquet(f"{staging}/gone")
+        gone = {str(d) if d else None for d in held} - left
+        spark.createDataFrame([(d,) for d in gone], "day string").coalesce(1).write.parquet(f"{staging}/gone")
         _put(spark, table, staging, batch.schema)
     finally:
         if not _whole(spark, staging):
             _delete(spark, staging)
     _delete(spark, staging)
+    IX.grow(spark, table, buckets)
+
+
+def _days(days: set):
+    """Partitions of these days; None is that of rows without a date."""
+    known = [d for d in days if d is not None]
+    touched = F.col(PART).isin(known) if known else F.lit(False)
+    return touched | F.col(PART).isNull() if None in days else touched
+
+
+def _day_folders(spark: SparkSession, path: str) -> set[str | None]:
+    """The days that a written table has, from its folders' names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [e.getPath().getName().split("=")[1] for e in fs.listStatus(p) if e.isDirectory()]
+    return {None if n == "__HIVE_DEFAULT_PARTITION__" else n for n in names}
+
+
+def _left(old: DataFrame, batch: DataFrame, key: str, ts_col: str) -> DataFrame:
+    """Instants of stored rows whose key now has another one."""
+    now = batch.select(F.col(key).alias("__key"), F.col(ts_col).alias("__now"))
+    moved = old[key].eqNullSafe(now["__key"]) & ~old[ts_col].eqNullSafe(now["__now"])
+    return old.join(now, moved, "left_semi").select(ts_col).distinct()
 
 
 def _staging(table: str) -> str:
@@ -108,7 +139,17 @@ def _put(spark: SparkSession, table: str, staging: str, schema: StructType) -> N
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PART).parquet(table))
     for r in spark.read.schema("day string").parquet(f"{staging}/gone").collect():  # a few days
-        _delete(spark, f"{table}/{PART}={r['day'] or '__HIVE_DEFAULT_PARTITION__'}")
+        for folder in (table, f"{IX.base(table)}/zones"):
+            _delete(spark, f"{folder}/{PART}={r['day'] or '__HIVE_DEFAULT_PARTITION__'}")
+    if exists(spark, f"{staging}/index"):
+        IX.put(spark, table, staging, _staged_bits(spark, staging))
+
+
+def _staged_bits(spark: SparkSession, staging: str) -> int:
+    """The bits that a merge has staged its index buckets with (its one folder's name)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staging}/index")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.listStatus(p)[0].getPath().getName().split("=")[1])
 
 
 def finish_pending(spark: SparkSession, table: str) -> None:

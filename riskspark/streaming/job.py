@@ -102,6 +102,16 @@ def hst_before(spark: SparkSession, path: str, feats: DataFrame, keys: list[str]
     return rows.groupBy(*keys, "bucket").agg(said.alias("s")).select(*keys, "bucket", "s.*")
 
 
+def latest_features(spark: SparkSession, tables: str) -> DataFrame:
+    """The features of every bucket as the last batch that touched it left them.
+
+    A bucket that its last record has left has no row.
+    """
+    last = (spark.read.parquet(f"{tables}/touched_by_batch").where("bucket IS NOT NULL")
+            .groupBy("bucket").agg(F.max("batch_id").alias("batch_id")))
+    return spark.read.parquet(f"{tables}/features_by_batch").join(last, ["bucket", "batch_id"]).drop("batch_id")
+
+
 def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                bucket: str = C.BUCKET, available_now: bool = True,
                interval: str = "30 minutes", models: str | None = None, keys: list[str] | None = None,
@@ -126,9 +136,16 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
         write_batch(counts, f"{tables}/batch_quality", batch_id)
         for name, rows, schema in (("system_logs", system, schemas.SYSTEM_LOGS),
                                    ("llm_logs", llm, schemas.LLM_LOGS)):
-            merge_into(spark, f"{tables}/{name}", align_to(rows, schema, keep=POSITION), order=POSITION)
-        # Touched buckets, recomputed from the keyed tables (late rows included).
-        touched = batch.select(F.window("timestamp", bucket).start.alias("bucket")).distinct()
+            merge_into(spark, f"{tables}/{name}", align_to(rows, schema, keep=POSITION), order=POSITION,
+                       left_behind=f"{tables}/left_behind/batch={batch_id}")
+        # Touched buckets, recomputed from the keyed tables: those of the batch's records (late rows
+        # included), and those that a record sent again has left.
+        stamps = batch.select("timestamp")
+        if exists(spark, f"{tables}/left_behind/batch={batch_id}"):
+            stamps = stamps.unionByName(spark.read.schema("timestamp timestamp_ntz").parquet(
+                f"{tables}/left_behind/batch={batch_id}"))
+        touched = materialize(stamps.select(F.window("timestamp", bucket).start.alias("bucket")).distinct())
+        write_batch(touched, f"{tables}/touched_by_batch", batch_id)
         # Only the touched days are read, and only the touched buckets aggregated.
         last = touched.agg(F.max("bucket")).first()[0]
         if last is not None:

@@ -120,3 +120,23 @@ def test_keyed_cycle(spark, scratch):
     rec = res.records.toPandas()
     assert len(rec) > 0 and set(rec["sap_app_env"]) <= {"production", "staging", "dev"}
     assert rec["anomaly_id"].is_unique
+
+
+def test_a_record_sent_again_leaves_its_bucket(spark, scratch):
+    """The bucket that a moved record has left is computed again, and has no row once it is empty."""
+    import json
+    from riskspark.streaming.job import latest_features
+    landing, tables, cp = [os.path.join(scratch, d) for d in ("landing", "tables", "cp")]
+
+    def land(page, hours):
+        os.makedirs(os.path.join(landing, f"page={page}"))
+        rows = [{"_id": k, "@timestamp": f"2024-01-0{d}T{h:02d}:10:00Z", "sap_function_log_type": "ERROR"}
+                for k, (d, h) in hours.items()]
+        with open(os.path.join(landing, f"page={page}", "a.json"), "w") as f:
+            f.write(json.dumps({"data": rows}) + "\n")
+        run_ingest(spark, landing, tables, cp, bucket="1 hour").awaitTermination(600)
+
+    land(1, {"a": (1, 1), "b": (1, 1), "c": (2, 2)})
+    land(2, {"a": (1, 5), "c": (3, 5)})
+    got = {(r["bucket"].day, r["bucket"].hour): r["n_sys_requests"] for r in latest_features(spark, tables).collect()}
+    assert got == {(1, 1): 1.0, (1, 5): 1.0, (3, 5): 1.0}
