@@ -76,6 +76,43 @@ def _value_stats(df: DataFrame, group: list[str], dims: dict[str, Column],
     return stats
 
 
+def system_rates() -> dict[str, Column]:
+    """Shares of a bucket's (cleaned) system rows, by the feature's name."""
+    http, lt, method = F.col("http_status_code"), F.col("logtype"), F.col("headers_http_request_method")
+    return {
+        "error_rate": http >= 400,
+        "client_error_rate": (http >= 400) & (http < 500),
+        "server_error_rate": http >= 500,
+        "rate_limit_rate": http == 429,
+        "timeout_http_rate": http == 408,
+        "pct_error_logtype": lt == "ERROR",
+        "pct_warning_logtype": lt == "WARNING",
+        "pct_security_logtype": lt == "SECURITY",
+        "pct_audit_logtype": lt == "AUDIT",
+        "security_event_rate": F.col("is_security_event") == 1,
+        "pct_post": method == "POST",
+        "pct_delete": method == "DELETE",
+        "pct_low_score": F.col("_score") < C.LOW_SCORE_BELOW,
+        "pct_production": F.col("sap_app_env") == "production",
+    }
+
+
+def system_dims() -> dict[str, Column]:
+    """What the distinct counts, top shares and the entropy of system rows are taken of."""
+    return {"ip": F.col("sourceip"), "lt": F.col("logtype"), "method": F.col("headers_http_request_method"),
+            "svc": F.col("port_service"), "region": F.col("macro_region"), "env": F.col("sap_app_env")}
+
+
+def llm_rates() -> dict[str, Column]:
+    """Shares of a bucket's (cleaned) LLM rows."""
+    return {
+        "llm_error_rate": F.col("logtype") == "LLM_ERROR",
+        "llm_timeout_rate": F.col("logtype") == "LLM_TIMEOUT",
+        "pct_slow_llm": F.col("llm_response_time_ms") > C.SLOW_LLM_MS,
+        "pct_content_filter": F.col("llm_finish_reason") == "content_filter",
+    }
+
+
 def system_features(system: DataFrame, bucket: str = C.BUCKET,
                     keys: list[str] | None = None, clean: bool = True) -> DataFrame:
     """26 system features per (keys, bucket)."""
@@ -84,34 +121,15 @@ def system_features(system: DataFrame, bucket: str = C.BUCKET,
     df = df.withColumn("bucket", bucket_start(F.col("timestamp"), bucket)).where(
         F.col("bucket").isNotNull())
     group = [*keys, "bucket"]
-    http = F.col("http_status_code")
-    lt = F.col("logtype")
-    method = F.col("headers_http_request_method")
     n = F.count(F.lit(1))
     main = df.groupBy(*group).agg(
         n.cast("double").alias("n_sys_requests"),
-        _rate(http >= 400).alias("error_rate"),
-        _rate((http >= 400) & (http < 500)).alias("client_error_rate"),
-        _rate(http >= 500).alias("server_error_rate"),
-        _rate(http == 429).alias("rate_limit_rate"),
-        _rate(http == 408).alias("timeout_http_rate"),
-        _rate(lt == "ERROR").alias("pct_error_logtype"),
-        _rate(lt == "WARNING").alias("pct_warning_logtype"),
-        _rate(lt == "SECURITY").alias("pct_security_logtype"),
-        _rate(lt == "AUDIT").alias("pct_audit_logtype"),
-        _rate(F.col("is_security_event") == 1).alias("security_event_rate"),
+        *[_rate(c).alias(name) for name, c in system_rates().items()],
         F.sum("is_security_event").cast("double").alias("n_security_events"),
-        _rate(method == "POST").alias("pct_post"),
-        _rate(method == "DELETE").alias("pct_delete"),
         exact_avg(F.col("_score")).alias("avg_score"),
         F.min("_score").cast("double").alias("min_score"),
-        _rate(F.col("_score") < C.LOW_SCORE_BELOW).alias("pct_low_score"),
-        _rate(F.col("sap_app_env") == "production").alias("pct_production"),
     )
-    dims = {"ip": F.col("sourceip"), "lt": lt, "method": method,
-            "svc": F.col("port_service"), "region": F.col("macro_region"),
-            "env": F.col("sap_app_env")}
-    dstats = _value_stats(df, group, dims, ("method",))
+    dstats = _value_stats(df, group, system_dims(), ("method",))
     j = main.join(dstats, group, "left")
     nn = F.col("n_sys_requests")
     ent = F.when(F.col("nd_method") > 1, F.coalesce(F.col("ent_method"), F.lit(0.0))).otherwise(
@@ -145,22 +163,18 @@ def llm_features(llm: DataFrame, bucket: str = C.BUCKET, keys: list[str] | None
     df = df.withColumn("bucket", bucket_start(F.col("timestamp"), bucket)).where(
         F.col("bucket").isNotNull())
     group = [*keys, "bucket"]
-    lt = F.col("logtype")
     lat, cost, tok = F.col("llm_response_time_ms"), F.col("llm_cost_usd"), F.col("llm_total_tokens")
     zero = F.lit(0.0)
     aggs = [
         F.count(F.lit(1)).cast("double").alias("n_llm_requests"),
-        _rate(lt == "LLM_ERROR").alias("llm_error_rate"),
-        _rate(lt == "LLM_TIMEOUT").alias("llm_timeout_rate"),
+        *[_rate(c).alias(name) for name, c in llm_rates().items()],
         F.coalesce(exact_avg(lat, 6), zero).alias("avg_llm_latency"),
         F.coalesce(F.max(lat), zero).alias("max_llm_latency"),
-        _rate(lat > C.SLOW_LLM_MS).alias("pct_slow_llm"),
         F.coalesce(exact_avg(cost), zero).alias("avg_llm_cost"),
         F.coalesce(exact_sum(cost), zero).alias("total_llm_cost"),
         F.coalesce(F.max(cost), zero).alias("max_llm_cost"),
         F.coalesce(F.avg(tok), zero).alias("avg_tokens"),
         F.coalesce(F.max(tok), zero).alias("max_tokens"),
-        _rate(F.col("llm_finish_reason") == "content_filter").alias("pct_content_filter"),
         exact_avg(F.col("_score")).alias("avg_llm_score"),
     ]
     if not exact_p95:

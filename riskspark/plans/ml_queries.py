@@ -247,3 +247,26 @@ def q_stream_features(spark, sf_dir):
     q = run_ingest(spark, f"{base}/landing", f"{base}/tables", f"{base}/cp", bucket=B)
     q.awaitTermination()
     return present(latest_features(spark, f"{base}/tables").select("bucket", *C.FEATURE_COLS))
+
+
+@register("q_stream_windows", O.base_ctes(B) + """,
+line AS (SELECT max(ts) - INTERVAL 30 MINUTE AS wm FROM (
+  SELECT "timestamp" AS ts FROM sys UNION ALL SELECT "timestamp" FROM llm)) """ + O.select_rounded(
+    ["bucket", *C.FEATURE_COLS], set(C.FEATURE_COLS), "features",
+    "WHERE bucket + INTERVAL 1 HOUR <= (SELECT wm FROM line)"))
+def q_stream_windows(spark, sf_dir):
+    """All window features by chained stateful aggregations, of the buckets that the watermark has closed."""
+    import uuid
+    from ..session import shared_dir
+    from ..sinks.files import land_pages
+    from ..sources.fixture import raw_logs
+    from ..sources.pages import stream_pages
+    from ..streaming.windows import stream_features
+    base = shared_dir(spark, f"stream/{uuid.uuid4().hex}")
+    raw = raw_logs(spark, sf_dir).withColumnRenamed("event_ts", "@timestamp")
+    page = (F.floor(F.split("_id", "-").getItem(1).cast("bigint") / 100) + 1).cast("int")
+    land_pages(raw.withColumn("page", page), f"{base}/landing")
+    feats = stream_features(stream_pages(spark, f"{base}/landing"), B, "30 minutes")
+    (feats.writeStream.format("parquet").option("path", f"{base}/features").option("checkpointLocation", f"{base}/cp")
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return present(spark.read.parquet(f"{base}/features"))

@@ -8,9 +8,8 @@ landed pages (file stream) -> flatten -> foreachBatch {
 the checkpoint makes the file offsets and every batch replayable, and the
 keyed upserts make a replayed batch change nothing (X5).
 
-A pure streaming variant (X3) aggregates the count/rate/avg features in
-tumbling windows with a watermark; distinct counts, top shares, entropy and
-p95 need two chained aggregations and are recomputed per batch instead.
+A pure streaming variant of the features (X3), which drops rows after the
+watermark instead of computing their buckets again, is ``streaming.windows``.
 Half-space-tree state per (keys, tree) lives in ``applyInPandasWithState``
 (X6, X7).
 """
@@ -39,26 +38,6 @@ from ..sinks.tables import exists, merge_into, read_table, write_batch
 from ..sources.pages import POSITION, bad_documents, records_of, stream_documents
 
 
-def stream_volume_features(records: DataFrame, bucket: str = C.BUCKET,
-                           watermark: str = "30 minutes") -> DataFrame:
-    """Tumbling-window count/rate features of system logs, append mode after the watermark."""
-    flat = flatten(records, "@timestamp")
-    sysl = flag_security(split_by_type(flat)[0])
-    http = F.col("http_status_code")
-    n = F.count(F.lit(1))
-    # Watermarks need an instant type: UTC wall-clock (ntz) -> timestamp.
-    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("timestamp")).cast("timestamp")
-    return (sysl.withColumn("event_time", instant).withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", bucket).alias("w"))
-            .agg(n.cast("double").alias("n_sys_requests"),
-                 (F.count_if(http >= 400) / n).alias("error_rate"),
-                 (F.count_if(http == 429) / n).alias("rate_limit_rate"),
-                 (F.count_if(F.col("is_security_event")) / n).alias("security_event_rate"))
-            .select(F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                                       F.col("w.start").cast("timestamp_ntz")).alias("bucket"),
-                    "*").drop("w"))
-
-
 def pulse(spark: SparkSession, batch_id: int, status: str, last_window, table: str, started: float) -> None:
     """K9: the heartbeat of the pipeline, one row (S10, A24 read it)."""
     row = [(C.PIPELINE_ID, socket.gethostname(), int(batch_id), status, None if last_window is None else str(last_window),

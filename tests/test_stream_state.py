@@ -2,12 +2,13 @@
 also across a restart from the checkpoint (X6, X7); windowed features (X3); model tables (K13)."""
 import os
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from riskspark.operators import hst as HS
 from riskspark.plans.detect import z_chain
-from riskspark.streaming.job import hst_stateful, stream_volume_features
+from riskspark.streaming.job import hst_stateful
 
 
 def _run_hst_stream(spark, src, cp, out, schema):
@@ -40,20 +41,40 @@ def test_hst_stream_matches_batch_with_restart(spark, scratch):
     assert (abs(streamed["hst_score"].values - batch["hst_score"].values) < 1e-12).all()
 
 
-def test_windowed_volume_features(spark, scratch):
+def test_streamed_windows_equal_the_batch_matrix(spark, scratch):
+    """All features per key, of every bucket that the watermark has closed; a later row is dropped."""
+    import json
+    from riskspark import constants as C
+    from riskspark.operators.features import build_features
+    from riskspark.operators.prepare import prepared_logs
     from riskspark.sinks.files import land_pages
     from riskspark.sources.fixture import raw_logs
     from riskspark.sources.pages import stream_pages
+    from riskspark.streaming.windows import stream_features
     raw = raw_logs(spark, SF_SMALL).withColumnRenamed("event_ts", "@timestamp")
     page = (F.floor(F.split("_id", "-").getItem(1).cast("bigint") / 100) + 1).cast("int")
-    land_pages(raw.withColumn("page", page), os.path.join(scratch, "landing"))
-    feats = stream_volume_features(stream_pages(spark, os.path.join(scratch, "landing")), "1 hour",
-                                   watermark="0 seconds")
-    q = (feats.writeStream.format("memory").queryName("vol").outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(600)
-    got = spark.table("vol").count()
-    assert got > 0
+    landing, out, keys = os.path.join(scratch, "landing"), os.path.join(scratch, "out"), ["sap_app_env"]
+    land_pages(raw.withColumn("page", page), landing)
+
+    def run():
+        feats = stream_features(stream_pages(spark, landing), "6 hours", "30 minutes", keys)
+        (feats.writeStream.format("parquet").option("path", out).option("checkpointLocation", os.path.join(scratch, "cp"))
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination(600))
+        return spark.read.parquet(out).toPandas().sort_values([*keys, "bucket"]).reset_index(drop=True)
+
+    first = run()
+    os.makedirs(os.path.join(landing, "page=9999"))
+    row = {"sap_function_log_type": "ERROR", "sap_app_env": "dev"}
+    with open(os.path.join(landing, "page=9999", "late.json"), "w") as f:
+        f.write(json.dumps({"data": [{**row, "_id": "late", "@timestamp": "2024-01-01T00:10:00Z"},
+                                     {**row, "_id": "end", "@timestamp": "2024-03-01T00:00:00Z"}]}) + "\n")
+    got = run()
+    want = build_features(*prepared_logs(raw, "@timestamp"), "6 hours", keys).toPandas()
+    want = want.sort_values([*keys, "bucket"]).reset_index(drop=True)
+    assert 0 < len(first) < len(got) == len(want) > 100
+    assert (got[[*keys, "bucket"]] == want[[*keys, "bucket"]]).all().all()
+    for c in C.FEATURE_COLS:
+        assert np.allclose(got[c], want[c], rtol=1e-9, atol=1e-9), c
 
 
 def test_model_tables_roundtrip(spark, scratch):
