@@ -1,7 +1,7 @@
 """Baseline statistics, scaling and z-score explanation."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -43,9 +43,21 @@ def baseline(features: DataFrame, keys: list[str] | None = None,
     )
 
 
-def _small(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Baseline-sized sides: a fixed 43 rows per key; broadcast when unkeyed."""
-    return F.broadcast(df) if not keys else df
+def with_baseline(features: DataFrame, base: DataFrame, keys: list[str],
+                  cols: list[str] = C.FEATURE_COLS) -> DataFrame:
+    """(keys, bucket, x, b): a bucket's values in feature order (null -> 0), and its key's baseline as an
+    array of (feature_ord, feature, mean, std, std_pop), at most one a feature.
+
+    A bucket stays one row: the baseline is a scalar where there are no keys, and else joined by them.
+    """
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]).alias("x")
+    rows = features.select(*keys, "bucket", x)
+    stat = F.struct(feature_ord(F.col("feature"), cols).alias("feature_ord"), "feature", "mean", "std", "std_pop")
+    packed = (base.where(F.col("feature").isin(cols)).groupBy(*keys)
+              .agg(F.sort_array(F.collect_list(stat)).alias("b")))
+    if keys:
+        return rows.join(packed, keys)
+    return rows.withColumn("b", packed.scalar()).where(F.size("b") > 0)
 
 
 def train_stats(base: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -63,11 +75,14 @@ def scaled(features: DataFrame, base: DataFrame, keys: list[str] | None = None,
            cols: list[str] = C.FEATURE_COLS) -> DataFrame:
     """M1: (x - mean) / population std (zero std -> 1), long form."""
     keys = list(keys or [])
-    long = unpivot_features(features, keys, cols)
-    b = base.select(*keys, "feature", "mean", "std_pop")
-    j = long.join(_small(b, keys), [*keys, "feature"])
-    sd = F.when(F.coalesce(F.col("std_pop"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col("std_pop"))
-    return j.select(*keys, "bucket", "feature", ((F.col("value") - F.col("mean")) / sd).alias("x"))
+    parts = F.transform("b", lambda e: F.struct(e["feature"].alias("feature"), _scale(F.col("x"), e).alias("x")))
+    return (with_baseline(features, base, keys, cols).select(*keys, "bucket", F.explode(parts).alias("e"))
+            .select(*keys, "bucket", "e.*"))
+
+
+def _scale(x: Column, stat: Column) -> Column:
+    sd = F.when(F.coalesce(stat["std_pop"], F.lit(0.0)) == 0, F.lit(1.0)).otherwise(stat["std_pop"])
+    return (F.get(x, stat["feature_ord"]) - stat["mean"]) / sd
 
 
 def feature_vector(features: DataFrame, base: DataFrame | None = None,
@@ -77,54 +92,57 @@ def feature_vector(features: DataFrame, base: DataFrame | None = None,
     if base is None:
         return features.select(*keys, "bucket", F.array(*[
             F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]).alias("x"))
-    sc = scaled(features, base, keys, cols).withColumn("ord", feature_ord(F.col("feature"), cols))
-    v = sc.groupBy(*keys, "bucket").agg(F.sort_array(F.collect_list(F.struct("ord", "x"))).alias("v"))
-    return v.select(*keys, "bucket", F.transform("v", lambda e: e["x"]).alias("x"))
+    return with_baseline(features, base, keys, cols).select(
+        *keys, "bucket", F.transform("b", lambda e: _scale(F.col("x"), e)).alias("x"))
 
 
-def zscores(features: DataFrame, base: DataFrame, keys: list[str] | None = None,
-            cols: list[str] = C.FEATURE_COLS) -> DataFrame:
-    """J7 + P15 + P16: every feature of every bucket against its baseline.
+def zscore_arrays(features: DataFrame, base: DataFrame, keys: list[str] | None = None,
+                  cols: list[str] = C.FEATURE_COLS) -> DataFrame:
+    """J7 + P15 + P16: every feature of every bucket against its baseline: (keys, bucket, z).
 
-    Output: keys, bucket, feature, feature_ord, label, value (4 dp), baseline
-    (4 dp), z_raw, z_score (2 dp, half-even), direction.  z is null when the
-    baseline has one bucket (sample std undefined).
+    ``z`` has a struct for each feature, in their order: feature, feature_ord, label,
+    value (4 dp), baseline (4 dp), z_raw, z_score (2 dp, half-even), direction.  z is
+    null when the baseline has one bucket (sample std undefined).
     """
     keys = list(keys or [])
-    long = unpivot_features(features, keys, cols)
-    b = base.select(*keys, "feature", "mean", "std")
-    j = long.join(_small(b, keys), [*keys, "feature"])
-    z = (F.col("value") - F.col("mean")) / F.col("std")
-    return j.select(
-        *keys, "bucket", "feature", feature_ord(F.col("feature"), cols).alias("feature_ord"),
-        feature_label(F.col("feature")).alias("label"),
-        half_even(F.col("value"), 4).alias("value"), half_even(F.col("mean"), 4).alias("baseline"),
-        z.alias("z_raw"), half_even(z, 2).alias("z_score"),
-        F.when(z > 0, F.lit(C.DIRECTION_UP)).otherwise(F.lit(C.DIRECTION_DOWN)).alias("direction"),
-    )
+
+    def against(e: Column) -> Column:
+        value = F.get(F.col("x"), e["feature_ord"])
+        z = (value - e["mean"]) / e["std"]
+        return F.struct(
+            e["feature"].alias("feature"), e["feature_ord"].alias("feature_ord"),
+            feature_label(e["feature"]).alias("label"),
+            half_even(value, 4).alias("value"), half_even(e["mean"], 4).alias("baseline"),
+            z.alias("z_raw"), half_even(z, 2).alias("z_score"),
+            F.when(z > 0, F.lit(C.DIRECTION_UP)).otherwise(F.lit(C.DIRECTION_DOWN)).alias("direction"))
+
+    return with_baseline(features, base, keys, cols).select(*keys, "bucket", F.transform("b", against).alias("z"))
+
+
+def zscores(arrays: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The same as a row for each bucket and feature."""
+    return arrays.select(*(keys or []), "bucket", F.explode("z").alias("e")).select(*(keys or []), "bucket", "e.*")
 
 
 DEVIATION_FIELDS = ["feature", "label", "value", "baseline", "z_score", "direction"]
 
 
-def top_deviations(z: DataFrame, keys: list[str] | None = None, top_n: int = C.TOP_DEVIATIONS
+def top_deviations(arrays: DataFrame, keys: list[str] | None = None, top_n: int = C.TOP_DEVIATIONS
                    ) -> DataFrame:
     """M6 + W4: the top-n deviations per bucket by |rounded z|, ties in feature order.
 
-    The window holds one bucket's 43 feature rows, so every group is bounded.
+    A sort within each bucket's array of features: no shuffle.  Buckets without any z are left out.
     Output: keys, bucket, top_deviations array<struct> (rank order).
     """
-    keys = list(keys or [])
-    w = Window.partitionBy(*keys, "bucket").orderBy(F.abs("z_score").desc(), F.col("feature_ord"))
-    ranked = (z.where(F.col("z_score").isNotNull())
-              .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n))
-    agg = ranked.groupBy(*keys, "bucket").agg(F.sort_array(F.collect_list(
-        F.struct("rank", *DEVIATION_FIELDS))).alias("devs"))
-    return agg.select(*keys, "bucket", F.transform("devs", lambda d: F.struct(
-        *[d[f].alias(f) for f in DEVIATION_FIELDS])).alias("top_deviations"))
+    scored = F.filter("z", lambda e: e["z_score"].isNotNull())
+    order = F.sort_array(F.transform(scored, lambda e: F.struct(
+        F.abs(e["z_score"]).alias("a"), (-e["feature_ord"]).alias("o"), e.alias("e"))), asc=False)
+    devs = F.transform(F.slice(order, 1, top_n), lambda s: F.struct(
+        *[s["e"][f].alias(f) for f in DEVIATION_FIELDS])).alias("top_deviations")
+    return arrays.select(*(keys or []), "bucket", devs).where(F.size("top_deviations") > 0)
 
 
-def z_detector(z: DataFrame, keys: list[str] | None = None, threshold: float = 5.0
+def z_detector(arrays: DataFrame, keys: list[str] | None = None, threshold: float = 5.0
                ) -> DataFrame:
     """Deterministic statistical detector: max |z| over features above a threshold.
 
@@ -132,7 +150,8 @@ def z_detector(z: DataFrame, keys: list[str] | None = None, threshold: float = 5
     in (-1, 0], lower is more anomalous (the same orientation as the forest).
     """
     keys = list(keys or [])
-    m = z.groupBy(*keys, "bucket").agg(F.max(F.abs(F.round("z_raw", 6))).alias("max_abs_z"))
+    top = F.array_max(F.transform("z", lambda e: F.abs(F.round(e["z_raw"], 6))))
+    m = arrays.select(*keys, "bucket", top.alias("max_abs_z"))
     mz = F.coalesce(F.col("max_abs_z"), F.lit(0.0))
     return m.select(*keys, "bucket", mz.alias("max_abs_z"),
                     (-mz / (mz + F.lit(float(threshold)))).alias("anomaly_score"),

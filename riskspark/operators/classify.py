@@ -46,12 +46,12 @@ def multi_bucket_runs(flagged: DataFrame, keys: list[str] | None = None,
 def join_per_key(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
     """Attach a one-row-per-key table (train statistics, totals).
 
-    Keyed: equi-join on the keys with the per-key side broadcast (one row per
-    key).  Unkeyed: the single row is a scalar subquery (evaluated once),
+    Keyed: equi-join on the keys (one row per key, whose number has no bound,
+    so Spark chooses by its size).  Unkeyed: the single row is a scalar subquery (evaluated once),
     so no join at all.
     """
     if keys:
-        return df.join(F.broadcast(per_key), keys, "left")
+        return df.join(per_key, keys, "left")
     cols = [c for c in per_key.columns if c not in df.columns]
     one = per_key.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__s")).scalar()
     return df.withColumn("__s", one).select("*", *[F.col(f"__s.`{c}`").alias(c) for c in cols]) \

@@ -99,7 +99,7 @@ def judge(features: DataFrame, system: DataFrame, llm: DataFrame, model: Model,
     conf = combine_flags(pred.select(*k, (F.col("prediction") == -1).alias("flag")),
                          hst.select(*k, (F.col("hst_flag") & F.col("warm")).alias("flag")), keys)
     flagged = pred.where(F.col("prediction") == -1).select(*k, "anomaly_score")
-    top = BL.top_deviations(BL.zscores(features, model.base, keys), keys)
+    top = BL.top_deviations(BL.zscore_arrays(features, model.base, keys), keys)
     anoms = CL.classify(flagged, features, top, BL.train_stats(model.base, keys), CL.rules_frame(spark),
                         keys, run_gap_minutes(bucket))
     records = build_records(anoms, features, clean_system(system, bucket), clean_llm(llm, bucket), keys, bucket,

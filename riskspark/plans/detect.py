@@ -65,9 +65,9 @@ def z_chain(spark: SparkSession, sf_dir: str, bucket: str = QUERY_BUCKET,
         system, llm = logs(spark, sf_dir)
         features = materialize(build_features(system, llm, bucket, keys))
     base = materialize(BL.baseline(features, keys))
-    z = BL.zscores(features, base, keys)
-    top = materialize(BL.top_deviations(z, keys))
-    det = materialize(BL.z_detector(z, keys, threshold))
+    arrays = materialize(BL.zscore_arrays(features, base, keys))
+    top, det = BL.top_deviations(arrays, keys), BL.z_detector(arrays, keys, threshold)
+    z = BL.zscores(arrays, keys)
     stats = BL.train_stats(base, keys)
     return Chain(features, base, z, top, det, stats, CL.rules_frame(spark), keys, bucket)
 
