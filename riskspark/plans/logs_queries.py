@@ -313,12 +313,11 @@ SELECT page, CASE WHEN bad THEN 0 ELSE n END AS n_records, CASE WHEN bad THEN 1
 @register("q_bad_pages", BAD_SQL)
 def q_bad_pages(spark, sf_dir):
     """Records and malformed documents of every landed page; every seventh page was cut off in transit."""
-    from ..sources.pages import bad_pages, read_pages
+    from ..sources.pages import bad_pages, page_texts, read_pages
     base = _land(spark, sf_dir)
-    text = spark.read.text(f"{base}/pages")
     cut = F.expr("substring(value, 1, length(value) - 3)")
-    (text.select("page", F.when(F.col("page") % 7 == 3, cut).otherwise(F.col("value")).alias("value"))
-     .write.partitionBy("page").text(f"{base}/cut"))
+    (page_texts(spark, f"{base}/pages")
+     .select(F.when(F.col("page") % 7 == 3, cut).otherwise(F.col("value")).alias("value")).write.text(f"{base}/cut"))
     good = read_pages(spark, f"{base}/cut", strict=False).select("page", F.lit(1).alias("n_records"), F.lit(0).alias("n_bad"))
     bad = bad_pages(spark, f"{base}/cut").select("page", F.lit(0).alias("n_records"), F.lit(1).alias("n_bad"))
     return good.unionByName(bad).groupBy("page").agg(F.sum("n_records").alias("n_records"), F.sum("n_bad").alias("n_bad"))

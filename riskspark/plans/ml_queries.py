@@ -157,6 +157,7 @@ def q_stream_anomalies(spark, sf_dir):
     import uuid
     from ..session import shared_dir
     from ..sources.fixture import FIXED_NOW
+    from ..sources.pages import page_texts
     from ..streaming.job import run_ingest
     from .cycle import detect_cycle
     base = shared_dir(spark, f"stream/{uuid.uuid4().hex}")
@@ -166,8 +167,8 @@ def q_stream_anomalies(spark, sf_dir):
     landed(spark, sf_dir, f"{base}/landing")
     for again in (False, True):
         if again:
-            (spark.read.text(f"{base}/landing/page=1").coalesce(1).write.mode("append")
-             .text(f"{base}/landing/page=1"))
+            (page_texts(spark, f"{base}/landing").where("page = 1").select("value").coalesce(1)
+             .write.mode("append").text(f"{base}/landing"))
         run_ingest(spark, f"{base}/landing", f"{base}/tables", f"{base}/cp", bucket=B,
                    models=f"{base}/models").awaitTermination()
     return present(_record_columns(spark.read.parquet(f"{base}/tables/anomalies")))

@@ -37,16 +37,17 @@ def export_splits(records: DataFrame, base: str, stamp: str) -> dict:
 
 
 def land_pages(records: DataFrame, path: str, page_col: str = "page") -> None:
-    """Write records as paged feed documents ``{"data": [...]}``, one per page.
+    """Write records as paged feed documents ``{"page": N, "data": [...]}``, one to a line.
 
     Pages are bounded (page size is fixed by the producer), so collecting one
-    page's records into an array is bounded too.  Timestamps are written as
+    page's records into an array is bounded too.  Files hold the pages of a task: their
+    number does not grow with that of pages.  Timestamps are written as
     ISO text with a ``Z`` suffix, the way the feed delivers them.
     """
     fields = [c for c in records.columns if c != page_col]
     conv = [F.date_format(F.col(c), TS_FORMAT + "'Z'").alias(c)
             if records.schema[c].dataType.simpleString().startswith("timestamp")
             else F.col(f"`{c}`") for c in fields]
-    pages = (records.select(F.col(page_col), F.struct(*conv).alias("r"))
-             .groupBy(page_col).agg(F.collect_list("r").alias("data")))
-    pages.write.mode("overwrite").partitionBy(page_col).json(path)
+    pages = (records.select(F.col(page_col).alias("page"), F.struct(*conv).alias("r"))
+             .groupBy("page").agg(F.collect_list("r").alias("data")))
+    pages.write.mode("overwrite").json(path)
