@@ -98,6 +98,20 @@ def ensure(spark: SparkSession, table: str, key: str, ts_col: str, schema: Struc
     return n_bits
 
 
+def _fresh(merged: DataFrame, batch: DataFrame, known: DataFrame, key: str, n_bits: int, buckets: list[int]) -> DataFrame:
+    """The entries of the batch's buckets as they will be."""
+    def part(rows: DataFrame, src: int) -> DataFrame:
+        return rows.select("h", "dt", F.lit(src).alias("src"))
+
+    h = digest(key).alias("h")
+    every = part(batch.select(h, "dt"), 0).unionByName(part(merged.select(h, "dt"), 1)).unionByName(part(known, 2))
+    # A day may be null: structs are never null, so that a set keeps it.
+    days = [F.collect_set(F.when(F.col("src") == k, F.struct("dt"))) for k in (1, 2)]
+    return (every.withColumn("bucket", _bucket(n_bits)).where(F.col("bucket").isin(buckets)).repartition("bucket")
+            .groupBy("bucket", "h").agg(F.when(F.min("src") == 0, days[0]).otherwise(days[1]).alias("days"))
+            .select("h", F.explode("days").alias("d"), "bucket").select("h", "d.dt", "bucket"))
+
+
 def stage(staging: str, merged: DataFrame, batch: DataFrame, known: DataFrame | None, key: str,
           ts_col: str, n_bits: int, buckets: list[int]) -> None:
     """Write the new contents of the batch's buckets and of the merged days' zones.
@@ -106,23 +120,14 @@ def stage(staging: str, merged: DataFrame, batch: DataFrame, known: DataFrame |
     ``known``: the entries that these buckets have now; those of the batch's keys go.
     One shuffle by bucket, which is bounded in size, serves the grouping and the write.
     """
-    def part(rows: DataFrame, src: int) -> DataFrame:
-        return rows.select("h", "dt", F.lit(src).alias("src"))
-
-    h = digest(key).alias("h")
-    every = part(batch.select(h, "dt"), 0).unionByName(part(merged.select(h, "dt"), 1))
-    if known is not None:
-        every = every.unionByName(part(known, 2))
-    # A day may be null: structs are never null, so that a set keeps it.
-    days = [F.collect_set(F.when(F.col("src") == k, F.struct("dt"))) for k in (1, 2)]
-    fresh = (every.withColumn("bucket", _bucket(n_bits)).where(F.col("bucket").isin(buckets)).repartition("bucket")
-             .groupBy("bucket", "h").agg(F.when(F.min("src") == 0, days[0]).otherwise(days[1]).alias("days"))
-             .select("h", F.explode("days").alias("d"), "bucket").select("h", "d.dt", "bucket"))
-    fresh.write.partitionBy("bucket").parquet(f"{staging}/index/bits={n_bits}")
+    if known is None:   # (the first batch: what is merged is what the batch has)
+        _write_entries(of_rows(merged, key), n_bits, f"{staging}/index/bits={n_bits}")
+    else:
+        _fresh(merged, batch, known, key, n_bits, buckets).write.partitionBy("bucket").parquet(f"{staging}/index/bits={n_bits}")
     zones_of(merged, ts_col).coalesce(1).write.partitionBy("dt").parquet(f"{staging}/zones")
 
 
-def _replace(spark: SparkSession, staged: str, into: str) -> None:
+def replace(spark: SparkSession, staged: str, into: str) -> None:
     """Move the partitions of a staged folder over those of another; again, it moves what is left."""
     src, fs = _fs(spark, staged)
     dst, _ = _fs(spark, into)
@@ -138,8 +143,8 @@ def _replace(spark: SparkSession, staged: str, into: str) -> None:
 
 def put(spark: SparkSession, table: str, staging: str, n_bits: int) -> None:
     """Replace the staged buckets and zones; again, it changes nothing."""
-    _replace(spark, f"{staging}/index/bits={n_bits}", f"{base(table)}/bits={n_bits}")
-    _replace(spark, f"{staging}/zones", f"{base(table)}/zones")
+    replace(spark, f"{staging}/index/bits={n_bits}", f"{base(table)}/bits={n_bits}")
+    replace(spark, f"{staging}/zones", f"{base(table)}/zones")
     if bits(spark, table) is None:
         point(spark, base(table), f"bits={n_bits}")
 

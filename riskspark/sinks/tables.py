@@ -2,11 +2,11 @@
 
 Bundled Parquet has no row-level MERGE, so a keyed upsert rewrites only the
 date partitions that hold a batch's dates or keys: read those partitions,
-merge latest-wins (one keyed aggregation), write to a staging folder, then
-dynamic-partition overwrite of the table.  A plan never reads and overwrites the same path.
+merge latest-wins (one keyed aggregation), write to a staging folder by day, then
+move its days over the table's: a row is written once.  A plan never reads and overwrites the same path.
 The partitions that hold a batch's keys come from the key index (``keyindex``), so that a
 batch reads the index buckets of its own keys and the days it changes, not the table.
-The staged merge goes when the table has it: if the overwrite ends midway, the next
+The staged merge goes when the table has it: if the move ends midway, the next
 merge first puts the table right from it (a table has one writer).
 """
 from __future__ import annotations
@@ -69,11 +69,16 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
     staging = f"{_staging(table)}/{uuid.uuid4().hex}"
     buckets: list[int] = []
     try:
-        batch.write.parquet(f"{staging}/batch")
-        batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
+        there = exists(spark, table)
+        # The first batch of a table is the table: it is staged by day at once, and not written again.
+        if there:
+            batch.write.parquet(f"{staging}/batch")
+            batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
+        else:
+            _by_day(batch).write.partitionBy(PART).parquet(f"{staging}/merged")
+            batch = spark.read.schema(batch.schema).parquet(f"{staging}/merged").select(*batch.columns)
         # Lists of days: metadata, one value for each partition.
         days = {r[0] for r in batch.select(PART).distinct().collect()}
-        there = exists(spark, table)
         if not days and there:
             return
         n_bits = IX.ensure(spark, table, key, ts_col, batch.schema) if there else IX.bits_for(batch.count())
@@ -88,14 +93,14 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
             merged = upsert(old, batch, key)
             if left_behind and held:
                 _left(old, batch, key, ts_col).write.mode("append").parquet(left_behind)
-        merged.write.partitionBy(PART).parquet(f"{staging}/merged")
-        merged = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
+            _by_day(merged).write.partitionBy(PART).parquet(f"{staging}/merged")
+            merged = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
         IX.stage(staging, merged, batch, known, key, ts_col, n_bits, buckets)
         left = _day_folders(spark, f"{staging}/merged")
         # Days all of whose rows have moved to another date.  This is written last: with it the merge is whole.
         gone = {str(d) if d else None for d in held} - left
         spark.createDataFrame([(d,) for d in gone], "day string").coalesce(1).write.parquet(f"{staging}/gone")
-        _put(spark, table, staging, batch.schema)
+        _put(spark, table, staging)
     finally:
         if not _whole(spark, staging):
             _delete(spark, staging)
@@ -103,6 +108,11 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
     IX.grow(spark, table, buckets)
 
 
+def _by_day(rows: DataFrame) -> DataFrame:
+    """Rows of a day in few tasks (a large day's in more), so that not every task writes a file for every day."""
+    return rows.hint("rebalance", PART)
+
+
 def _days(days: set):
     """Partitions of these days; None is that of rows without a date."""
     known = [d for d in days if d is not None]
@@ -133,14 +143,13 @@ def _whole(spark: SparkSession, staging: str) -> bool:
     return exists(spark, f"{staging}/gone/_SUCCESS")
 
 
-def _put(spark: SparkSession, table: str, staging: str, schema: StructType) -> None:
-    """Overwrite the table's days with the staged merge; again, it changes nothing."""
-    merged = spark.read.schema(schema).parquet(f"{staging}/merged")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PART).parquet(table))
+def _put(spark: SparkSession, table: str, staging: str) -> None:
+    """Replace the table's days by the staged merge's; again, it replaces what is left."""
+    IX.replace(spark, f"{staging}/merged", table)
     for r in spark.read.schema("day string").parquet(f"{staging}/gone").collect():  # a few days
         for folder in (table, f"{IX.base(table)}/zones"):
             _delete(spark, f"{folder}/{PART}={r['day'] or '__HIVE_DEFAULT_PARTITION__'}")
+    spark.catalog.refreshByPath(table)
     if exists(spark, f"{staging}/index"):
         IX.put(spark, table, staging, _staged_bits(spark, staging))
 
@@ -162,7 +171,7 @@ def finish_pending(spark: SparkSession, table: str) -> None:
     for entry in fs.listStatus(p):  # one, if any
         staging = f"{base}/{entry.getPath().getName()}"
         if _whole(spark, staging):
-            _put(spark, table, staging, spark.read.parquet(f"{staging}/batch").schema)
+            _put(spark, table, staging)
         _delete(spark, staging)
 
 

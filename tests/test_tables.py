@@ -91,3 +91,26 @@ def test_a_merge_that_ends_midway_is_finished_by_the_next(spark, tmp_path, monke
             merge_into(spark, t, batch(spark, ("a", 4, 9)))
     assert not os.listdir(t + "_staging")
     assert held(spark, t) == [("a", 3, 2, 3), ("b", 2, 1, 2), ("c", 5, 1, 5)]
+
+
+def test_a_merged_row_is_written_once(spark, tmp_path, monkeypatch):
+    """K1: what is staged is moved into the table, and the first batch is staged as the table it makes."""
+    from riskspark.sinks import tables as ST
+    t, staged, put = str(tmp_path / "t"), [], ST._put
+
+    def names(path):
+        return {os.path.relpath(f"{d}/{f}", path) for d, _, found in os.walk(path) for f in found if f.endswith(".parquet")}
+
+    def seen(spark, table, staging, *more):
+        staged.append((names(f"{staging}/merged"), os.path.isdir(f"{staging}/batch")))
+        put(spark, table, staging, *more)
+
+    monkeypatch.setattr(ST, "_put", seen)
+    merge_into(spark, t, batch(spark, ("a", 1, 1), ("b", 2, 1), ("c", 3, 1)))
+    assert staged[-1] == (names(t), False) and len(names(t)) == 3
+    cached = spark.read.parquet(t).persist()
+    assert cached.count() == 3
+    merge_into(spark, t, batch(spark, ("a", 2, 2), ("d", 4, 1)))
+    assert staged[-1][1] and staged[-1][0] <= names(t)
+    assert held(spark, t) == [("a", 2, 2, 2), ("b", 2, 1, 2), ("c", 3, 1, 3), ("d", 4, 1, 4)]  # (not what was cached)
+    cached.unpersist()
