@@ -48,6 +48,8 @@ def land_pages(records: DataFrame, path: str, page_col: str = "page") -> None:
     conv = [F.date_format(F.col(c), TS_FORMAT + "'Z'").alias(c)
             if records.schema[c].dataType.simpleString().startswith("timestamp")
             else F.col(f"`{c}`") for c in fields]
-    pages = (records.select(F.col(page_col).alias("page"), F.struct(*conv).alias("r"))
+    # Dealt by page first: a partial aggregate would sort every row and merge none, and one stage that derives records
+    # and also makes documents of them is a method too long for the JVM to compile.
+    pages = (records.repartition(page_col).select(F.col(page_col).alias("page"), F.struct(*conv).alias("r"))
              .groupBy("page").agg(F.collect_list("r").alias("data")))
     pages.write.mode("overwrite").json(path)

@@ -107,9 +107,10 @@ def stream_documents(spark: SparkSession, path: str, max_files_per_trigger: int
     if archive_dir:
         rs = rs.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     page = F.coalesce(_folder(), "page", _number(CORRUPT)).cast("long")
-    return rs.json(path).select(
-        page.alias(POSITION[0]), F.col("_metadata.file_name").alias(FILE), CORRUPT,
-        F.posexplode_outer("data").alias(POSITION[1], "r")).select(POSITION[0], FILE, CORRUPT, POSITION[1], "r.*")
+    # The page number is found before the records are unfolded: once a document, not once a record.
+    pages = rs.json(path).select(page.alias(POSITION[0]), F.col("_metadata.file_name").alias(FILE), CORRUPT, "data")
+    return pages.select(POSITION[0], FILE, CORRUPT, F.posexplode_outer("data").alias(POSITION[1], "r")).select(
+        POSITION[0], FILE, CORRUPT, POSITION[1], "r.*")
 
 
 def records_of(documents: DataFrame) -> DataFrame:

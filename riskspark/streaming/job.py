@@ -29,13 +29,13 @@ from .. import constants as C
 from ..operators import hst as HS
 from ..operators.features import build_features
 from ..operators.prepare import flag_security, flatten, split_by_type
-from ..operators.util import materialize
+from ..operators.util import broadcast_if_small, materialize
 from .. import schemas
 from ..schemas import align_to
 from ..plans.cycle import judge, load_model, publish_alerts
 from ..sinks.published import history, publish
 from ..sinks.tables import exists, merge_into, read_table, write_batch
-from ..sources.pages import POSITION, bad_documents, records_of, stream_documents
+from ..sources.pages import CORRUPT, FILE, POSITION, bad_documents, records_of, stream_documents
 
 
 def pulse(spark: SparkSession, batch_id: int, status: str, last_window, table: str, started: float) -> None:
@@ -102,12 +102,13 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
     page files go once their batch is committed.
     """
     keys, started = list(keys or []), time.time()
-    documents = stream_documents(spark, landing, max_files_per_trigger, archive_dir)
+    # Flattened on the stream, so that a batch keeps each row once, as the tables take it.
+    documents = flatten(stream_documents(spark, landing, max_files_per_trigger, archive_dir), "@timestamp",
+                        keep=(*POSITION, FILE, CORRUPT))
 
-    def per_batch(pages: DataFrame, batch_id: int) -> None:
-        pages = pages.persist()
-        batch = flatten(records_of(pages), "@timestamp", keep=POSITION).persist()
-        bad = bad_documents(pages)
+    def per_batch(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()
+        batch, bad = records_of(rows), bad_documents(rows)
         write_batch(bad, f"{tables}/bad_pages", batch_id)
         system, llm = split_by_type(batch)
         system = flag_security(system)
@@ -125,17 +126,19 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                 f"{tables}/left_behind/batch={batch_id}"))
         touched = materialize(stamps.select(F.window("timestamp", bucket).start.alias("bucket")).distinct())
         write_batch(touched, f"{tables}/touched_by_batch", batch_id)
-        # Only the touched days are read, and only the touched buckets aggregated.
+        # Only the touched days are read, and only the touched buckets aggregated (their list is sent to
+        # the rows where it is short: rows are not dealt by bucket).
         last = touched.agg(F.max("bucket")).first()[0]
         if last is not None:
             days = [r[0] for r in touched.where("bucket IS NOT NULL").select(F.explode(F.sequence(
                 F.to_date("bucket"), F.to_date(F.col("bucket") + F.expr(f"INTERVAL {bucket}"))))
                 .alias("dt")).distinct().collect()]
+            wanted = broadcast_if_small(touched.withColumnRenamed("bucket", "__bucket"))
 
             def again(name: str, schema) -> DataFrame:
                 rows = read_table(spark, f"{tables}/{name}", schema).where(F.col("dt").isin(days))
                 return (rows.withColumn("__bucket", F.window("timestamp", bucket).start)
-                        .join(touched.withColumnRenamed("bucket", "__bucket"), "__bucket", "left_semi")
+                        .join(wanted, "__bucket", "left_semi")
                         .drop("__bucket", "dt"))
 
             system, llm = again("system_logs", schemas.SYSTEM_LOGS), again("llm_logs", schemas.LLM_LOGS)
@@ -153,8 +156,7 @@ def run_ingest(spark: SparkSession, landing: str, tables: str, checkpoint: str,
                 publish(spark, state, {"hst_state": judged.hst_state, "batch": spark.createDataFrame(
                     [(batch_id,)], "batch_id long")})
         pulse(spark, batch_id, "OK", last, f"{tables}/heartbeat", started)
-        batch.unpersist()
-        pages.unpersist()
+        rows.unpersist()
 
     w = documents.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
