@@ -99,10 +99,16 @@ def land_tables(spark, sf_dir, bucket_dir: str):
     from .. import schemas
     from ..schemas import align_to
     from ..sinks.tables import merge_into
-    from .common import logs
-    system, llm = logs(spark, sf_dir)
+    from ..operators.prepare import prepared_logs
+    from ..sources.fixture import raw_logs
+    from .common import TS_FIELD
+    # Both tables take the kept raw logs: derived and flattened in one stage, the generated method
+    # is beyond what the JVM compiles (8,000 bytes), and every row is interpreted.
+    raw = raw_logs(spark, sf_dir).persist()
+    system, llm = prepared_logs(raw, TS_FIELD)
     merge_into(spark, f"{bucket_dir}/system_logs", align_to(system, schemas.SYSTEM_LOGS))
     merge_into(spark, f"{bucket_dir}/llm_logs", align_to(llm, schemas.LLM_LOGS))
+    raw.unpersist()
 
 
 def _records_sql() -> str:
@@ -167,7 +173,8 @@ def q_stream_anomalies(spark, sf_dir):
     landed(spark, sf_dir, f"{base}/landing")
     for again in (False, True):
         if again:
-            (page_texts(spark, f"{base}/landing").where("page = 1").select("value").coalesce(1)
+            # (repartition, not coalesce: that would read the whole landing directory in one task)
+            (page_texts(spark, f"{base}/landing").where("page = 1").select("value").repartition(1)
              .write.mode("append").text(f"{base}/landing"))
         run_ingest(spark, f"{base}/landing", f"{base}/tables", f"{base}/cp", bucket=B,
                    models=f"{base}/models").awaitTermination()

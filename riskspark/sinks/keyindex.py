@@ -98,32 +98,27 @@ def ensure(spark: SparkSession, table: str, key: str, ts_col: str, schema: Struc
     return n_bits
 
 
-def _fresh(merged: DataFrame, batch: DataFrame, known: DataFrame, key: str, n_bits: int, buckets: list[int]) -> DataFrame:
-    """The entries of the batch's buckets as they will be."""
-    def part(rows: DataFrame, src: int) -> DataFrame:
-        return rows.select("h", "dt", F.lit(src).alias("src"))
-
-    h = digest(key).alias("h")
-    every = part(batch.select(h, "dt"), 0).unionByName(part(merged.select(h, "dt"), 1)).unionByName(part(known, 2))
-    # A day may be null: structs are never null, so that a set keeps it.
-    days = [F.collect_set(F.when(F.col("src") == k, F.struct("dt"))) for k in (1, 2)]
-    return (every.withColumn("bucket", _bucket(n_bits)).where(F.col("bucket").isin(buckets)).repartition("bucket")
-            .groupBy("bucket", "h").agg(F.when(F.min("src") == 0, days[0]).otherwise(days[1]).alias("days"))
-            .select("h", F.explode("days").alias("d"), "bucket").select("h", "d.dt", "bucket"))
+def _fresh(merged: DataFrame, batch: DataFrame, known: DataFrame, key: str, n_bits: int) -> DataFrame:
+    """The entries of the batch's buckets as they will be: those of other keys stay as they are, those of the batch's
+    keys are read from the merged days.  Only these are made distinct, so that a bucket is copied, not aggregated."""
+    mine = batch.select(digest(key).alias("h")).distinct()
+    of_mine = merged.select(digest(key).alias("h"), "dt").join(mine, "h", "left_semi").distinct()
+    stay = known.select("h", "dt").join(mine, "h", "left_anti")
+    return stay.unionByName(of_mine).withColumn("bucket", _bucket(n_bits)).repartition("bucket")
 
 
 def stage(staging: str, merged: DataFrame, batch: DataFrame, known: DataFrame | None, key: str,
-          ts_col: str, n_bits: int, buckets: list[int]) -> None:
+          ts_col: str, n_bits: int) -> None:
     """Write the new contents of the batch's buckets and of the merged days' zones.
 
     ``merged``: the rows of all days that hold keys of the batch, as they will be.
     ``known``: the entries that these buckets have now; those of the batch's keys go.
-    One shuffle by bucket, which is bounded in size, serves the grouping and the write.
+    The rows are dealt by bucket, which is bounded in size, before they are written.
     """
     if known is None:   # (the first batch: what is merged is what the batch has)
         _write_entries(of_rows(merged, key), n_bits, f"{staging}/index/bits={n_bits}")
     else:
-        _fresh(merged, batch, known, key, n_bits, buckets).write.partitionBy("bucket").parquet(f"{staging}/index/bits={n_bits}")
+        _fresh(merged, batch, known, key, n_bits).write.partitionBy("bucket").parquet(f"{staging}/index/bits={n_bits}")
     zones_of(merged, ts_col).coalesce(1).write.partitionBy("dt").parquet(f"{staging}/zones")
 
 

@@ -95,7 +95,7 @@ def merge_into(spark: SparkSession, table: str, new: DataFrame, key: str = "_id"
                 _left(old, batch, key, ts_col).write.mode("append").parquet(left_behind)
             _by_day(merged).write.partitionBy(PART).parquet(f"{staging}/merged")
             merged = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
-        IX.stage(staging, merged, batch, known, key, ts_col, n_bits, buckets)
+        IX.stage(staging, merged, batch, known, key, ts_col, n_bits)
         left = _day_folders(spark, f"{staging}/merged")
         # Days all of whose rows have moved to another date.  This is written last: with it the merge is whole.
         gone = {str(d) if d else None for d in held} - left
