@@ -1,9 +1,9 @@
 """Passages that repeat over documents, by merging Burrows-Wheeler transforms of shards.
 
-A *shard* is a pack of documents.  Every window of ``LEAST`` bytes has an anchor,
+A *shard* is a pack of documents, of a size that does not grow with the data.  Every window of ``LEAST`` bytes has an anchor,
 the least hash of the ``GRAM``-byte strings in it; windows side by side with one
 anchor are a *string* of at most 2 * LEAST bytes.  Equal windows have equal
-anchors, so strings are dealt by anchor to buckets, and:
+anchors, so strings are dealt by anchor to *lots*, some of which are a bucket, and:
 
 1. per anchor and shard, digests of its strings go to the anchor's bucket, which
    says what at least two documents have and which shard sends each different string;
@@ -23,6 +23,9 @@ An anchor with more than ``CROWDED`` different strings (a line or passage in a
 large share of all documents, with another text around it each time) sends
 single windows, dealt by their own hash: equal ones are one row per shard, the
 others are spread.  Strings are told apart by 64-bit digests.
+
+A shard and a bucket tell each other all they have to in one row, lot by lot, so
+that rows are few; a bucket works on some lots at a time, so that its arrays are small.
 """
 from __future__ import annotations
 
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, stored
-from .packs import batch, buckets, by_key, groups, none, opened, packed, shut
+from .packs import batch, buckets, by_bucket, by_key, cut, groups, none, opened, packed, runs, shut
 
 LEAST = 50
 GRAM = 20
@@ -40,16 +43,26 @@ CROWDED = 4096
 CHUNK = 1 << 15
 #: Byte for the end of a string in a transform: UTF-8 has no such byte.
 END = 255
-ENTRY = np.dtype([("anchor", "<u2"), ("rest", "u1"), ("digest", "<u8")])
+#: Lots of a bucket.  Strings that a bucket compares, and rows that it merges, in one go (one lot at least).
+LOTS = 16
+TOGETHER = 1 << 20
+MERGED = 1 << 19
 #: What a bucket says of a shard's string: of one document only, send it, crowded, another
 #: shard sends it, no other string has its anchor.
 ALONE, SEND, SPLIT, KNOWN, EQUAL = range(5)
 BASE = 0x9E3779B97F4A7C15
+#: Mark of a string that is sent, beside its number of windows (LEAST + 1 at most).
+SENDS = 128
 LARGEST = np.iinfo(np.int64).max
 
 
-def _power(n: int) -> np.uint64:
-    return np.uint64(pow(BASE, n, 1 << 64))
+def _powers(base: int, n: int) -> np.ndarray:
+    x = np.full(n, base, np.uint64)
+    x[:1] = 1
+    return np.cumprod(x)
+
+
+POWERS, INVERSE = _powers(BASE, CHUNK + LEAST), _powers(pow(BASE, -1, 1 << 64), CHUNK + LEAST)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -59,20 +72,30 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _hashes(buf: np.ndarray, *sizes: int) -> list[np.ndarray]:
-    """Polynomial hashes of all substrings of each size, from those of powers of two."""
-    out: list = [None] * len(sizes)
-    held, cur, size = [0] * len(sizes), buf.astype(np.uint64) + np.uint64(1), 1
-    while True:
-        for i, n in enumerate(sizes):
-            if n & size:
-                out[i] = cur if out[i] is None else cur[:len(cur) - held[i]] * _power(held[i]) + out[i][size:]
-                held[i] += size
-        if size * 2 > max(sizes) or len(cur) <= size:
-            break
-        cur = cur[:-size] * _power(size) + cur[size:]
-        size *= 2
-    return [o if h == n else np.zeros(0, np.uint64) for o, h, n in zip(out, held, sizes, strict=True)]
+def _sums(buf: np.ndarray) -> np.ndarray:
+    """Sums of the first bytes, each over its power: two of them give a polynomial hash (:func:`_between`)."""
+    out = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum((buf + np.uint64(1)) * INVERSE[:len(buf)], out=out[1:])
+    return out
+
+
+def _between(sums: np.ndarray, at: np.ndarray | slice, to: np.ndarray | slice) -> np.ndarray:
+    """Hashes of the bytes from ``at`` to ``to``; they depend on these bytes alone."""
+    return (sums[to] - sums[at]) * POWERS[:len(sums)][to]
+
+
+def window_hashes(buf: np.ndarray, *starts: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the windows that start at these places; in each array they ascend."""
+    out, chunks = [np.empty(len(at), np.uint64) for at in starts], np.arange(0, len(buf) + CHUNK, CHUNK)
+    places = [np.searchsorted(at, chunks) for at in starts]
+    for c in range(len(chunks) - 1):
+        i, own = c * CHUNK, [slice(p[c], p[c + 1]) for p in places]
+        if any(o.start < o.stop for o in own):
+            sums = _sums(buf[i:i + CHUNK + LEAST - 1])
+            for found, at, o in zip(out, starts, own, strict=True):
+                k = at[o] - i
+                found[o] = _between(sums, k, k + LEAST)
+    return out
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -88,53 +111,75 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
 class Strings:
     """The strings of a shard: windows side by side in one document that have one anchor."""
 
-    def __init__(self, buf: np.ndarray, ends: np.ndarray, parts: int):
+    def __init__(self, buf: np.ndarray, ends: np.ndarray, lots: int):
+        begin = np.concatenate([[0], ends])
+        cuts = [self._cut(buf[begin[i]:begin[j]], ends[i:j] - begin[i]) for i, j in runs(ends)]
+        moved = [(start + begin[i], size, doc + i, anchor) for (i, _), (start, size, doc, anchor) in zip(runs(ends), cuts, strict=True)]
+        no = np.zeros(0, np.int64)
+        #: Where a string starts, its windows, its document.
+        self.start, self.size, self.doc, anchor = map(
+            np.concatenate, zip((no, no, no, no.astype(np.uint64)), *moved, strict=True))
+        key = _mixed(anchor + np.uint64(BASE))
+        self.lot = (key % np.uint64(lots)).astype(np.int64)
+        self.bits = 63 - lots.bit_length()
+        self.anchor = (key >> np.uint64(40)).astype(np.uint32) & np.uint32(0xFFFFFE)
+        one, last = window_hashes(buf, self.start, self.start + self.size - 1)
+        self.digest = _mixed(one * np.uint64(0xD6E8FEB86659FD93) + last * np.uint64(0xA0761D6478BD642F) + self.size.astype(np.uint64))
+
+    @staticmethod
+    def _cut(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start, windows, document and anchor of the strings of some documents."""
         count = max(len(buf) - LEAST + 1, 0)
-        self.windows, anchor = np.empty(count, np.uint64), np.empty(count, np.uint64)
+        anchor = np.empty(count, np.uint64)
         for i in range(0, count, CHUNK):  # a cache's worth at a time
             j = min(i + CHUNK, count)
-            grams, self.windows[i:j] = _hashes(buf[i:j + LEAST - 1], GRAM, LEAST)
+            sums = _sums(buf[i:j + LEAST - 1])
+            grams = _between(sums, slice(None, -GRAM), slice(GRAM, None))
             anchor[i:j] = _least(_mixed(grams), LEAST - GRAM + 1)
-        windows = self.windows
-        self.doc = doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        inside = doc[:count] == doc[LEAST - 1:LEAST - 1 + count]
-        first = np.ones(count, bool)
-        first[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:count] != doc[:max(count - 1, 0)])
-        start = np.flatnonzero(inside & first)
-        stop = np.flatnonzero(inside & np.append(first[1:], True)[:count] | inside & ~np.append(inside[1:], False)[:count])
-        size = stop + 1 - start
-        cut = -(-size // (LEAST + 1))  # a string has LEAST + 1 windows at most: two of them cover it
-        again = np.repeat(np.arange(len(start)), cut)
-        k = np.arange(len(again)) - np.repeat(np.cumsum(cut) - cut, cut)
-        self.start = start[again] + k * (LEAST + 1)
-        self.size = np.minimum(size[again] - k * (LEAST + 1), LEAST + 1)  # in windows
-        key = _mixed(anchor[self.start] + np.uint64(BASE))
-        self.bucket = (key % np.uint64(parts)).astype(np.int64)
-        self.anchor = (key >> np.uint64(40)).astype(np.uint32) & np.uint32(0xFFFFFE)
-        self.digest = _mixed(windows[self.start] * np.uint64(0xD6E8FEB86659FD93)
-                             + windows[self.start + self.size - 1] * np.uint64(0xA0761D6478BD642F)
-                             + self.size.astype(np.uint64))
+        inside, first = np.ones(count, bool), np.ones(count, bool)
+        np.not_equal(anchor[1:], anchor[:-1], out=first[1:])
+        for k in range(LEAST):  # a window that begins in the last LEAST - 1 bytes of a document goes on in another one
+            at = ends - k
+            at = at[(at >= 0) & (at < count)]
+            first[at] = True
+            if k:
+                inside[at] = False
+        at = np.flatnonzero(first)
+        own = inside[at]
+        start, size = at[own], np.diff(at, append=count)[own]
+        parts = -(-size // (LEAST + 1))  # a string has LEAST + 1 windows at most: two of them cover it
+        again = np.repeat(np.arange(len(start)), parts)
+        k = np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)
+        at = start[again] + k * (LEAST + 1)
+        doc = np.repeat(np.arange(len(ends)), np.diff(np.searchsorted(at, ends), prepend=0))
+        return at, np.minimum(size[again] - k * (LEAST + 1), LEAST + 1), doc, anchor[at]
 
     def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """One string of each digest, in the order of the buckets: its index; the index into
-        these of every string; whether its anchor is in several documents of this shard; bucket."""
+        """One string of each digest, in the order of the lots: its index; the index into
+        these of every string; whether its anchor is in several documents of this shard; lot."""
         n = len(self.start)
-        doc = self.doc[self.start] if n else self.start
-        key = self.bucket << 24 | self.anchor
+        key = self.lot << 24 | self.anchor
         order = np.argsort(key)
         at = np.flatnonzero(np.diff(key[order], prepend=-1))
         several = np.empty(n, bool)
         if n:
-            lo, hi = np.minimum.reduceat(doc[order], at), np.maximum.reduceat(doc[order], at)
-            several[order] = np.repeat(lo != hi, np.diff(at, append=n))
-        # (digests that agree in the bits that fit may alternate: then a string is told of twice)
-        order = np.argsort(self.bucket << 44 | (self.digest >> np.uint64(20)).astype(np.int64))
-        b, d = self.bucket[order], self.digest[order]
-        new = np.ones(n, bool)
-        new[1:] = (b[1:] != b[:-1]) | (d[1:] != d[:-1])
+            doc = self.doc[order]
+            several[order] = np.repeat(np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at), np.diff(at, append=n))
+        order, new = _by_lot(self.lot, self.digest, self.bits)
         of = np.empty(n, np.int64)
         of[order] = np.cumsum(new) - 1
-        return order[new], of, several[order[new]], b[new]
+        one = order[new]
+        return one, of, several[one], self.lot[one]
+
+
+def _by_lot(lot: np.ndarray, digest: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order by lot and digest, and where in it another string comes than before.
+    (Digests that agree in the bits that fit may alternate: then a string is told of twice.)"""
+    order = np.argsort(lot << bits | (digest >> np.uint64(64 - bits)).astype(np.int64))
+    d, t = digest[order], lot[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1])
+    return order, new
 
 
 def _stable(x: np.ndarray) -> np.ndarray:
@@ -181,8 +226,8 @@ def transform(buf: np.ndarray, start: np.ndarray, length: np.ndarray, bucket: np
     slot = np.flatnonzero(~(new & np.append(new[1:], True)))
     row = order[slot]
     order[slot] = row[np.argsort(rank[row] * n + row)]
-    of = bucket[which[order]]
-    order = order[_stable(np.unique(of, return_inverse=True)[1])]
+    number = np.cumsum(np.diff(bucket, prepend=bucket[0]) != 0)
+    order = order[_stable(number[which[order]])]
     before = np.where(offset > 0, buf[np.maximum(at - 1, 0)], END).astype(np.uint8)
     return before[order], bucket[which[order]]
 
@@ -206,27 +251,36 @@ class Merged:
     ``reach``: how many bytes, ``depth`` at most, a row (they are numbered shard by
     shard) has in common with some other row.  ``rows``: those that reach ``depth``,
     in the merged order; ``blocks``: where the intervals of equal prefixes begin in it.
+    ``sizes``: the rows of each transform, where ``transforms`` holds several side by
+    side.  ``deep``: a row that ends before its string has ``depth`` bytes more cannot
+    lead to one that reaches ``depth``, and is left out (of ``reach`` too).
     """
 
-    def __init__(self, transforms: list[np.ndarray], depth: int = LEAST):
+    def __init__(self, transforms: list[np.ndarray], depth: int = LEAST, sizes: np.ndarray | None = None, deep: bool = False):
         text = np.concatenate(transforms)
-        sizes = np.array([len(t) for t in transforms], np.int64)
-        shard = np.repeat(np.arange(len(transforms), dtype=np.int32), sizes)
+        sizes = np.array([len(t) for t in transforms], np.int64) if sizes is None else sizes
+        shard = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         base = np.cumsum(sizes) - sizes
         n = len(text)
         ended = text == END
-        strings = np.bincount(shard[ended], minlength=len(transforms))
+        strings = np.bincount(shard[ended], minlength=len(sizes))
         #: The row of a string's end; strings are numbered shard by shard.
         self.ends = np.repeat(base - (np.cumsum(strings) - strings), strings) + np.arange(strings.sum())
         order = np.flatnonzero(~ended)
         order = order[np.argsort(text[order], kind="stable")]
         order = order[_stable(shard[order])]
         own = shard[order]
-        per = np.bincount(own, minlength=len(transforms))
+        per = np.bincount(own, minlength=len(sizes))
         back = np.zeros(n, np.int32)  # the row of the suffix that is longer by the byte before
         back[order] = (base + strings - (np.cumsum(per) - per))[own] + np.arange(len(order))
         self.text, self.back = text, back
-        rows, block = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
+        rows = np.arange(n, dtype=np.int32)
+        if deep:
+            self.string, self.length = self.places()
+            whole = np.empty(len(self.ends), np.int32)
+            whole[self.string[ended]] = self.length[ended]
+            rows = rows[self.length <= whole[self.string] - depth]
+        block = np.zeros(len(rows), np.int32)
         self.reach = np.zeros(n, np.uint8)
         for h in range(depth):
             c = text[rows]
@@ -244,7 +298,7 @@ class Merged:
     def places(self) -> tuple[np.ndarray, np.ndarray]:
         """The string and the length of every row's suffix: all strings are walked back from their ends."""
         string, length = np.empty(len(self.text), np.int32), np.empty(len(self.text), np.int32)
-        which, row, k = np.arange(len(self.ends)), self.ends, 0
+        which, row, k = np.arange(len(self.ends), dtype=np.int32), self.ends, 0
         while len(row):
             string[row], length[row] = which, k
             go = self.text[row] != END
@@ -252,97 +306,139 @@ class Merged:
         return string, length
 
 
-SENT = "bucket int, pack long, digests binary, sizes binary, firsts binary, sends binary, bytes binary"
+def _spans(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Lots side by side that come to ``most`` together (one at least): from and to."""
+    total, i, out = np.cumsum(sizes), 0, []
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + most, side="right")))
+        out.append((i, j))
+        i = j
+    return out
 
 
-def _asked(docs: DataFrame, parts: int) -> DataFrame:
-    """(bucket, pack, entries): digests of a shard's strings, for the bucket of their anchors."""
-    schema = "bucket int, pack long, entries binary"
+class Told:
+    """What some shards have told a bucket: rows of values, lot by lot."""
 
+    def __init__(self, rows: list[dict], counts: str):
+        self.rows = rows
+        #: Of a row and a lot, how many values come before its own and after them.
+        self.at = np.zeros((len(rows), LOTS + 1), np.int64)
+        np.cumsum([np.frombuffer(r[counts], np.uint32) for r in rows], axis=1, out=self.at[:, 1:])
+        self.sizes = np.diff(self.at, axis=1)
+
+    def of(self, values: list[np.ndarray], i: int, j: int) -> np.ndarray:
+        """The values of the lots from i to j, row by row."""
+        return np.concatenate([v[a:b] for v, a, b in zip(values, self.at[:, i].tolist(), self.at[:, j].tolist(), strict=True)])
+
+    def owner(self, i: int, j: int) -> np.ndarray:
+        """The row of each of them."""
+        return np.repeat(np.arange(len(self.rows), dtype=np.int32), self.at[:, j] - self.at[:, i])
+
+    def back(self, kind: str) -> list[np.ndarray]:
+        """The values of a column, for :meth:`of`."""
+        return [np.frombuffer(r[kind], np.uint64 if kind == "digests" else np.int64 if kind == "firsts" else np.uint8) for r in self.rows]
+
+
+def _by_bucket(lot: np.ndarray, parts: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """How many entries the lots have, as a row of them for each bucket that has any; and these buckets."""
+    counts = np.bincount(lot, weight, parts * LOTS).astype(np.uint32).reshape(parts, LOTS)
+    own = np.flatnonzero(counts.any(axis=1))
+    return counts[own], own
+
+
+ASKED = "bucket int, pack long, counts binary, anchors binary, digests binary"
+
+
+def _asked(docs: DataFrame, parts: int) -> DataFrame:
+    """Digests of a shard's strings, and what anchors they have, for the bucket of these."""
     def run(batches):
         for (row,) in groups(batches, "pack"):
-            strings = Strings(opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64), parts)
-            one, _, several, bucket = strings.entries()
-            found = np.empty(len(one), ENTRY)
-            anchor = strings.anchor[one] | several
-            found["anchor"], found["rest"] = anchor >> np.uint32(8), anchor & np.uint32(255)
-            found["digest"] = strings.digest[one]
-            at = np.flatnonzero(np.diff(bucket, prepend=-1))
-            yield batch(schema, [bucket[at], np.full(len(at), row["pack"]), [
-                x.tobytes() for x in np.split(found, at[1:])] if len(at) else []])
+            strings = Strings(opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64), parts * LOTS)
+            one, _, several, lot = strings.entries()
+            counts, own = _by_bucket(lot, parts)
+            n = counts.sum(axis=1, dtype=np.int64)
+            anchor = (strings.anchor[one] | several).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+            yield batch(ASKED, [own, np.full(len(own), row["pack"]), cut(counts.ravel(), np.full(len(own), LOTS)),
+                                cut(anchor.ravel(), 3 * n), cut(strings.digest[one], n)])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, ASKED)
 
 
-def _answers(asked: DataFrame, crowded: int) -> DataFrame:
+def _answers(asked: DataFrame, parts: int, crowded: int) -> DataFrame:
     """(pack, bucket, bytes): what to do with each of the strings that a shard has told of."""
     schema = "pack long, bucket int, bytes binary"
 
     def run(batches):
         for rows in groups(batches, "bucket"):
-            parts = [np.frombuffer(r["entries"], ENTRY) for r in rows]
-            x = np.concatenate(parts)
-            anchor, digest = x["anchor"].astype(np.uint32) << np.uint32(8) | x["rest"] & 254, x["digest"]
-            pack = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            order = np.lexsort((pack, digest, anchor))
-            a, d, p = anchor[order], digest[order], pack[order]
-            anew = np.ones(len(a), bool)
-            anew[1:] = a[1:] != a[:-1]
-            new = anew.copy()
-            new[1:] |= d[1:] != d[:-1]
-            at, of = np.flatnonzero(anew), np.cumsum(anew) - 1
-            shared = np.minimum.reduceat(p, at) != np.maximum.reduceat(p, at)
-            shared |= np.maximum.reduceat(x["rest"][order] & 1, at) > 0
-            strings = np.add.reduceat(new.astype(np.int64), at)[of]
-            said = np.where(new, SEND, KNOWN)
-            said[strings == 1] = EQUAL
-            said[strings > crowded] = SPLIT
-            said[~shared[of]] = ALONE
-            back = np.empty(len(a), np.uint8)
-            back[order] = said
-            ends = np.cumsum([len(q) for q in parts])
-            answers = [(r["pack"], r["bucket"], shut(s))
-                       for r, s in zip(rows, np.split(back, ends[:-1]), strict=True) if s.any()]
+            told = Told(rows, "counts")
+            anchors = [x.reshape(-1, 3) for x in told.back("anchors")]
+            digests = told.back("digests")
+            said = [np.empty(n, np.uint8) for n in told.at[:, -1]]
+            for i, j in _spans(told.sizes.sum(axis=0), TOGETHER):
+                three, digest, pack = told.of(anchors, i, j), told.of(digests, i, j), told.owner(i, j)
+                if not len(digest):
+                    continue
+                lot = np.repeat(np.tile(np.arange(j - i, dtype=np.uint64), len(rows)), told.sizes[:, i:j].ravel())
+                key = lot << np.uint64(24) | three[:, 0] & np.uint64(254) | three[:, 1].astype(np.uint64) << np.uint64(8) | three[:, 2].astype(np.uint64) << np.uint64(16)
+                # (digests that agree in the bits that fit may alternate: then several shards send a string)
+                order = np.argsort(key << np.uint64(35) | digest >> np.uint64(29))
+                a, d, p = key[order], digest[order], pack[order]
+                anew = np.ones(len(a), bool)
+                anew[1:] = a[1:] != a[:-1]
+                new = anew.copy()
+                new[1:] |= d[1:] != d[:-1]
+                at, of = np.flatnonzero(anew), np.cumsum(anew) - 1
+                shared = np.minimum.reduceat(p, at) != np.maximum.reduceat(p, at)
+                shared |= np.maximum.reduceat(three[order, 0] & 1, at) > 0
+                strings = np.add.reduceat(new.astype(np.int64), at)[of]
+                own = np.where(new, SEND, KNOWN).astype(np.uint8)
+                own[strings == 1] = EQUAL
+                own[strings > crowded] = SPLIT
+                own[~shared[of]] = ALONE
+                back = np.empty(len(a), np.uint8)
+                back[order] = own
+                ends = np.cumsum(told.at[:, j] - told.at[:, i])
+                for x, lo, hi, piece in zip(said, told.at[:, i].tolist(), told.at[:, j].tolist(), np.split(back, ends[:-1]), strict=True):
+                    x[lo:hi] = piece
+            answers = [(r["pack"], r["bucket"], shut(x)) for r, x in zip(rows, said, strict=True) if x.any()]
             if answers:
                 yield batch(schema, [list(c) for c in zip(*answers, strict=True)])
 
-    return by_key(asked, "bucket", "pack").mapInArrow(run, schema)
+    return by_bucket(asked, parts, "bucket", "pack").mapInArrow(run, schema)
 
 
 class Chosen:
     """The strings of a shard that the buckets have asked for: whole ones, and single
-    windows of crowded anchors; one of each digest, in the order (bucket, digest)."""
+    windows of crowded anchors; one of each digest, in the order (lot, digest)."""
 
     def __init__(self, row: dict, told: list[dict], parts: int):
         self.buf, self.ends = opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64)
         self.ids = np.array([LARGEST if i is None else i for i in row["doc_ids"]], np.int64)
-        strings = Strings(self.buf, self.ends, parts)
-        self.doc = strings.doc
-        one, of, _, bucket = strings.entries()
+        strings = Strings(self.buf, self.ends, parts * LOTS)
+        one, of, _, lot = strings.entries()
         said = np.zeros(len(one), np.uint8)
-        for r in told:
-            lo, hi = np.searchsorted(bucket, [r["bucket"], r["bucket"] + 1])
+        own = np.array([r["bucket"] for r in told], np.int64)
+        for r, lo, hi in zip(told, np.searchsorted(lot, own * LOTS), np.searchsorted(lot, (own + 1) * LOTS), strict=True):
             said[lo:hi] = opened(r["bytes"], np.uint8)
         mine = said[of]
         whole = np.flatnonzero((mine != ALONE) & (mine != SPLIT))
         crowd = np.flatnonzero(mine == SPLIT)
         n = strings.size[crowd]
         single = np.repeat(strings.start[crowd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        digest = np.concatenate([strings.digest[whole], _mixed(strings.windows[single])])
-        bucket = np.concatenate([strings.bucket[whole], (digest[len(whole):] % np.uint64(parts)).astype(np.int64)])
-        order = np.lexsort((digest, bucket))
-        b, d = bucket[order], digest[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (b[1:] != b[:-1]) | (d[1:] != d[:-1])
+        digest = np.concatenate([strings.digest[whole], _mixed(*window_hashes(self.buf, single))])
+        lot = np.concatenate([strings.lot[whole], (digest[len(whole):] % np.uint64(parts * LOTS)).astype(np.int64)])
+        order, new = _by_lot(lot, digest, strings.bits)
         at = np.flatnonzero(new)
-        #: Of every occurrence: where it starts, and which string it is.
+        #: Of every occurrence: where it starts, its document, and which string it is.
         self.start = np.concatenate([strings.start[whole], single])[order]
+        self.doc = np.concatenate([strings.doc[whole], np.repeat(strings.doc[crowd], n)])[order]
         self.entry = np.cumsum(new) - 1
-        #: Of every string: bucket, digest, windows, whether to send it, the least id here.
-        self.bucket, self.digest = b[at], d[at]
-        self.size = np.concatenate([strings.size[whole], np.ones(len(single), np.int64)])[order][at]
-        self.sends = np.concatenate([mine[whole] == SEND, np.ones(len(single), bool)])[order][at]
-        self.first = np.minimum.reduceat(self.ids[self.doc[self.start]], at) if len(at) else at
+        #: Of every string: lot, digest, windows, whether to send it, the least id here.
+        one = order[at]
+        self.lot, self.digest = lot[one], digest[one]
+        self.size = np.concatenate([strings.size[whole], np.ones(len(single), np.int64)])[one]
+        self.sends = np.concatenate([mine[whole] == SEND, np.ones(len(single), bool)])[one]
+        self.first = np.minimum.reduceat(self.ids[self.doc], at) if len(at) else at
         self.begin = self.start[at]
 
 
@@ -355,64 +451,75 @@ def _by_pack(shards: DataFrame, *told: DataFrame) -> DataFrame:
     return by_key(rows, "pack", "kind", "bucket")
 
 
+SENT = "bucket int, pack long, counts binary, digests binary, sizes binary, firsts binary, lines binary, bytes binary"
+
+
 def _sent(shards: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
-    """A shard's strings in each bucket, with the transform of those it sends."""
+    """A shard's strings in each bucket, with the transforms of those it sends, lot by lot."""
     def run(batches):
         for *told, row in groups(batches, "pack"):
             if not told:
                 continue
             x = Chosen(row, told, parts)
-            lines, of_line = transforms(x.buf, x.begin[x.sends], x.size[x.sends] + LEAST - 1, x.bucket[x.sends])
-            cut = np.flatnonzero(np.diff(x.bucket, prepend=-1))
-            own, stop = x.bucket[cut], np.append(cut[1:], len(x.bucket))
-            lo, hi = np.searchsorted(of_line, own), np.searchsorted(of_line, own, side="right")
-            pieces = [(int(k), row["pack"], x.digest[i:j].tobytes(), x.size[i:j].astype(np.uint8).tobytes(), x.first[i:j].tobytes(), x.sends[i:j].tobytes(),
-                       shut(lines[a:b], 3)) for k, i, j, a, b in zip(own, cut, stop, lo, hi, strict=True)]
-            for i in range(0, len(pieces), 256):
-                yield batch(SENT, [list(c) for c in zip(*pieces[i:i + 256], strict=True)])
+            sends, length = x.sends, x.size + LEAST - 1
+            text, _ = transforms(x.buf, x.begin[sends], length[sends], x.lot[sends])
+            counts, own = _by_bucket(x.lot, parts)
+            lines = _by_bucket(x.lot, parts, np.where(sends, length + 1, 0))
+            rows = np.zeros((len(own), LOTS), np.uint32)
+            rows[np.searchsorted(own, lines[1])] = lines[0]
+            n, of = counts.sum(axis=1, dtype=np.int64), np.full(len(own), LOTS)
+            ends = np.cumsum(rows.sum(axis=1, dtype=np.int64))
+            yield batch(SENT, [own, np.full(len(own), row["pack"]), cut(counts.ravel(), of), cut(x.digest, n),
+                               cut((x.size + SENDS * sends).astype(np.uint8), n), cut(x.first, n), cut(rows.ravel(), of),
+                               [shut(t, 3) for t in np.split(text, ends[:-1])] if len(own) else []])
 
     return _by_pack(shards, answers).mapInArrow(run, SENT)
 
 
-def _found_first(sent: DataFrame) -> DataFrame:
+def _found_first(sent: DataFrame, parts: int) -> DataFrame:
     """(pack, bucket, bytes): the least id that has each window of a shard's strings in a bucket:
     that of each string's first window, whether its others differ, and all windows of those that do."""
     schema = "pack long, bucket int, bytes binary"
 
     def run(batches):
         for rows in groups(batches, "bucket"):
-            digests = [np.frombuffer(r["digests"], np.uint64) for r in rows]
-            firsts = [np.frombuffer(r["firsts"], np.int64) for r in rows]
-            sends = [np.frombuffer(r["sends"], bool) for r in rows]
-            # the least id of each different string, over the shards that have it
-            known, of = np.unique(np.concatenate(digests), return_inverse=True)
-            least = np.full(len(known), LARGEST)
-            np.minimum.at(least, of, np.concatenate(firsts))
-            count = np.zeros(len(known), np.int64)
-            count[of] = np.concatenate([np.frombuffer(r["sizes"], np.uint8) for r in rows])
-            begin = np.cumsum(count) - count
-            found = np.repeat(least, count)
-            sender = of[np.concatenate(sends)]  # of the strings in the transforms, in their order
-            if len(sender):
-                merged = Merged([opened(r["bytes"], np.uint8) for r in rows])
-                string, length = merged.places()
-                string = sender[string[merged.rows]]
-                in_block = np.minimum.reduceat(least[string], merged.blocks) if len(string) else least[:0]
-                # the window's place in its string: from the end, a suffix of LEAST bytes is the last window
-                window = begin[string] + count[string] - 1 - (length[merged.rows] - LEAST)
-                found[window] = np.repeat(in_block, np.diff(merged.blocks, append=len(string)))
-            same = np.minimum.reduceat(found, begin) == np.maximum.reduceat(found, begin)
-            pieces = []
-            ends = np.cumsum([len(d) for d in digests])
-            for r, own in zip(rows, np.split(of, ends[:-1]), strict=True):
-                mixed = own[~same[own]]
-                n = count[mixed]
-                at = np.repeat(begin[mixed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                pieces.append((r["pack"], r["bucket"], shut(np.concatenate([found[begin[own]], ~same[own], found[at]]))))
-            for i in range(0, len(pieces), 256):
-                yield batch(schema, [list(c) for c in zip(*pieces[i:i + 256], strict=True)])
-
-    return by_key(sent, "bucket", "pack").mapInArrow(run, schema)
+            told, lines = Told(rows, "counts"), Told(rows, "lines")
+            digests, sizes, firsts = told.back("digests"), told.back("sizes"), told.back("firsts")
+            texts = [opened(r["bytes"], np.uint8) for r in rows]
+            out: list = [[] for _ in rows]
+            for i, j in _spans(lines.sizes.sum(axis=0) + told.sizes.sum(axis=0), MERGED):
+                digest, size = told.of(digests, i, j), told.of(sizes, i, j)
+                if not len(digest):
+                    continue
+                # the least id of each different string, over the shards that have it
+                order = np.argsort(digest)
+                new = np.ones(len(digest), bool)
+                new[1:] = digest[order[1:]] != digest[order[:-1]]
+                at, of = np.flatnonzero(new), np.empty(len(digest), np.int64)
+                of[order] = np.cumsum(new) - 1
+                least = np.minimum.reduceat(told.of(firsts, i, j)[order], at)
+                count = (size[order[at]] & (SENDS - 1)).astype(np.int64)
+                begin = np.cumsum(count) - count
+                found = np.repeat(least, count)
+                sender = of[size >= SENDS]  # of the strings in the transforms, in their order
+                if len(sender):
+                    merged = Merged([lines.of(texts, i, j)], sizes=lines.sizes[:, i:j].ravel(), deep=True)
+                    string = sender[merged.string[merged.rows]]
+                    in_block = np.minimum.reduceat(least[string], merged.blocks) if len(string) else least[:0]
+                    # the window's place in its string: from the end, a suffix of LEAST bytes is the last window
+                    window = begin[string] + count[string] - 1 - (merged.length[merged.rows] - LEAST)
+                    found[window] = np.repeat(in_block, np.diff(merged.blocks, append=len(string)))
+                same = np.minimum.reduceat(found, begin) == np.maximum.reduceat(found, begin)
+                ends = np.cumsum(told.at[:, j] - told.at[:, i])
+                for pieces, own in zip(out, np.split(of, ends[:-1]), strict=True):
+                    mixed = own[~same[own]]
+                    n = count[mixed]
+                    at = np.repeat(begin[mixed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    pieces.append((found[begin[own]], ~same[own], found[at]))
+            yield batch(schema, [[r["pack"] for r in rows], [r["bucket"] for r in rows], [
+                shut(np.concatenate([x for kind in zip(*pieces, strict=True) for x in kind])) for pieces in out]])
+
+    return by_bucket(sent, parts, "bucket", "pack").mapInArrow(run, schema)
 
 
 RESULT = "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary"
@@ -425,43 +532,53 @@ def _cleared(shards: DataFrame, answers: DataFrame, firsts: DataFrame, parts: in
             found = [opened(r["bytes"], np.int64) for r in told if r["kind"] == 1]
             if found:
                 x = Chosen(row, [r for r in told if r["kind"] == 0], parts)
-                buf, ends, n = x.buf, x.ends, len(x.buf)
-                k = np.bincount(np.searchsorted([r["bucket"] for r in told if r["kind"] == 1], x.bucket), minlength=len(found))
+                buf, ends = x.buf, x.ends
+                k = np.bincount(np.searchsorted([r["bucket"] for r in told if r["kind"] == 1], x.lot // LOTS), minlength=len(found))
                 first = np.concatenate([f[:m] for f, m in zip(found, k, strict=True)])
                 mixed = np.concatenate([f[m:2 * m] for f, m in zip(found, k, strict=True)]) > 0
                 single = np.concatenate([f[2 * m:] for f, m in zip(found, k, strict=True)])
-                whole = ~mixed[x.entry] & (first[x.entry] < x.ids[x.doc[x.start]])
-                lo, hi = x.start[whole], x.start[whole] + x.size[x.entry[whole]] + LEAST - 1
-                own = np.flatnonzero(mixed[x.entry])
                 count = np.where(mixed, x.size, 0)
-                of, count = (np.cumsum(count) - count)[x.entry[own]], count[x.entry[own]]
-                j = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                window = np.repeat(x.start[own], count) + j
-                window = window[single[np.repeat(of, count) + j] < x.ids[x.doc[window]]]
-                edge = (np.bincount(np.concatenate([lo, window]), minlength=n + 1)
-                        - np.bincount(np.concatenate([hi, window + LEAST]), minlength=n + 1))
-                gone = np.cumsum(edge[:n]) > 0
+                before = np.cumsum(count) - count
+                place = np.argsort(x.start)
+                starts = x.start[place]
             else:
                 buf, ends = opened(row["bytes"], np.uint8), np.array(row["ends"], np.int64)
-                n = len(buf)
-                gone = np.zeros(n, bool)
-            begin = ends - np.diff(ends, prepend=0)
-            at_begin = np.zeros(n + 1, bool)
-            at_begin[begin] = True
-            before = np.concatenate([[False], gone[:-1]]) & ~at_begin[:n] if n else gone
-            after = np.concatenate([gone[1:], [False]]) & ~at_begin[1:] if n else gone
-            starts, stops = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
-            cut = np.searchsorted(starts, np.append(begin, n))
-            kept, keep = buf[~gone], np.concatenate([[0], np.cumsum(~gone)])
-            docs_of = list(zip(begin, ends, cut[:-1], cut[1:], strict=True))
-            yield batch(RESULT, [
-                row["doc_ids"], ends - begin, [starts[i:j] - b if b != e else [] for b, e, i, j in docs_of],
-                [stops[i:j] - b if b != e else [] for b, e, i, j in docs_of],
-                [kept[keep[b]:keep[e]].tobytes() for b, e, _, _ in docs_of]])
+            for i, j in runs(ends):
+                at, to = int(ends[i - 1]) if i else 0, int(ends[j - 1])
+                gone = np.zeros(to - at, bool)
+                if found:
+                    own = place[slice(*np.searchsorted(starts, [at, to]))]
+                    start, entry, own_id = x.start[own] - at, x.entry[own], x.ids[x.doc[own]]
+                    whole = ~mixed[entry] & (first[entry] < own_id)
+                    lo, hi = start[whole], start[whole] + x.size[entry[whole]] + LEAST - 1
+                    some = np.flatnonzero(mixed[entry])
+                    n = count[entry[some]]
+                    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    window = (np.repeat(start[some], n) + k)[
+                        single[np.repeat(before[entry[some]], n) + k] < np.repeat(own_id[some], n)]
+                    edge = (np.bincount(np.concatenate([lo, window]), minlength=len(gone) + 1)
+                            - np.bincount(np.concatenate([hi, window + LEAST]), minlength=len(gone) + 1))
+                    gone = np.cumsum(edge[:-1]) > 0
+                yield batch(RESULT, [row["doc_ids"][i:j], *_kept(buf[at:to], ends[i:j] - at, gone)])
 
     return _by_pack(shards, answers, firsts).mapInArrow(run, RESULT)
 
 
+def _kept(buf: np.ndarray, ends: np.ndarray, gone: np.ndarray) -> list:
+    """Of documents side by side: bytes, where runs that are gone start and end, and the other bytes."""
+    n, begin = len(buf), ends - np.diff(ends, prepend=0)
+    at_begin = np.zeros(n + 1, bool)
+    at_begin[begin] = True
+    before = np.concatenate([[False], gone[:-1]]) & ~at_begin[:n] if n else gone
+    after = np.concatenate([gone[1:], [False]]) & ~at_begin[1:] if n else gone
+    starts, stops = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+    parts = np.searchsorted(starts, np.append(begin, n))
+    kept, keep = buf[~gone], np.concatenate([[0], np.cumsum(~gone)])
+    docs_of = list(zip(begin, ends, parts[:-1], parts[1:], strict=True))
+    return [ends - begin, [starts[i:j] - b if b != e else [] for b, e, i, j in docs_of],
+            [stops[i:j] - b if b != e else [] for b, e, i, j in docs_of], cut(kept, keep[ends] - keep[begin])]
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_bytes``, the removed runs of bytes
     (``starts``, ``ends``) and ``kept``, the other bytes side by side (a cut may
@@ -477,5 +594,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     parts = buckets(docs)
     shards = packed(rows)
-    answers = stored(_answers(_asked(shards.select("pack", "ends", "bytes"), parts), crowded), "answers")
-    return _cleared(shards, answers, _found_first(_sent(shards, answers, parts)), parts)
+    answers = stored(_answers(_asked(shards.select("pack", "ends", "bytes"), parts), parts, crowded), "answers")
+    return _cleared(shards, answers, _found_first(_sent(shards, answers, parts), parts), parts)

@@ -1,11 +1,13 @@
 """Packs: rows that hold the texts of some documents, side by side, for work on whole arrays.
 
-A pack is what one task reads in one go (some megabytes); a longer text is a pack
-of its own.  Packs are stored, so that their numbers stay what they are when an
-executor is lost.
+A pack is what one task holds and tells of in one go; a longer text is a pack of its
+own.  Tasks work on its *runs* (some documents side by side), so that the arrays made
+on the way have a bound.  Packs are stored, so that their numbers stay what they are
+when an executor is lost.
 """
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,18 +19,44 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, slices, stored
 
-PACK_BYTES = 2_000_000
+PACK_BYTES = 16_000_000
+RUN_BYTES = 2_000_000
+#: What a document counts for in a pack and a run besides its text: there may be many empty ones.
+ROW_BYTES = 200
 PACKED = "pack long, doc_ids array<long>, ends array<long>, bytes binary"
 ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(),
          "array<long>": pa.list_(pa.int64())}
 
 
+@functools.cache
+def _coder(level: int | None) -> zstandard.ZstdCompressor | zstandard.ZstdDecompressor:
+    """Made once a worker: for small pieces, to make one takes longer than to use it."""
+    return zstandard.ZstdDecompressor() if level is None else zstandard.ZstdCompressor(level=level)
+
+
 def shut(x, level: int = 1) -> bytes:
-    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(x).data if isinstance(x, np.ndarray) else x)
+    return _coder(level).compress(np.ascontiguousarray(x).data if isinstance(x, np.ndarray) else x)
 
 
 def opened(x: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
+    return np.frombuffer(_coder(None).decompress(x), kind)
+
+
+def cut(x: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Binary values: the bytes of the first items of an array, of those after them, and so on."""
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    offsets[1:] = np.cumsum(counts) * x.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def runs(ends: np.ndarray, most: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
+    """Documents side by side that come to ``most`` bytes together (one at least): from and to."""
+    weight, i = ends + ROW_BYTES * np.arange(1, len(ends) + 1), 0
+    while i < len(ends):
+        before = weight[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(weight, before + most, side="right")))
+        yield i, j
+        i = j
 
 
 def batch(schema: str, columns: list) -> pa.RecordBatch:
@@ -59,11 +87,24 @@ def packed(rows: DataFrame) -> DataFrame:
     bounded_batches(rows.sparkSession)
 
     def run(batches):
-        numbers = numbered()
+        numbers, ids, texts, sizes, weight = numbered(), [], [], [], 0
+
+        def made():
+            return batch(PACKED, [[next(numbers)], [ids], [np.cumsum(np.concatenate(sizes))], [shut(np.concatenate(texts), 3)]])
+
         for b in batches:
-            for s in slices(iter([b]), most=PACK_BYTES):
+            for s in slices(iter([b]), most=RUN_BYTES):
                 buf, ends = text_bytes(s.column("text"))
-                yield batch(PACKED, [[next(numbers)], [s.column("doc_id").to_pylist()], [ends], [shut(buf, 5)]])
+                more = len(buf) + ROW_BYTES * len(ends)
+                if ids and weight + more > PACK_BYTES:
+                    yield made()
+                    ids, texts, sizes, weight = [], [], [], 0
+                ids += s.column("doc_id").to_pylist()
+                texts.append(buf)
+                sizes.append(np.diff(ends, prepend=0))
+                weight += more
+        if ids:
+            yield made()
 
     return stored(rows.mapInArrow(run, PACKED), "packs")
 
@@ -86,9 +127,14 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
         yield held
 
 
+def by_bucket(rows: DataFrame, parts: int, *key: str) -> DataFrame:
+    """Rows of a bucket (their first column of the key: 0 to ``parts`` - 1) as a task of their own, in the order of the key."""
+    return rows.repartitionById(parts, F.col(key[0])).sortWithinPartitions(*key)
+
+
 def buckets(df: DataFrame) -> int:
-    """Parts into which keys are dealt: some for each shuffle partition, a setting that grows with the data."""
-    return 8 * max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    """Tasks that keys are dealt to: the number of shuffle partitions, a setting that grows with the data."""
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def none(kind: str) -> Column:
