@@ -592,7 +592,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are ignored.  Texts of any length are treated whole.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    parts = buckets(docs)
     shards = packed(rows)
+    parts = buckets(shards)
     answers = stored(_answers(_asked(shards.select("pack", "ends", "bytes"), parts), parts, crowded), "answers")
     return _cleared(shards, answers, _found_first(_sent(shards, answers, parts), parts), parts)

@@ -132,9 +132,10 @@ def by_bucket(rows: DataFrame, parts: int, *key: str) -> DataFrame:
     return rows.repartitionById(parts, F.col(key[0])).sortWithinPartitions(*key)
 
 
-def buckets(df: DataFrame) -> int:
-    """Tasks that keys are dealt to: the number of shuffle partitions, a setting that grows with the data."""
-    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+def buckets(packs: DataFrame) -> int:
+    """Tasks that keys are dealt to: the number of shuffle partitions, a setting that grows with
+    the data, and where it does not, one for two packs, so that what a task holds has a bound."""
+    return max(8, int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-packs.count() // 2))
 
 
 def none(kind: str) -> Column:

@@ -18,12 +18,18 @@ def test_rows_told_do_not_grow_with_the_square_of_the_data(spark):
     """Each shard tells a shuffle partition of its strings in one row, and a shard holds many megabytes."""
     text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(250)), lambda k: F.sha2(F.concat_ws(":", "doc_id", k), 256)))
     rows = id_and_text(spark.range(600).withColumnRenamed("id", "doc_id").withColumn("text", text).coalesce(1))
-    shards, parts = packs.packed(rows), packs.buckets(rows)
+    shards = packs.packed(rows)
+    parts = packs.buckets(shards)
     assert shards.agg(F.sum(F.array_max("ends"))).first()[0] > 9_000_000
     asked = bwtmerge._asked(shards.select("pack", "ends", "bytes"), parts)
     assert asked.count() <= 2 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def test_buckets_where_the_setting_does_not_grow(spark):
+    packed = spark.range(101, numPartitions=1)
+    assert packs.buckets(packed) == 51 and packs.buckets(packed.limit(1)) == max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def test_packs_hold_their_rows_in_order(spark):
     texts = ["", "é" * 30, "x" * 70_000, None, "a b c"] * 40
     rows = id_and_text(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1))
